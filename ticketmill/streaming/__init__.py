@@ -1,0 +1 @@
+"""Empty on purpose: citations and weather are loaded in batches, nothing here is a stream."""
