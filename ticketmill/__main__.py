@@ -9,6 +9,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from ticketmill.plans.batch import run
+from ticketmill.sources.scans import read_citations, read_payloads
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -24,7 +25,12 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="[%(levelname)s] %(asctime)s  %(message)s")
     spark = SparkSession.builder.appName("ticketmill").getOrCreate()
     try:
-        outcome = run(spark, args.citations, args.payloads, args.root, args.format)
+        outcome = run(
+            spark,
+            read_citations(spark, args.citations, args.format),
+            read_payloads(spark, args.payloads),
+            args.root,
+        )
     finally:
         spark.stop()
     return 1 if outcome.failed_reports else 0

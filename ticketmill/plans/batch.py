@@ -21,12 +21,18 @@ from ticketmill.operators.citations import clean_citations
 from ticketmill.operators.merge import absent_rows, replace_by_key
 from ticketmill.operators.weather import clean_weather
 from ticketmill.plans import quality
-from ticketmill.plans.reports import TABLE_REPORTS, ZONE_REPORTS, MEASURES, ROLLUP_KEYS, Report
-from ticketmill.plans.reports import rollup
+from ticketmill.plans.reports import (
+    MEASURES,
+    ROLLUP_KEYS,
+    TABLE_REPORTS,
+    ZONE_REPORTS,
+    Report,
+    rollup,
+)
 from ticketmill.settings import CitationRules, WeatherRules
 from ticketmill.sources.payload import flatten_payloads
-from ticketmill.sources.scans import read_citations, read_payloads, read_table, read_table_or_empty
-from ticketmill.sources.sinks import write_report, write_zone
+from ticketmill.sources.scans import read_table
+from ticketmill.sources.sinks import create_table, write_report, write_zone
 
 log = logging.getLogger(__name__)
 
@@ -93,12 +99,11 @@ def _counted(df: DataFrame, write) -> int:
     return seen.get["rows"]
 
 
-def ingest(spark: SparkSession, citations: str, payloads: str, out: Layout, fmt: str = "csv"):
-    """Land both sources in the raw zone, unchanged but for their file format."""
-    raw = read_citations(spark, citations, fmt)
-    weather = flatten_payloads(read_payloads(spark, payloads), ("campus", SEQ))
+def ingest(citations: DataFrame, payloads: DataFrame, out: Layout) -> dict[str, int]:
+    """Land both sources in the raw zone, before any cleaning."""
+    weather = flatten_payloads(payloads, ("campus", SEQ))
     return {
-        "raw_citations": _counted(raw, lambda df: write_zone(df, out.raw_citations)),
+        "raw_citations": _counted(citations, lambda df: write_zone(df, out.raw_citations)),
         "raw_weather": _counted(weather, lambda df: write_zone(df, out.raw_weather)),
     }
 
@@ -114,14 +119,6 @@ def transform(
     }
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType, keep: Sequence[str] = ()):
-    found = read_table_or_empty(spark, path, schema, keep)
-    if found is not None:
-        return found
-    extra = [T.StructField(k, T.IntegerType()) for k in keep]
-    return spark.createDataFrame([], T.StructType([*schema, *extra]))
-
-
 def merge_citations(
     spark: SparkSession,
     batch: DataFrame,
@@ -134,7 +131,8 @@ def merge_citations(
     Stored files are never rewritten. The default partitions are derived integers: a text column
     would lose the difference between an empty string and NULL in its directory name.
     """
-    stored = _stored(spark, path, schemas.CITATIONS)
+    create_table(spark, path, schemas.CITATIONS, partition_by)
+    stored = read_table(spark, path, schemas.CITATIONS)
     new = absent_rows(stored, batch, schemas.CITATION_KEY, SEQ, schemas.CITATION_REQUIRED)
     return _counted(
         new, lambda df: write_zone(df, path, partition_by, mode="append", rebalance=rebalance)
@@ -147,17 +145,17 @@ def merge_weather(spark: SparkSession, batch: DataFrame, path: str) -> int:
     The table is partitioned by month, and only the months from the first to the last date of the
     batch are read and written: dynamic overwrite leaves all other partitions alone.
     """
-    month = F.year("date") * 100 + F.month("date")
-    batch = batch.withColumn(MONTH, month)
+    by_month = T.StructType([*schemas.WEATHER, T.StructField(MONTH, T.IntegerType())])
+    create_table(spark, path, by_month, [MONTH])
+    stored = read_table(spark, path, by_month)
+    batch = batch.withColumn(MONTH, F.year("date") * 100 + F.month("date"))
     first, last = batch.agg(F.min(MONTH), F.max(MONTH)).first()
-    if first is not None:
-        stored = _stored(spark, path, schemas.WEATHER, [MONTH])
-        touched = stored.filter(F.col(MONTH).between(first, last))
-        merged = replace_by_key(touched, batch, schemas.WEATHER_KEY, SEQ)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            MONTH
-        ).parquet(path)
-    return _stored(spark, path, schemas.WEATHER).count()
+    touched = stored.filter(F.col(MONTH).between(first, last))
+    merged = replace_by_key(touched, batch, schemas.WEATHER_KEY, SEQ)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        MONTH
+    ).parquet(path)
+    return read_table(spark, path, schemas.WEATHER).count()
 
 
 def merge(spark: SparkSession, out: Layout) -> dict[str, int]:
@@ -232,17 +230,16 @@ def check_quality(
 
 def run(
     spark: SparkSession,
-    citations: str,
-    payloads: str,
+    citations: DataFrame,
+    payloads: DataFrame,
     root: str,
-    fmt: str = "csv",
     citation_rules: CitationRules = CitationRules(),
     weather_rules: WeatherRules = WeatherRules(),
 ) -> Outcome:
-    """All stages in order."""
+    """All stages in order, from frames as sources.scans returns them."""
     out = Layout(root)
     outcome = Outcome()
-    outcome.rows |= ingest(spark, citations, payloads, out, fmt)
+    outcome.rows |= ingest(citations, payloads, out)
     outcome.rows |= transform(spark, out, citation_rules, weather_rules)
     outcome.rows |= merge(spark, out)
     outcome.failed_reports = report(spark, out)

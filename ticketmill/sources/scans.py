@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,9 +32,7 @@ def read_citations(
     """
     reader = spark.read.schema(schemas.RAW_CITATIONS).format(fmt)
     if fmt in ("csv", "json"):
-        reader = reader.option("mode", mode).option(
-            "timestampNTZFormat", "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSS][.SSS]"
-        )
+        reader = reader.option("mode", mode)
     if fmt == "csv":
         reader = reader.option("header", True)
     return (
@@ -47,35 +42,22 @@ def read_citations(
     )
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Daily weather payloads laid out as <path>/campus=<name>/<file>.json, one object per file.
+def read_payloads(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Daily weather payloads laid out as <path>/campus=<name>/<file>.json.
 
-    One scan reads every campus; the directory name becomes the campus column.
+    One scan reads every campus; the directory name becomes the campus column. A file holds one
+    payload, or one per line if `one_per_line` is set.
     """
     schema = T.StructType([*schemas.WEATHER_PAYLOAD, T.StructField("campus", T.StringType())])
     return (
         spark.read.schema(schema)
-        .option("multiLine", True)
+        .option("multiLine", not one_per_line)
         .option("mode", "FAILFAST")
         .json(path)
         .withColumn(schemas.SEQ, source_position())
     )
 
 
-def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, keep: Sequence[str] = ()
-) -> DataFrame:
-    """A stored table in the column order of its contract."""
-    return spark.read.parquet(path).select(*schema.names, *keep)
-
-
-def read_table_or_empty(
-    spark: SparkSession, path: str, schema: T.StructType, keep: Sequence[str] = ()
-) -> DataFrame | None:
-    """As read_table, or None before the first load."""
-    try:
-        return read_table(spark, path, schema, keep)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table in the column order of its contract (partition columns are read last)."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def write_zone(
@@ -25,6 +26,14 @@ def write_zone(
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def create_table(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()
+) -> None:
+    """An empty table at the path, unless something is there already."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").partitionBy(*partition_by).parquet(path)
+
+
 def write_report(df: DataFrame, path: str, order: Sequence[Column] = ()) -> None:
     """A CSV directory with one sorted part file, a header, and empty fields for NULL.
 
