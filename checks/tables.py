@@ -25,8 +25,18 @@ STATUSES = ("Unpaid", "Transfer", "Zero Balance", "Inactive", "Appeal Balance Du
 CODES = (0, 3, 51, 63, 80, 95, 42)
 
 
+# Declared, so that no job has to open files just to learn the columns.
+COLUMNS = {
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double",
+    "embeddings": "vec_id bigint, embedding array<float>",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -166,16 +176,27 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(stored citations, batch): the batch overlaps, repeats ids and changes their status."""
+    """(stored citations, batch): the batch overlaps, repeats ids with a later status, and gives
+    about a quarter of its rows one and the same id."""
     rows = citations(spark, sf_dir)
-    stored = rows.filter(F.col(SEQ) % 3 == 0).drop(SEQ)
-    even = rows.filter(F.col(SEQ) % 2 == 0)
-    later = even.withColumns({"status": F.lit("Late change"), SEQ: F.col(SEQ) + 10**15})
-    # A third of the copies share one id.
-    hot = rows.filter(F.col(SEQ) % 3 == 1).withColumns(
-        {"citation_id": F.lit("hot"), SEQ: F.col(SEQ) + 2 * 10**15}
+    seq = F.col(SEQ)
+    stored = rows.filter(seq % 3 == 0).drop(SEQ)
+    copies = F.array_compact(
+        F.array(
+            F.when(seq % 2 == 0, "same"), F.when(seq % 2 == 0, "late"), F.when(seq % 3 == 1, "hot")
+        )
+    )
+    copy = F.col("copy")
+    batch = rows.withColumn("copy", F.explode(copies)).withColumns(
+        {
+            "citation_id": F.when(copy == "hot", "hot").otherwise(F.col("citation_id")),
+            "status": F.when(copy == "late", "Late change").otherwise(F.col("status")),
+            SEQ: F.when(copy == "late", seq + 10**15)
+            .when(copy == "hot", seq + 2 * 10**15)
+            .otherwise(seq),
+        }
     )
-    return stored, even.unionByName(later).unionByName(hot)
+    return stored, batch.drop("copy")
 
 
 def replace_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
