@@ -132,10 +132,8 @@ def sql_status_share(spark, sf):
 
 def fact_enrichment(spark, sf):
     """Weather is a stored table, whose size Spark knows, before it is joined to every citation."""
-    path = t.scratch(spark, "weather")
-    sinks.write_zone(t.weather(spark, sf), path)
-    stored = scans.read_table(spark, path, schemas.WEATHER)
-    return joins.attach_weather(t.citations(spark, sf), stored).select(
+    weather = t.stored(spark, t.weather(spark, sf), "weather")
+    return joins.attach_weather(t.citations(spark, sf), weather).select(
         SEQ, "citation_id", "date", "campus", "precip_bucket", "condition_label"
     )
 
@@ -224,7 +222,7 @@ def anomaly_listing(spark, sf):
     return quality.anomalies(t.citations(spark, sf))
 
 
-def _landed_citations(spark, sf):
+def landed_citations(spark, sf):
     """The raw citations as a CSV file with the headers of the source, scanned again."""
     path = t.scratch(spark, "landed")
     t.citations_raw(spark, sf).drop(SEQ).withColumnRenamed(
@@ -239,7 +237,7 @@ def _landed_citations(spark, sf):
 
 
 def raw_scan(spark, sf):
-    return _landed_citations(spark, sf).drop(SEQ).withColumnsRenamed(schemas.CLEAN_NAMES)
+    return landed_citations(spark, sf).drop(SEQ).withColumnsRenamed(schemas.CLEAN_NAMES)
 
 
 def zone_scan(spark, sf):
@@ -257,7 +255,7 @@ def report_sink(spark, sf):
     ).csv(path, header=True)
 
 
-def _landed_payloads(spark, sf):
+def landed_payloads(spark, sf):
     """The daily weather as JSON payloads, one per campus and month."""
     path = t.scratch(spark, "payloads")
     day = F.struct("date", *schemas.WEATHER_VARIABLES)
@@ -279,7 +277,7 @@ def _landed_payloads(spark, sf):
 def batch_reports(spark, sf) -> DataFrame:
     """The whole job from landed files; the counts of all eight report files."""
     out = batch.Layout(t.scratch(spark, "batch"))
-    batch.run(spark, _landed_citations(spark, sf), _landed_payloads(spark, sf), out.root, t.RULES)
+    batch.run(spark, landed_citations(spark, sf), landed_payloads(spark, sf), out.root, t.RULES)
 
     def counts(report, directory):
         lines = spark.read.csv(f"{directory}/{report.name}", header=True)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.operators.citations import clean_citations
 from ticketmill.operators.weather import clean_weather
 from ticketmill.schemas import SEQ, WEATHER_VARIABLES
 from ticketmill.settings import CitationRules
+from ticketmill.sources.sinks import write_zone
 
 RULES = CitationRules(
     schedule={"click": 35, "view": 35, "purchase": 50, "signup": 50},
@@ -48,7 +49,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _campus() -> F.Column:
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The frame, written and read back: as a later stage of the job finds it."""
+    path = scratch(spark, name)
+    write_zone(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _campus() -> Column:
     return F.when(F.col("user_id") % 4 == 0, "South").otherwise("North")
 
 
@@ -178,9 +186,8 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(stored citations, batch): the batch overlaps, repeats ids with a later status, and gives
     about a quarter of its rows one and the same id."""
-    rows = citations(spark, sf_dir)
+    rows = stored(spark, citations(spark, sf_dir), "citations")
     seq = F.col(SEQ)
-    stored = rows.filter(seq % 3 == 0).drop(SEQ)
     copies = F.array_compact(
         F.array(
             F.when(seq % 2 == 0, "same"), F.when(seq % 2 == 0, "late"), F.when(seq % 3 == 1, "hot")
@@ -196,7 +203,7 @@ def insert_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
             .otherwise(seq),
         }
     )
-    return stored, batch.drop("copy")
+    return rows.filter(seq % 3 == 0).drop(SEQ), batch.drop("copy")
 
 
 def replace_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

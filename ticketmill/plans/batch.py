@@ -8,9 +8,10 @@ nothing: known citations are skipped and weather rows are replaced by themselves
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +22,7 @@ from ticketmill.operators.citations import clean_citations
 from ticketmill.operators.merge import absent_rows, replace_by_key
 from ticketmill.operators.weather import clean_weather
 from ticketmill.plans import quality
-from ticketmill.plans.reports import (
-    MEASURES,
-    ROLLUP_KEYS,
-    TABLE_REPORTS,
-    ZONE_REPORTS,
-    Report,
-    rollup,
-)
+from ticketmill.plans.reports import TABLE_REPORTS, ZONE_REPORTS, Report, rollup
 from ticketmill.settings import CitationRules, WeatherRules
 from ticketmill.sources.payload import flatten_payloads
 from ticketmill.sources.scans import read_table
@@ -92,7 +86,14 @@ class Outcome:
     failed_reports: dict[str, str] = field(default_factory=dict)
 
 
-def _counted(df: DataFrame, write) -> int:
+def side_by_side(work: Mapping[str, Callable[[], object]], workers: int = 8) -> dict:
+    """Run independent jobs at once, so that the tail of one does not leave executors idle."""
+    with ThreadPoolExecutor(workers) as pool:
+        running = {name: pool.submit(job) for name, job in work.items()}
+    return {name: job.result() for name, job in running.items()}
+
+
+def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Run a write and return its row count, measured by the write itself."""
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
@@ -102,10 +103,16 @@ def _counted(df: DataFrame, write) -> int:
 def ingest(citations: DataFrame, payloads: DataFrame, out: Layout) -> dict[str, int]:
     """Land both sources in the raw zone, before any cleaning."""
     weather = flatten_payloads(payloads, ("campus", SEQ))
-    return {
-        "raw_citations": _counted(citations, lambda df: write_zone(df, out.raw_citations)),
-        "raw_weather": _counted(weather, lambda df: write_zone(df, out.raw_weather)),
-    }
+    return side_by_side(
+        {
+            "raw_citations": lambda: write_counted(
+                citations, lambda df: write_zone(df, out.raw_citations)
+            ),
+            "raw_weather": lambda: write_counted(
+                weather, lambda df: write_zone(df, out.raw_weather)
+            ),
+        }
+    )
 
 
 def transform(
@@ -113,10 +120,16 @@ def transform(
 ) -> dict[str, int]:
     citations = clean_citations(spark.read.parquet(out.raw_citations), citation_rules, [SEQ])
     weather = clean_weather(spark.read.parquet(out.raw_weather), weather_rules, [SEQ])
-    return {
-        "clean_citations": _counted(citations, lambda df: write_zone(df, out.clean_citations)),
-        "clean_weather": _counted(weather, lambda df: write_zone(df, out.clean_weather)),
-    }
+    return side_by_side(
+        {
+            "clean_citations": lambda: write_counted(
+                citations, lambda df: write_zone(df, out.clean_citations)
+            ),
+            "clean_weather": lambda: write_counted(
+                weather, lambda df: write_zone(df, out.clean_weather)
+            ),
+        }
+    )
 
 
 def merge_citations(
@@ -134,7 +147,7 @@ def merge_citations(
     create_table(spark, path, schemas.CITATIONS, partition_by)
     stored = read_table(spark, path, schemas.CITATIONS)
     new = absent_rows(stored, batch, schemas.CITATION_KEY, SEQ, schemas.CITATION_REQUIRED)
-    return _counted(
+    return write_counted(
         new, lambda df: write_zone(df, path, partition_by, mode="append", rebalance=rebalance)
     )
 
@@ -161,24 +174,18 @@ def merge_weather(spark: SparkSession, batch: DataFrame, path: str) -> int:
 def merge(spark: SparkSession, out: Layout) -> dict[str, int]:
     citations = spark.read.parquet(out.clean_citations)
     weather = spark.read.parquet(out.clean_weather)
-    return {
-        "inserted_citations": merge_citations(spark, citations, out.citations),
-        "stored_weather": merge_weather(spark, weather, out.weather),
-    }
+    return side_by_side(
+        {
+            "inserted_citations": lambda: merge_citations(spark, citations, out.citations),
+            "stored_weather": lambda: merge_weather(spark, weather, out.weather),
+        }
+    )
 
 
 def run_reports(
-    reports: Sequence[Report],
-    citations: DataFrame,
-    weather: DataFrame,
-    directory: str,
-    workers: int = 4,
+    reports: Sequence[Report], citations: DataFrame, weather: DataFrame, directory: str
 ) -> dict[str, str]:
-    """Write every report; return the error of each one that failed. One failure stops no other.
-
-    Reports are independent jobs and submitted side by side, so that the tail of one does not
-    leave executors idle.
-    """
+    """Write every report; return the error of each one that failed. One failure stops no other."""
 
     def write(report: Report) -> str | None:
         try:
@@ -192,21 +199,29 @@ def run_reports(
             return f"{type(e).__name__}: {e}"
         return None
 
-    with ThreadPoolExecutor(workers) as pool:
-        errors = list(pool.map(write, reports))
-    return {r.name: e for r, e in zip(reports, errors) if e is not None}
+    errors = side_by_side({r.name: partial(write, r) for r in reports})
+    return {name: error for name, error in errors.items() if error is not None}
 
 
-def report(spark: SparkSession, out: Layout) -> dict[str, str]:
-    """Six reports over the stored tables and two over the clean zone of this batch."""
+def table_reports(spark: SparkSession, out: Layout) -> dict[str, str]:
+    """Six reports over the stored tables, whose citations are scanned once, into a roll-up."""
     write_zone(rollup(read_table(spark, out.citations, schemas.CITATIONS)), out.rollup)
-    rolled = spark.read.parquet(out.rollup).select(*ROLLUP_KEYS, *MEASURES)
-    stored_weather = read_table(spark, out.weather, schemas.WEATHER)
-    failed = run_reports(TABLE_REPORTS, rolled, stored_weather, out.reports)
+    return run_reports(
+        TABLE_REPORTS,
+        spark.read.parquet(out.rollup),
+        read_table(spark, out.weather, schemas.WEATHER),
+        out.reports,
+    )
 
-    batch = read_table(spark, out.clean_citations, schemas.CITATIONS)
-    batch_weather = read_table(spark, out.clean_weather, schemas.WEATHER)
-    return failed | run_reports(ZONE_REPORTS, batch, batch_weather, f"{out.reports}/spark")
+
+def zone_reports(spark: SparkSession, out: Layout) -> dict[str, str]:
+    """Two reports over the clean zone of this batch."""
+    return run_reports(
+        ZONE_REPORTS,
+        read_table(spark, out.clean_citations, schemas.CITATIONS),
+        read_table(spark, out.clean_weather, schemas.WEATHER),
+        f"{out.reports}/spark",
+    )
 
 
 def check_quality(
@@ -215,7 +230,7 @@ def check_quality(
     """Metrics of this batch as CSV, next to the reports."""
     citations = read_table(spark, out.clean_citations, schemas.CITATIONS)
     weather = read_table(spark, out.clean_weather, schemas.WEATHER)
-    frames: Mapping[str, DataFrame] = {
+    frames = {
         "citations": quality.citation_quality(
             spark.read.parquet(out.raw_citations), citation_rules
         ),
@@ -224,8 +239,12 @@ def check_quality(
         "join_coverage": quality.join_coverage(citations, weather),
         "missing_keys": quality.missing_keys(citations, weather),
     }
-    for name, frame in frames.items():
-        write_report(frame, f"{out.quality}/{name}", [F.col(frame.columns[0])])
+    side_by_side(
+        {
+            name: partial(write_report, df, f"{out.quality}/{name}", [F.col(df.columns[0])])
+            for name, df in frames.items()
+        }
+    )
 
 
 def run(
@@ -242,7 +261,13 @@ def run(
     outcome.rows |= ingest(citations, payloads, out)
     outcome.rows |= transform(spark, out, citation_rules, weather_rules)
     outcome.rows |= merge(spark, out)
-    outcome.failed_reports = report(spark, out)
-    check_quality(spark, out, citation_rules, weather_rules)
+    last = side_by_side(
+        {
+            "tables": lambda: table_reports(spark, out),
+            "zones": lambda: zone_reports(spark, out),
+            "quality": lambda: check_quality(spark, out, citation_rules, weather_rules),
+        }
+    )
+    outcome.failed_reports = last["tables"] | last["zones"]
     log.info("rows per stage: %s", outcome.rows)
     return outcome
