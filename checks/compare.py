@@ -26,6 +26,17 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+DUCKDB_TYPE = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _bag(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
 
@@ -36,12 +47,14 @@ def _bag(columns, rows):
 
 
 def difference(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
-    """None if names, row counts and values agree exactly."""
+    """None if names, types, row counts and values agree exactly."""
     frame = QUERIES[name](spark, sf_dir)
     result = con.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
-    if sorted(columns) != sorted(frame.columns):
-        return f"columns {sorted(frame.columns)} vs {sorted(columns)}"
+    types = sorted((d[0], str(d[1])) for d in result.description)
+    expected = sorted((name, DUCKDB_TYPE[dtype]) for name, dtype in frame.dtypes)
+    if types != expected:
+        return f"columns {expected} vs {types}"
     ours, theirs = _bag(frame.columns, frame.collect()), _bag(columns, result.fetchall())
     if ours == theirs:
         return None

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,10 +45,19 @@ def test_unparsable_value_is_an_error(spark, csv):
         read_citations(spark, path).collect()
 
 
-def test_source_position_follows_file_and_line(spark, csv):
-    for name, start in (("a.csv", 0), ("b.csv", 5000)):
+def test_header_in_another_order_is_an_error(spark, tmp_path):
+    names = HEADER.split(",")
+    names[2], names[3] = names[3], names[2]
+    (tmp_path / "c.csv").write_text(",".join(names) + "\n1,2025-09-15 10:30:00,K,L,T,U,60\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_citations(spark, str(tmp_path)).collect()
+
+
+def test_source_position_follows_age_and_line(spark, csv, tmp_path):
+    for name, start in (("b.csv", 0), ("a.csv", 5000)):
         path = csv(*(f"{i},2025-09-15 10:30:00,L,K,T,U,60" for i in range(start, start + 5000)),
                    name=name)
+        os.utime(tmp_path / name, (start, start))
     try:
         # Small splits, handed out by size: the order must not depend on that.
         spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketmill import schemas
+from ticketmill.settings import CAMPUSES
 
 
 def _arrays(df: DataFrame, payload: str) -> dict[str, Column | None]:
@@ -84,7 +85,7 @@ def load_window(df: DataFrame, timestamp: str = "timestamp") -> DataFrame:
     )
 
 
-def key_spine(window: DataFrame, campuses: Sequence[str]) -> DataFrame:
+def key_spine(window: DataFrame, campuses: Sequence[str] = CAMPUSES) -> DataFrame:
     """Every campus on every date of the window: the keys a complete weather table has."""
     return window.select(
         F.explode(F.sequence("first_date", "last_date", F.expr("INTERVAL 1 DAY"))).alias("date")

@@ -10,13 +10,16 @@ from ticketmill import schemas
 
 
 def source_position() -> Column:
-    """Order of rows in their files, for a DataFrame read straight from files.
+    """Order of rows in their source, for a DataFrame read straight from files: older files first,
+    then by place in the file.
 
-    File and block order the splits, the increasing id orders the rows inside one. The id alone
-    would not do: Spark hands out splits by size, not by their place in the file.
+    The block orders the splits of a file, the increasing id the rows inside a split. The id alone
+    would not do: Spark hands out splits by size. The path is hashed, since it only has to tell
+    files of one age apart and would otherwise travel with every row.
     """
     return F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.unix_micros("_metadata.file_modification_time").alias("landed"),
+        F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -28,13 +31,14 @@ def read_citations(
     """Raw citations with a source position. A missing path or an unparsable value is an error.
 
     The id is declared a string, so long numeric ids keep every digit, and only its header is
-    tidied. All other names and values stay as they are.
+    tidied. All other names and values stay as they are. A CSV header must name the columns in
+    their declared order.
     """
     reader = spark.read.schema(schemas.RAW_CITATIONS).format(fmt)
     if fmt in ("csv", "json"):
         reader = reader.option("mode", mode)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     return (
         reader.load(path)
         .withColumn(schemas.SEQ, source_position())
