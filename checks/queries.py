@@ -250,9 +250,8 @@ def report_sink(spark, sf):
     report = REPORTS["violations_by_type"]
     path = t.scratch(spark, "report")
     sinks.write_report(report.rows(t.citations(spark, sf)), path, report.sort_columns())
-    return spark.read.schema(
-        "violation_type string, citation_count bigint, total_fines_collected bigint, avg_fine double"
-    ).csv(path, header=True)
+    columns = "violation_type string, citation_count bigint, total_fines_collected bigint"
+    return spark.read.schema(columns + ", avg_fine double").csv(path, header=True)
 
 
 def landed_payloads(spark, sf):
@@ -271,7 +270,7 @@ def landed_payloads(spark, sf):
             "daily"
         ),
     ).write.partitionBy("campus").option("ignoreNullFields", False).json(path)
-    return scans.read_payloads(spark, path, one_per_line=True)
+    return scans.read_payloads(spark, path)
 
 
 def batch_reports(spark, sf) -> DataFrame:
@@ -281,7 +280,7 @@ def batch_reports(spark, sf) -> DataFrame:
 
     def counts(report, directory):
         lines = spark.read.csv(f"{directory}/{report.name}", header=True)
-        keys = [k for k in _GROUP_KEYS[report.name]]
+        keys = _GROUP_KEYS[report.name]
         return lines.select(
             F.lit(report.name).alias("report"),
             F.concat_ws("|", *(F.coalesce(F.col(k), F.lit("-")) for k in keys)).alias("keys"),

@@ -3,6 +3,7 @@ from datetime import date, datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -24,8 +25,10 @@ def spark():
 @pytest.fixture(scope="session")
 def raw(spark):
     """Raw citations from (id, timestamp, location, campus, type, status, fine) tuples."""
-    schema = "citation_id string, Timestamp timestamp_ntz, Location string, Campus string, " \
+    schema = (
+        "citation_id string, Timestamp timestamp_ntz, Location string, Campus string, "
         "`Violation Type` string, Status string, `Fine Amount` int, _seq int"
+    )
 
     def make(*rows):
         def ts(value):
@@ -46,9 +49,8 @@ def citations(raw):
 @pytest.fixture(scope="session")
 def raw_weather(spark):
     """Raw weather from (date, campus, high, low, precipitation, code) tuples."""
-    return lambda *rows: spark.createDataFrame(
-        [(*r, i) for i, r in enumerate(rows)], schemas.RAW_WEATHER.simpleString()[7:-1] + ",_seq:int"
-    )
+    schema = T.StructType([*schemas.RAW_WEATHER, T.StructField("_seq", T.IntegerType())])
+    return lambda *rows: spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], schema)
 
 
 @pytest.fixture(scope="session")

@@ -68,11 +68,11 @@ def test_job_is_repeatable_and_merges_later_loads(spark, tmp_path):
     assert outcome.rows == {
         "raw_citations": 6, "raw_weather": 4, "clean_citations": 5, "clean_weather": 4,
         "inserted_citations": 3, "stored_weather": 4,
-    }
+    }
     cit, sky = stored(spark, root)
     assert [(r.citation_id, r.status, r.location) for r in cit] == [
         ("A1", "Unpaid", "East Deck"), ("A2", "Transfer", "East Deck"), ("A3", "Unpaid", "Lot B"),
-    ]
+    ]
     assert csv_text(root / "reports/violations_by_type") == (
         "violation_type,citation_count,total_fines_collected,avg_fine\n"
         "No Valid Permit,2,50,50.0\nBoot Fee,1,35,35.0\n"
@@ -96,10 +96,10 @@ def test_job_is_repeatable_and_merges_later_loads(spark, tmp_path):
     cit, sky = stored(spark, root)
     assert [(r.citation_id, r.status) for r in cit] == [
         ("A1", "Unpaid"), ("A2", "Transfer"), ("A3", "Unpaid"), ("A9", "Unpaid"),
-    ]
+    ]
     assert [(str(r.date), r.precipitation_sum) for r in sky if r.campus == "Kennesaw"] == [
         ("2025-09-15", 10.0), ("2025-09-30", 7.0), ("2025-10-01", 1.0),
-    ]
+    ]
 
 
 def test_a_failing_report_does_not_stop_the_others(spark, citations, tmp_path):
@@ -132,7 +132,7 @@ def test_command_line(tmp_path, missing):
          "--payloads", payloads, "--root", str(tmp_path / "root")],
         cwd=ROOT, capture_output=True, text=True, timeout=300,
         env=os.environ | {"SPARK_LOCAL_DIRS": str(tmp_path)},
-    )
+    )
     assert (done.returncode != 0) == missing
     assert (tmp_path / "root/reports/violations_by_type/_SUCCESS").exists() != missing
     assert ("PATH_NOT_FOUND" in done.stderr) == missing

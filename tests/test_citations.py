@@ -76,7 +76,7 @@ def test_credit_flag_is_never_null_and_amount_is_kept(citations):
     rows = citations(row(fine=-60), row(fine=0), row(fine=None)).collect()
     assert [(r.fine_amount, r.is_credit_adjustment) for r in rows] == [
         (-60, True), (0, False), (None, False),
-    ]
+    ]
 
 
 def test_semester_bounds(raw):
@@ -89,7 +89,7 @@ def test_semester_bounds(raw):
 
     assert semesters(CitationRules()) == [
         "Unknown", "Fall 2025", "Fall 2025", "Unknown", "Spring 2026", "Unknown", "Unknown",
-    ]
+    ]
     assert semesters(CitationRules(whole_last_day=True))[3] == "Fall 2025"
 
 
@@ -107,7 +107,7 @@ def test_time_zone_of_the_session_does_not_matter(spark, citations):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert [(x.date, x.hour, x.day_of_week) for x in r] == [
         (day("2025-11-02"), 1, "Sunday"), (day("2026-03-08"), 2, "Sunday"),
-    ]
+    ]
 
 
 def test_default_rules():

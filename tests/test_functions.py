@@ -25,7 +25,7 @@ def test_strip_is_python_strip(spark):
 def test_round_half_even_works_on_the_binary_value(spark):
     assert apply(spark, [1.015, 2.5, None], "double", lambda c: round_half_even(c, 2)) == [
         1.01, 2.5, None,
-    ]
+    ]
     assert apply(spark, [0.25, 0.35, -0.25, 87.2999999], "double",
                  lambda c: round_half_even(c, 1)) == [0.2, 0.4, -0.2, 87.3]
 
@@ -46,7 +46,7 @@ def test_is_true_is_never_null(spark):
 def test_lookup_default_for_unknown_and_null(spark):
     assert apply(spark, [3, 7, None], "int", lambda c: lookup(c, {3: "Overcast"}, "Unknown")) == [
         "Overcast", "Unknown", "Unknown",
-    ]
+    ]
     assert apply(spark, ["a", None], "string", lambda c: lookup(c, {"a": 5})) == [5, None]
     assert apply(spark, ["a"], "string", lambda c: lookup(c, {}, "none")) == ["none"]
 

@@ -80,7 +80,9 @@ def test_citations_are_aggregated_before_they_are_shuffled(spark, stored, report
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     lines = text.splitlines()
-    scan = next(i for i, line in enumerate(lines) if "is_credit_adjustment" in line and "FileScan" in line)
+    scan = next(
+        i for i, x in enumerate(lines) if "is_credit_adjustment" in x and "FileScan" in x
+    )
     above = "\n".join(lines[:scan])
     last_exchange = above.rindex("Exchange hashpartitioning")
     assert "partial_sum" in above[last_exchange:]

@@ -11,7 +11,7 @@ def metrics(df):
 
 
 def cite(id="1", ts="2025-09-15 10:00:00", loc="L", campus="K", type="Tow Fee", status="Unpaid",
-         fine=60):
+         fine=60):
     return id, ts, loc, campus, type, status, fine
 
 
@@ -20,13 +20,13 @@ def test_citation_metrics(raw):
         cite(), cite(None), cite(ts=None), cite(campus=None), cite(fine=-60), cite(fine=0),
         cite(loc="M", type=" Tow Fee "), cite(type="DO NOT USE/TESTING", campus="Z", loc="Z"),
         cite(ts="2027-01-01 00:00:00"),
-    )
+    )
     assert metrics(quality.citation_quality(rows)) == {
         "raw_rows": 9, "removed_rows": 1, "clean_rows": 8, "credit_rows": 1, "zero_fine_rows": 1,
         "validation_failures": 1, "null_citation_ids": 1, "null_timestamps": 1,
         "null_campuses": 1, "unknown_semester_rows": 2, "distinct_campuses": 1,
         "distinct_types": 1, "distinct_locations": 2, "distinct_semesters": 1,
-    }
+    }
 
 
 def test_metrics_of_nothing_are_zero(raw, raw_weather):
@@ -39,15 +39,15 @@ def test_weather_metrics(raw_weather):
     rows = raw_weather(
         ("2025-09-15", "K", None, NAN, NAN, 3), ("2025-09-16", "K", 1.0, None, 5.004, 42),
         ("2025-09-17", "K", 1.0, 1.0, 9.0, None), ("2025-09-18", "K", 1.0, 1.0, 90.0, 0),
-    )
+    )
     assert metrics(quality.weather_quality(rows)) == {
         "rows": 4, "null_precipitation": 1, "null_temperatures": 3, "unknown_codes": 2,
         "bucket_none": 1, "bucket_light": 1, "bucket_moderate": 1, "bucket_heavy": 1,
-    }
+    }
     counts = quality.bucket_counts(clean_weather(rows)).collect()
     assert [tuple(r) for r in counts] == [
         ("Heavy", 1), ("Light", 1), ("Moderate", 1), ("None", 1),
-    ]
+    ]
 
 
 def test_join_coverage_and_missing_keys(raw, weather):
@@ -65,4 +65,4 @@ def test_anomalies_by_type_and_amount(raw):
     fact = clean_citations(raw(cite(fine=35), cite(fine=35), cite(fine=1), cite()))
     assert [tuple(r) for r in quality.anomalies(fact).collect()] == [
         ("Tow Fee", 35, 2), ("Tow Fee", 1, 1),
-    ]
+    ]

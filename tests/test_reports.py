@@ -13,7 +13,7 @@ from ticketmill.plans.views import register_views
 
 
 def row(id="C", ts="2025-09-15 10:00:00", loc="Lot A", campus="Kennesaw",
-        type="No Valid Permit", status="Unpaid", fine=50):
+        type="No Valid Permit", status="Unpaid", fine=50):
     return id, ts, loc, campus, type, status, fine
 
 
@@ -24,7 +24,7 @@ def few(citations):
         row("4", type="Boot Fee", fine=0), row(None, type="Boot Fee", fine=60, campus="Marietta"),
         row("6", ts="2025-09-16 10:30:00", fine=None), row("7", ts="2025-09-16 11:00:00"),
         row("8", ts=None, campus="Marietta", loc=None),
-    ).cache()
+    ).cache()
 
 
 @pytest.fixture(scope="module")
@@ -49,7 +49,7 @@ def named(name):
 def test_violations_by_type(few):
     assert rows(named("violations_by_type").frame(few)) == [
         ("No Valid Permit", 5, 150, 50.0), ("Boot Fee", 2, 60, 60.0),
-    ]
+    ]
 
 
 def test_average_is_null_without_positive_fines(citations):
@@ -68,7 +68,7 @@ def test_monthly_volume(few):
 def test_top_locations_order_and_limit(few):
     assert rows(named("top_locations").frame(few)) == [
         ("Kennesaw", "Lot A", 5, 100), ("Marietta", None, 1, 50), ("Marietta", "Lot A", 1, 60),
-    ]
+    ]
     assert reports.top_locations(few, k=1).count() == 1
 
 
@@ -84,7 +84,7 @@ def test_status_breakdown_includes_credits(few):
 def test_hourly_patterns(few):
     assert rows(named("hourly_patterns").frame(few)) == [
         (None, "Marietta", 1), (10, "Kennesaw", 4), (10, "Marietta", 1), (11, "Kennesaw", 1),
-    ]
+    ]
 
 
 def test_violation_summary_counts_ids_but_sums_all_fines(few):
@@ -184,7 +184,7 @@ def test_lookup_join_default_covers_null_keys(spark):
     right = spark.createDataFrame([(1, "one")], "k int, v string")
     assert sorted(rows(lookup_join(left, right, ["k"], "v", "?")), key=str) == [
         (1, "one"), (2, "?"), (None, "?"),
-    ]
+    ]
 
 
 def test_stack_keeps_duplicates_and_matches_by_name(spark):

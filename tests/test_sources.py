@@ -83,12 +83,12 @@ PAYLOAD = {
 
 @pytest.fixture
 def payloads(spark, tmp_path):
-    def land(**by_campus):
+    def land(indent=None, multi_line=False, **by_campus):
         for campus, payload in by_campus.items():
             folder = tmp_path / f"campus={campus}"
             folder.mkdir()
-            (folder / "daily.json").write_text(json.dumps(payload, indent=1))
-        return read_payloads(spark, str(tmp_path))
+            (folder / "daily.json").write_text(json.dumps(payload, indent=indent))
+        return read_payloads(spark, str(tmp_path), multi_line)
 
     return land
 
@@ -103,10 +103,22 @@ def test_payloads_flatten_to_one_row_per_day(payloads):
     assert [tuple(r) for r in flat.orderBy("campus", "date").collect()] == [
         (d, c, *v)
         for c in ("Kennesaw", "Marietta")
-        for d, v in (("2025-09-15", (87.2999999, 65.0, 0.0, 3)), ("2025-09-16", (None, 66.0, 1.5, 61)))
+        for d, v in (
+            ("2025-09-15", (87.2999999, 65.0, 0.0, 3)),
+            ("2025-09-16", (None, 66.0, 1.5, 61)),
+        )
     ]
 
 
+def test_payload_over_several_lines(payloads):
+    assert flatten_payloads(payloads(indent=1, multi_line=True, Kennesaw=PAYLOAD)).count() == 2
+
+
+def test_unexpected_layout_is_an_error(payloads):
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        flatten_payloads(payloads(indent=1, Kennesaw=PAYLOAD)).collect()
+
+
 def test_missing_variable_is_null(payloads):
     flat = flatten_payloads(payloads(Kennesaw=without("precipitation_sum")))
     assert [r.precipitation_sum for r in flat.collect()] == [None, None]
@@ -114,7 +126,9 @@ def test_missing_variable_is_null(payloads):
 
 
 def test_variable_missing_from_the_type_is_null(payloads):
-    narrow = payloads(Kennesaw=PAYLOAD).withColumn("daily", F.col("daily").dropFields("weathercode"))
+    narrow = payloads(Kennesaw=PAYLOAD).withColumn(
+        "daily", F.col("daily").dropFields("weathercode")
+    )
     assert [r.weathercode for r in flatten_payloads(narrow).collect()] == [None, None]
 
 
@@ -123,7 +137,10 @@ def test_variable_missing_from_the_type_is_null(payloads):
     [
         ({}, "payload has no time axis"),
         (without("time"), "payload has no time axis"),
-        ({"daily": PAYLOAD["daily"] | {"weathercode": [3]}}, "weathercode and time differ in length"),
+        (
+            {"daily": PAYLOAD["daily"] | {"weathercode": [3]}},
+            "weathercode and time differ in length",
+        ),
     ],
 )
 def test_bad_payload_fails_or_is_set_aside(payloads, payload, problem):

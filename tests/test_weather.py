@@ -31,10 +31,11 @@ def test_missing_precipitation_is_dry_and_missing_temperature_stays(weather, mis
 
 
 def test_bucket_uses_the_rounded_value(weather):
-    rows = weather(*(("2025-09-15", "K", 1.0, 1.0, p, 0) for p in (0.004, 0.01, 5.004, 5.01, 15.02)))
+    amounts = (0.004, 0.01, 5.004, 5.01, 15.02)
+    rows = weather(*(("2025-09-15", "K", 1.0, 1.0, p, 0) for p in amounts))
     assert [r.precip_bucket for r in rows.collect()] == [
         "None", "Light", "Light", "Moderate", "Heavy",
-    ]
+    ]
 
 
 def test_unknown_code(weather):

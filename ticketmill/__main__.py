@@ -19,16 +19,20 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument(
         "--payloads", required=True, help="weather payloads: <dir>/campus=<name>/*.json"
     )
+    parser.add_argument(
+        "--multi-line", action="store_true", help="a payload file is one JSON text of many lines"
+    )
     parser.add_argument("--root", required=True, help="where zones, tables and reports go")
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="[%(levelname)s] %(asctime)s  %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = SparkSession.builder.appName("ticketmill").getOrCreate()
     try:
         outcome = run(
             spark,
             read_citations(spark, args.citations, args.format),
-            read_payloads(spark, args.payloads),
+            read_payloads(spark, args.payloads, args.multi_line),
             args.root,
         )
     finally:

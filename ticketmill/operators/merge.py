@@ -110,7 +110,9 @@ def insert_counts(
 def replace_counts(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: stored rows before, replaced and inserted keys, stored rows after."""
     old = existing.select(*keys, F.lit(1).alias("old"), F.lit(0).alias("new"))
-    new = fail_on_null_key(incoming, keys).select(*keys, F.lit(0).alias("old"), F.lit(1).alias("new"))
+    new = fail_on_null_key(incoming, keys).select(
+        *keys, F.lit(0).alias("old"), F.lit(1).alias("new")
+    )
     per_key = old.unionByName(new).groupBy(*keys).agg(
         F.sum("old").alias("n_old"), F.max("new").alias("in_batch")
     )

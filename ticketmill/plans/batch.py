@@ -258,9 +258,14 @@ def run(
     """All stages in order, from frames as sources.scans returns them."""
     out = Layout(root)
     outcome = Outcome()
-    outcome.rows |= ingest(citations, payloads, out)
-    outcome.rows |= transform(spark, out, citation_rules, weather_rules)
-    outcome.rows |= merge(spark, out)
+    for stage, work in {
+        "ingest": lambda: ingest(citations, payloads, out),
+        "transform": lambda: transform(spark, out, citation_rules, weather_rules),
+        "merge": lambda: merge(spark, out),
+    }.items():
+        rows = work()
+        log.info("%s: %s", stage, rows)
+        outcome.rows |= rows
     last = side_by_side(
         {
             "tables": lambda: table_reports(spark, out),
@@ -269,5 +274,5 @@ def run(
         }
     )
     outcome.failed_reports = last["tables"] | last["zones"]
-    log.info("rows per stage: %s", outcome.rows)
+    log.info("reports: %s failed", len(outcome.failed_reports))
     return outcome

@@ -18,7 +18,7 @@ from ticketmill.functions.numeric import positive, positive_or_zero, ratio, weig
 ROLLUP_KEYS = (
     "semester", "year", "month", "date", "hour", "campus", "location", "violation_type",
     "status", "is_credit_adjustment",
-)
+)
 MEASURES = ("n_rows", "n_ids", "fines", "n_fines")
 
 

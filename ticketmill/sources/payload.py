@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,9 +64,8 @@ def flatten_payloads(
         return F.struct(*fields)
 
     flat = df.select(*tags, F.inline(F.transform(time, day)))
-    lead = [c for c in ("date", "campus") if c in flat.columns]
-    return flat.select(*lead, *[c for c in schemas.WEATHER_VARIABLES],
-                       *[t for t in tags if t not in lead])
+    ordered = [c for c in schemas.RAW_WEATHER.names if c in flat.columns]
+    return flat.select(*ordered, *(tag for tag in tags if tag not in ordered))
 
 
 def bad_payloads(

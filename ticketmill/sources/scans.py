@@ -46,16 +46,17 @@ def read_citations(
     )
 
 
-def read_payloads(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+def read_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Daily weather payloads laid out as <path>/campus=<name>/<file>.json.
 
-    One scan reads every campus; the directory name becomes the campus column. A file holds one
-    payload, or one per line if `one_per_line` is set.
+    One scan reads every campus; the directory name becomes the campus column. A payload is one
+    line, as the service sends it; other layouts fail. With `multi_line` each file holds a single
+    payload, spread over any number of lines.
     """
     schema = T.StructType([*schemas.WEATHER_PAYLOAD, T.StructField("campus", T.StringType())])
     return (
         spark.read.schema(schema)
-        .option("multiLine", not one_per_line)
+        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .json(path)
         .withColumn(schemas.SEQ, source_position())
