@@ -367,6 +367,7 @@ ORACLE = {
     "status_share": sql(TO_CLEAN, STATUS_SHARE),
     "hourly_patterns": sql(TO_BILLABLE, HOURLY_PATTERNS),
     "condition_correlation": sql([*TO_CLEAN, *TO_WEATHER], CORRELATION),
+    "condition_correlation_preagg": sql([*TO_CLEAN, *TO_WEATHER], CORRELATION),
     "category_site_summary": sql(TO_BILLABLE, SITE_SUMMARY),
     "condition_hourly": sql([*TO_BILLABLE, *TO_WEATHER], CONDITION_HOURLY),
     "citation_rollup": sql(
@@ -481,5 +482,14 @@ ORACLE = {
     "raw_scan": sql([CITATIONS_RAW], "SELECT * EXCLUDE (_seq) FROM citations_raw"),
     "zone_scan": sql(TO_CLEAN, f"SELECT {COLUMNS} FROM citations"),
     "report_sink": sql(TO_BILLABLE, VIOLATIONS_BY_TYPE),
+    "stage_counts": sql(
+        [*TO_CLEAN, *TO_WEATHER],
+        f"""SELECT 'raw_citations' AS stage, count(*) AS n_rows FROM citations_raw
+            UNION ALL SELECT 'raw_weather', count(*) FROM weather_raw
+            UNION ALL SELECT 'clean_citations', count(*) FROM citations
+            UNION ALL SELECT 'clean_weather', count(*) FROM weather
+            UNION ALL SELECT 'inserted_citations', count(*) FROM citations WHERE {COMPLETE}
+            UNION ALL SELECT 'stored_weather', count(*) FROM weather""",
+    ),
     "batch_reports": batch_reports(),
 }

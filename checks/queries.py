@@ -120,6 +120,12 @@ def citation_rollup(spark, sf):
     return reports.rollup(t.citations(spark, sf))
 
 
+def condition_correlation_preagg(spark, sf):
+    """The report as the job computes it: from the stored roll-up, not from the citations."""
+    rolled = t.stored(spark, reports.rollup(t.citations(spark, sf)), "rollup")
+    return REPORTS["weather_citation_correlation"].frame(rolled, t.weather(spark, sf))
+
+
 def sql_status_share(spark, sf):
     """The views, queried with plain SQL."""
     register_views(t.citations(spark, sf).drop(SEQ), t.weather(spark, sf).drop(SEQ))
@@ -273,6 +279,15 @@ def landed_payloads(spark, sf):
     return scans.read_payloads(spark, path)
 
 
+def stage_counts(spark, sf):
+    """Rows that each stage of the job read or wrote, as the writes themselves counted them."""
+    out = batch.Layout(t.scratch(spark, "stages"))
+    rows = batch.ingest(landed_citations(spark, sf), landed_payloads(spark, sf), out)
+    rows |= batch.transform(spark, out, t.RULES, WeatherRules())
+    rows |= batch.merge(spark, out)
+    return spark.createDataFrame(list(rows.items()), "stage string, n_rows bigint")
+
+
 def batch_reports(spark, sf) -> DataFrame:
     """The whole job from landed files; the counts of all eight report files."""
     out = batch.Layout(t.scratch(spark, "batch"))
@@ -324,6 +339,7 @@ QUERIES = {
     "status_share": _report("status_breakdown"),
     "hourly_patterns": _report("hourly_patterns"),
     "condition_correlation": _report("weather_citation_correlation"),
+    "condition_correlation_preagg": condition_correlation_preagg,
     "category_site_summary": _report("violation_summary_spark"),
     "condition_hourly": _report("weather_hourly_spark"),
     "citation_rollup": citation_rollup,
@@ -349,5 +365,6 @@ QUERIES = {
     "raw_scan": raw_scan,
     "zone_scan": zone_scan,
     "report_sink": report_sink,
+    "stage_counts": stage_counts,
     "batch_reports": batch_reports,
 }

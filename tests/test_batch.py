@@ -104,7 +104,7 @@ def test_job_is_repeatable_and_merges_later_loads(spark, tmp_path):
 
 def test_a_failing_report_does_not_stop_the_others(spark, citations, tmp_path):
     rows = citations(("1", "2025-09-15 10:00:00", *"LKTU", 1))
-    broken = Report("broken", "", lambda df: df.select("no_such_column"), ())
+    broken = Report("broken", lambda df: df.select("no_such_column"), ())
     failed = batch.run_reports([broken, *TABLE_REPORTS[:2]], rows, rows, str(tmp_path))
     assert list(failed) == ["broken"] and "UNRESOLVED_COLUMN" in failed["broken"]
     assert all((tmp_path / r.name / "_SUCCESS").exists() for r in TABLE_REPORTS[:2])

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +124,38 @@ def days():
     from tests.conftest import day
 
     return [day(f"2025-09-1{i}") for i in range(3)]
+
+
+def random_row(rng, keys):
+    return rng.choice(keys), rng.choice("KM" * 4 + "-").replace("-", "") or None, rng.choice("xyz")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_insert_against_a_dictionary(spark, seed):
+    rng = random.Random(seed)
+    keys = [*map(str, range(12)), None]
+    old = [(k, "K", "old") for k in rng.sample(keys, 5)]
+    new = [random_row(rng, keys) for _ in range(60)]
+
+    table, unkeyed = {k: r for r in old if (k := r[0])}, [r for r in old if r[0] is None]
+    for row in new:
+        if row[1] is None:
+            continue
+        if row[0] is None:
+            unkeyed.append(row)
+        else:
+            table.setdefault(row[0], row)
+    assert bag(insert(frame(spark, old), batch(spark, new))) == sorted(
+        [*table.values(), *unkeyed], key=str
+    )
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_replace_against_a_dictionary(spark, days, seed):
+    rng = random.Random(seed)
+    pool = [(d, c) for d in days for c in "KM"]
+    old = [(*k, 0.0) for k in rng.sample(pool, 3)]
+    new = [(*rng.choice(pool), rng.random()) for _ in range(8)]
+    table = {r[:2]: r for r in [*old, *new]}
+    merged = replace_by_key(weather(spark, old), readings(spark, new), KEY, "_seq")
+    assert bag(merged) == sorted(table.values(), key=str)

@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root", required=True, help="where zones, tables and reports go")
     args = parser.parse_args(argv)
 
-    logging.basicConfig(level=logging.INFO, format="[%(levelname)s] %(asctime)s  %(message)s")
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s: %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = SparkSession.builder.appName("ticketmill").getOrCreate()
     try:

@@ -170,7 +170,6 @@ class Report:
     """A named report. `order` is its row order; group keys break ties."""
 
     name: str
-    description: str
     build: Callable[..., DataFrame]
     order: Sequence[str]
     uses_weather: bool = False
@@ -187,39 +186,17 @@ class Report:
 
 # Reports over the stored tables.
 TABLE_REPORTS = (
-    Report(
-        "violations_by_type",
-        "Citation count and total revenue by violation type",
-        violations_by_type,
-        ("-citation_count", "violation_type"),
-    ),
+    Report("violations_by_type", violations_by_type, ("-citation_count", "violation_type")),
     Report(
         "monthly_volume_by_campus",
-        "Monthly citation volume split by campus",
         monthly_volume_by_campus,
         ("year", "month", "campus", "semester"),
     ),
-    Report(
-        "top_locations",
-        "Top 20 locations by citation volume",
-        top_locations,
-        ("-citation_count", "campus", "location"),
-    ),
-    Report(
-        "status_breakdown",
-        "Citation outcome by status and semester",
-        status_breakdown,
-        ("semester", "-citation_count", "status"),
-    ),
-    Report(
-        "hourly_patterns",
-        "Citations by hour of day",
-        hourly_patterns,
-        ("hour", "campus"),
-    ),
+    Report("top_locations", top_locations, ("-citation_count", "campus", "location")),
+    Report("status_breakdown", status_breakdown, ("semester", "-citation_count", "status")),
+    Report("hourly_patterns", hourly_patterns, ("hour", "campus")),
     Report(
         "weather_citation_correlation",
-        "Citation volume and revenue by precipitation bucket and condition",
         weather_citation_correlation,
         ("-citation_count", "precip_bucket", "condition_label", "campus"),
         uses_weather=True,
@@ -230,15 +207,10 @@ TABLE_REPORTS = (
 ZONE_REPORTS = (
     Report(
         "violation_summary_spark",
-        "Citation count and fines by violation type and campus",
         violation_summary,
         ("-citation_count", "violation_type", "campus"),
     ),
     Report(
-        "weather_hourly_spark",
-        "Citations by hour and precipitation bucket",
-        weather_hourly,
-        ("hour", "precip_bucket"),
-        uses_weather=True,
+        "weather_hourly_spark", weather_hourly, ("hour", "precip_bucket"), uses_weather=True
     ),
 )
