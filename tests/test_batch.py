@@ -10,6 +10,7 @@ import pytest
 
 from tests.test_sources import HEADER
 from ticketmill import schemas
+from ticketmill.operators.weather import clean_weather
 from ticketmill.plans import batch
 from ticketmill.plans.reports import TABLE_REPORTS, ZONE_REPORTS, Report
 from ticketmill.sources.scans import read_citations, read_payloads, read_table
@@ -110,6 +111,22 @@ def test_a_failing_report_does_not_stop_the_others(spark, citations, tmp_path):
     assert all((tmp_path / r.name / "_SUCCESS").exists() for r in TABLE_REPORTS[:2])
 
 
+def test_last_element_of_a_payload_wins(spark, tmp_path):
+    source, payloads = land(tmp_path, FIRST[:1], {"2025-09-15": 1.0})
+    for campus in ("Kennesaw", "Marietta"):
+        repeated = {"time": ["2025-09-15"] * 40}
+        repeated |= {v: list(range(40)) for v in schemas.WEATHER_VARIABLES}
+        path = Path(payloads) / f"campus={campus}" / "w.json"
+        path.write_text(json.dumps({"daily": repeated}))
+    out = batch.Layout(str(tmp_path / "root"))
+    batch.ingest(read_citations(spark, source), read_payloads(spark, payloads), out)
+    raw = spark.read.parquet(out.raw_weather)
+    assert raw.count() == 80
+    batch.merge_weather(spark, clean_weather(raw, keep=[schemas.SEQ]), out.weather)
+    stored = read_table(spark, out.weather, schemas.WEATHER).collect()
+    assert [r.weathercode for r in stored] == [39, 39]
+
+
 def test_months_outside_the_batch_are_not_touched(spark, weather, tmp_path):
     path = str(tmp_path / "w")
     batch.merge_weather(spark, weather(("2025-08-01", "K", 1.0, 1.0, 0.0, 0),

@@ -102,7 +102,7 @@ def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 def ingest(citations: DataFrame, payloads: DataFrame, out: Layout) -> dict[str, int]:
     """Land both sources in the raw zone, before any cleaning."""
-    weather = flatten_payloads(payloads, ("campus", SEQ))
+    weather = flatten_payloads(payloads, seq=SEQ)
     return side_by_side(
         {
             "raw_citations": lambda: write_counted(

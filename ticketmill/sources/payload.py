@@ -41,10 +41,12 @@ def flatten_payloads(
     tags: Sequence[str] = ("campus",),
     payload: str = "daily",
     strict: bool = True,
+    seq: str | None = None,
 ) -> DataFrame:
     """One row per element of the time array, with the tags of its payload.
 
     A bad payload fails the job; if not strict it is left out, and bad_payloads() lists it.
+    `seq` names the source position of the payload, which becomes that of the element.
     Arrays are read by position with get(), since arrays_zip() is NULL as soon as one array is.
     """
     problem = payload_problem(df, payload)
@@ -61,11 +63,14 @@ def flatten_payloads(
             values = arrays[name]
             value = F.lit(None) if values is None else F.get(values, i)
             fields.append(value.cast(dtype).alias(name))
+        if seq is not None:
+            position = F.struct(F.col(seq).alias("payload"), i.alias("element"))
+            fields.append(position.alias(seq))
         return F.struct(*fields)
 
     flat = df.select(*tags, F.inline(F.transform(time, day)))
     ordered = [c for c in schemas.RAW_WEATHER.names if c in flat.columns]
-    return flat.select(*ordered, *(tag for tag in tags if tag not in ordered))
+    return flat.select(*ordered, *(c for c in flat.columns if c not in ordered))
 
 
 def bad_payloads(
