@@ -183,15 +183,15 @@ COMPLETE = " AND ".join(f'"{c}" IS NOT NULL' for c in REQUIRED)
 
 INSERT_BATCH = [
     *TO_CLEAN,
-    f"stored AS (SELECT {COLUMNS} FROM citations WHERE _seq % 3 = 0)",
+    f"stored AS (SELECT {COLUMNS} FROM citations WHERE semester = 'First half')",
     f"""incoming AS (
-  SELECT {COLUMNS}, _seq FROM citations WHERE _seq % 2 = 0
+  SELECT {COLUMNS}, _seq FROM citations
   UNION ALL
   SELECT {COLUMNS.replace("status,", "'Late change' AS status,")}, _seq + 1000000000000000
-  FROM citations WHERE _seq % 2 = 0
+  FROM citations
   UNION ALL
   SELECT {COLUMNS.replace("citation_id,", "'hot' AS citation_id,")}, _seq + 2000000000000000
-  FROM citations WHERE _seq % 3 = 1)""",
+  FROM citations)""",
     f"""ranked AS (
   SELECT *, row_number() OVER (PARTITION BY citation_id ORDER BY _seq) AS rn
   FROM incoming WHERE {COMPLETE})""",
@@ -204,7 +204,7 @@ INSERT_BATCH = [
 REPLACE_BATCH = [
     *TO_READINGS,
     *TO_WEATHER,
-    "incoming AS (SELECT * FROM readings WHERE day(date) % 2 = 0)",
+    "incoming AS (SELECT * REPLACE (date + 15 AS date) FROM readings)",
     """ranked AS (
   SELECT *, row_number() OVER (PARTITION BY date, campus ORDER BY _seq DESC) AS rn
   FROM incoming)""",
@@ -358,7 +358,7 @@ ORACLE = {
     "bucketize": sql(
         [READINGS_RAW],
         f"""SELECT _seq, precipitation_sum, {bucket("precipitation_sum")} AS precip_bucket
-            FROM readings_raw WHERE precipitation_sum IS NOT NULL""",
+            FROM readings_raw""",
     ),
     "clean_dim": sql(TO_READINGS, "SELECT * FROM readings"),
     "category_summary": sql(TO_BILLABLE, VIOLATIONS_BY_TYPE),

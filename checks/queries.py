@@ -96,7 +96,7 @@ def code_label(spark, sf):
 
 def bucketize(spark, sf):
     rules = WeatherRules()
-    rows = t.readings_raw(spark, sf).filter(F.col("precipitation_sum").isNotNull())
+    rows = t.readings_raw(spark, sf)
     return w.add_bucket(
         rows, rules.dry_label, rules.upper_bounds, rules.wettest_label
     ).select(SEQ, "precipitation_sum", "precip_bucket")

@@ -184,29 +184,25 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(stored citations, batch): the batch overlaps, repeats ids with a later status, and gives
-    about a quarter of its rows one and the same id."""
+    """(stored citations, batch): stored is the first half of the month; the batch delivers every
+    citation again, then with a later status, then all of them under one and the same id."""
     rows = stored(spark, citations(spark, sf_dir), "citations")
-    seq = F.col(SEQ)
-    copies = F.array_compact(
-        F.array(
-            F.when(seq % 2 == 0, "same"), F.when(seq % 2 == 0, "late"), F.when(seq % 3 == 1, "hot")
-        )
-    )
     copy = F.col("copy")
-    batch = rows.withColumn("copy", F.explode(copies)).withColumns(
+    batch = rows.withColumn(
+        "copy", F.explode(F.array(F.lit("same"), F.lit("late"), F.lit("hot")))
+    ).withColumns(
         {
             "citation_id": F.when(copy == "hot", "hot").otherwise(F.col("citation_id")),
             "status": F.when(copy == "late", "Late change").otherwise(F.col("status")),
-            SEQ: F.when(copy == "late", seq + 10**15)
-            .when(copy == "hot", seq + 2 * 10**15)
-            .otherwise(seq),
+            SEQ: F.col(SEQ)
+            + F.when(copy == "late", 10**15).when(copy == "hot", 2 * 10**15).otherwise(0),
         }
     )
-    return rows.filter(seq % 3 == 0).drop(SEQ), batch.drop("copy")
+    return rows.filter(F.col("semester") == "First half").drop(SEQ), batch.drop("copy")
 
 
 def replace_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(stored weather, batch of readings): several per key, the last one counts."""
-    batch = readings(spark, sf_dir).filter(F.dayofmonth("date") % 2 == 0)
-    return weather(spark, sf_dir).drop(SEQ), batch
+    """(stored weather, batch): the batch is every reading, 15 days later. It has many rows per
+    key, of which the last one counts; about half of its keys are stored."""
+    later = readings(spark, sf_dir).withColumn("date", F.date_add("date", 15))
+    return weather(spark, sf_dir).drop(SEQ), later

@@ -17,8 +17,14 @@ DECIMAL_PLACES = {"temperature_2m_max": 1, "temperature_2m_min": 1, "precipitati
 
 def parse_date(df: DataFrame, column: str = "date", strict: bool = True) -> DataFrame:
     """ISO text to date. A bad value fails the job, or becomes NULL if not strict."""
-    parse = F.to_date if strict else F.try_to_date
-    return df.withColumn(column, parse(F.col(column), "yyyy-MM-dd"))
+    text = F.col(column)
+    parsed = F.try_to_date(text, "yyyy-MM-dd")
+    if strict:
+        # Said outright, so that it does not depend on the ANSI mode of the session.
+        bad = text.isNotNull() & parsed.isNull()
+        failure = F.raise_error(F.concat(F.lit(f"{column} is not a date: "), text))
+        parsed = F.when(bad, failure).otherwise(parsed)
+    return df.withColumn(column, parsed)
 
 
 def round_measures(df: DataFrame, places: Mapping[str, int]) -> DataFrame:
