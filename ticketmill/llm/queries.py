@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import tokens
+from ticketmill.llm import simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +21,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, width=4, max_bits=4, keep_text=False)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     "op5_token_counts": op5_token_counts,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
