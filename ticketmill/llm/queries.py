@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import simhash, tokens
+from ticketmill.llm import rules, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,21 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        rules.fails(rules.BASE).alias("base_failed"),
+        (~rules.fails(rules.BASE) & ~rules.fails(rules.STRICT)).alias("kept"),
+        "failed_bits",
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, width=4, max_bits=4, keep_text=False)
@@ -28,8 +43,53 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op9_quality_rules": op9_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+OP9_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         row_number() OVER () AS row
+  FROM documents
+), windows AS (
+  SELECT row, unnest(range(1, len(w) - 1)) AS i, w FROM t
+), repeated AS (
+  SELECT row, i, count(*) OVER (PARTITION BY row, w[i], w[i + 1], w[i + 2]) AS n FROM windows
+), covered AS (
+  SELECT row, count(DISTINCT i + k) AS n
+  FROM repeated, (VALUES (0), (1), (2)) AS o(k) WHERE n > 1 GROUP BY row
+), m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(length(regexp_replace(text, '[^!]', '', 'g')) AS BIGINT) AS n_exclaimed,
+         CAST(length(regexp_replace(text, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper,
+         CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(covered.n, 0) AS n_repeat_words
+  FROM t LEFT JOIN covered USING (row)
+), bits AS (
+  SELECT *,
+    CASE WHEN n_words < 50 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words THEN 4 ELSE 0 END
+    + CASE WHEN word_chars > 16 * n_words THEN 8 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > 3 * n_words THEN 16 ELSE 0 END
+    + CASE WHEN 2 * n_dup_lines > n_lines THEN 32 ELSE 0 END
+    + CASE WHEN 2 * n_upper > word_chars THEN 64 ELSE 0 END
+    + CASE WHEN 10 * n_exclaimed > 3 * n_words THEN 128 ELSE 0 END AS failed
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       failed & 3 <> 0 AS base_failed, failed = 0 AS kept, CAST(failed AS BIGINT) AS failed_bits
+FROM bits
+"""
+
+ORACLE: dict[str, str] = {
+    "op9_quality_rules": OP9_SQL,
+}
