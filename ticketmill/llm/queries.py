@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import packing, rules, simhash, tokens
+from ticketmill.llm import decontam, packing, rules, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,19 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
@@ -52,11 +65,44 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
+OP6_SQL = r"""
+WITH word AS (SELECT '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS pattern,
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), upper, lower), pattern) AS w
+  FROM documents, word
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), upper, lower), pattern) AS w
+  FROM benchmark, word
+), wanted AS (
+  SELECT item_id, list_slice(w, i, i + 9) AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT len(words) AS n FROM wanted
+), there AS (
+  SELECT row, i, n, list_slice(w, i, i + n - 1) AS words
+  FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
+), found AS (
+  SELECT DISTINCT row, i, there.n, item_id FROM there JOIN wanted USING (words)
+), hits AS (
+  SELECT row, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT row, unnest(range(i, i + n)) AS p FROM found) GROUP BY row
+), items AS (
+  SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (row) LEFT JOIN items USING (row)
+"""
+
 OP9_SQL = r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -100,5 +146,6 @@ FROM bits
 """
 
 ORACLE: dict[str, str] = {
+    "op6_benchmark_decontamination": OP6_SQL,
     "op9_quality_rules": OP9_SQL,
 }
