@@ -42,17 +42,21 @@ BRANCH_BINS = 40
 
 
 @cache
-def encoders(vocabulary: str, ranks: str) -> tuple[Tokenizer, tiktoken.Encoding, np.ndarray]:
-    """(tokenizer, the same vocabulary as ranks, bytes of each id), once for each worker."""
+def rank_encoding(ranks: str) -> tiktoken.Encoding:
+    """The vocabulary of a rank file, once for each worker."""
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    sizes = np.zeros(max(table.values()) + 1, np.int64)
-    for token, number in table.items():
-        sizes[number] = len(token)
-    fast = tiktoken.Encoding(
+    return tiktoken.Encoding(
         "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}
     )
-    return Tokenizer.from_file(vocabulary), fast, sizes
+
+
+@cache
+def encoders(vocabulary: str, ranks: str) -> tuple[Tokenizer, tiktoken.Encoding, np.ndarray]:
+    """(tokenizer, the same vocabulary as ranks, bytes of each id), once for each worker."""
+    fast = rank_encoding(ranks)
+    sizes = [len(fast.decode_single_token_bytes(i)) for i in range(fast.n_vocab)]
+    return Tokenizer.from_file(vocabulary), fast, np.array(sizes, np.int64)
 
 
 #: UTF-8 beginnings of characters beyond ASCII that the pattern may count as white space.

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import decontam, packing, rules, simhash, tokens
+from ticketmill.llm import chat, decontam, packing, rules, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,17 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A conversation of the contract: both turns say what could be taken for marks.
+MARKED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame(MARKED, "conv_id bigint, turn bigint, role string, text string")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return chat.digests(chat.format_turns(turns.union(marked), ranks), ranks)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = tokens.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -67,10 +78,32 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_quality_rules": op9_quality_rules,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_token_counts": op5_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
+OP4_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), escaped AS (
+  SELECT *, regexp_replace(regexp_replace(role, '(<\\*)(/?s>)', '\1\\\2', 'g'),
+                           '(\[\\*)(/?INST\])', '\1\\\2', 'g') AS r,
+         regexp_replace(regexp_replace(text, '(<\\*)(/?s>)', '\1\\\2', 'g'),
+                        '(\[\\*)(/?INST\])', '\1\\\2', 'g') AS x
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+                         ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(length(r) + length(x) + length('[INST][/INST]</s>')) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
 OP6_SQL = r"""
 WITH word AS (SELECT '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS pattern,
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
@@ -146,6 +179,7 @@ FROM bits
 """
 
 ORACLE: dict[str, str] = {
+    "op4_chat_formatting": OP4_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
     "op9_quality_rules": OP9_SQL,
 }
