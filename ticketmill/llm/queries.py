@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import chat, decontam, packing, rules, simhash, tokens
+from ticketmill.llm import chat, decontam, packing, rules, simhash, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,12 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(docs, chain).drop("text")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
@@ -77,6 +83,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_token_counts": op5_token_counts,
