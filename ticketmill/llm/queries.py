@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import chat, decontam, packing, rules, simhash, tokens, toxicity
+from ticketmill.llm import chat, decontam, language, packing, rules, simhash, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,13 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language.is_held_out(F.col("doc_id")))
+    parser = language.train(docs.filter(~F.col("held_out")))
+    return language.identify(docs.drop("lang"), parser).drop("text")
+
+
 #: A conversation of the contract: both turns say what could be taken for marks.
 MARKED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -85,6 +92,7 @@ QUERIES = {
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
+    "op2_language_id": op2_language_id,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_token_counts": op5_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
