@@ -1,10 +1,58 @@
-"""documents made ready for training, stage by stage."""
+"""documents made ready for training, stage by stage.
+
+Each stage gets what the last one kept, with the columns of documents, and what it decides takes effect:
+toxic documents go, of near-duplicates one stays, passages that earlier documents have and passages of
+the benchmark are cut out, and what is left is packed into sequences.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ticketmill.llm import decontam, packing, passages, simhash, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.toxicity(docs, toxicity.train(docs, labels))
+    return scored.filter(~F.col("is_toxic")).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs, width=4, max_bits=4)
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return with_length(passages.without_passages(docs)).select(docs.columns)
+
+
+def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    rows = decontam.contamination(docs, benchmark).withColumn("text", F.col("clean_text"))
+    return with_length(rows).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        docs,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.char_length("text").cast("long"))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("substring_dedup", cut_passages),
+    ("benchmark_decontamination", cut_benchmark),
+    ("best_fit_packing", pack),
+]
 
 #: Models, token ids and fingerprints take part: no SQL. tests/llm has the brute-force versions.
 ORACLE_SQL = None
