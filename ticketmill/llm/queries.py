@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import chat, decontam, language, packing, passages, rules, simhash, tokens, toxicity
+from ticketmill.llm import chat, decontam, language, packing, pages, passages, rules, simhash, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.drop("lang"), parser).drop("text")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.extract(rows, pages.train(rows)).drop("html")
+
+
 #: A conversation of the contract: both turns say what could be taken for marks.
 MARKED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -98,6 +103,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op2_language_id": op2_language_id,
+    "op3_html_extraction": op3_html_extraction,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_token_counts": op5_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
