@@ -9,6 +9,7 @@ those whose presence goes with toxic labels. Prediction counts nothing else than
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketmill.llm.arrays import LOWER, mixed, owners, range_hashes, runs, slices, text_bytes
+from ticketmill.llm.arrays import (
+    LOWER,
+    SLICE_BYTES,
+    mixed,
+    owners,
+    range_hashes,
+    runs,
+    slices,
+    text_bytes,
+)
 
 #: Labelled documents that a model is fitted on at most; beyond, a random sample of this size.
 TRAINING_ROWS = 8_000
@@ -115,7 +125,7 @@ def presence(terms: np.ndarray, hashes: np.ndarray, owner: np.ndarray, n: int) -
 def distinct_terms(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(term, text) of each term that a text has, once; a slice of the texts at a time."""
     at = 0
-    for part in slices(column):
+    for part in slices(column, SLICE_BYTES // 4):
         hashes, owner = term_hashes(part)
         both = mixed(hashes + (owner.astype(np.uint64) << np.uint64(32)))
         _, one = np.unique(both, return_index=True)
@@ -181,7 +191,8 @@ def fit(texts: list[str | None], toxic: list[bool]) -> Chain:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_id",
           label: str = "toxic", rows: int = TRAINING_ROWS) -> Chain:
-    """A chain fitted on labelled documents: all, or a random sample of about `rows` of them.
+    """A chain fitted on labelled documents: all, or a random sample of about `rows` of them. One task
+    fits it; the driver gets the weights alone.
 
     Rows with a null id, label or text don't take part; an id that several labels or documents share
     is trained with each. The sample goes by a hash of the id, so that it is the same in each run.
@@ -193,10 +204,19 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc
         docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
         .filter("text is not null")
         .join(F.broadcast(sampled), "id")
-        .orderBy("id", "text", "toxic")
-        .collect()
+        .select("id", "text", "toxic")
+        .repartition(1)
     )
-    return fit([r["text"] for r in found], [r["toxic"] for r in found])
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(
+            row for b in batches for row in zip(*(b.column(c).to_pylist() for c in range(3)))
+        )
+        chain = fit([r[1] for r in rows], [r[2] for r in rows])
+        yield pa.record_batch([pa.array([pickle.dumps(chain)], pa.binary())], ["chain"])
+
+    row = found.mapInArrow(fitted, "chain binary").first()
+    return pickle.loads(row["chain"]) if row else fit([], [])
 
 
 def toxicity(docs: DataFrame, chain: Chain, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
