@@ -525,7 +525,8 @@ def train(pages: DataFrame, column: str = "html", rows: int = TRAINING_PAGES) ->
         found = sorted(page for b in batches for page in b.column(0).to_pylist())
         yield pa.record_batch([pa.array([pickle.dumps(fit(found))], pa.binary())], ["model"])
 
-    return pickle.loads(sample.mapInArrow(fitted, "model binary").first()["model"])
+    row = sample.mapInArrow(fitted, "model binary").first()
+    return pickle.loads(row["model"]) if row else fit([])
 
 
 def extract(pages: DataFrame, model: Boosted, column: str = "html") -> DataFrame:

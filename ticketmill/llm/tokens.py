@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ticketmill.llm.arrays import owners, range_hashes, slices, sums, text_bytes
 
 BLANK = 32
+#: What the model writes for a blank.
+MARK = "▁".encode()
 
 
 @cache
@@ -25,7 +27,7 @@ def piece_model(path: str):
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=path)
-    mark = "▁"
+    mark = MARK.decode()
     inner = (p for p in map(model.id_to_piece, range(model.get_piece_size())) if mark in p[1:])
     if any(p.strip(mark) for p in inner) or model.encode(" a", out_type=str) != [mark, f"{mark}a"]:
         raise ValueError(f"{path}: pieces reach across blanks, texts can't be split there")
@@ -43,6 +45,9 @@ def piece_counts(column: pa.Array, model) -> np.ndarray:
     blank[:-1] = data == BLANK
     cut = blank.copy()
     cut[1:] &= ~blank[:-1]
+    if len(data) > 3:  # the mark itself may stand in a text, where it is a blank as well
+        marks = (data[:-2] == MARK[0]) & (data[1:-1] == MARK[1]) & (data[2:] == MARK[2])
+        cut[np.flatnonzero(marks) + 3] = False
     first = offsets[:-1][offsets[:-1] < offsets[1:]]
     cut[first] = True
     starts = np.flatnonzero(cut)
