@@ -87,7 +87,7 @@ def main(only: list[str]) -> None:
     out = layout()
     stored = (
         read_table(spark, out.citations, schemas.CITATIONS),
-        read_table(spark, out.weather, schemas.WEATHER),
+        batch.read_weather(spark, out.weather),
     )
     reports = [report(r, *stored) for r in (*TABLE_REPORTS, *ZONE_REPORTS)]
     operators = [
@@ -95,6 +95,7 @@ def main(only: list[str]) -> None:
     ]
     measure([w for w in reports if not only or w[0] in only], seconds, repeats=8)
     measure([w for w in operators if not only or w[0] in only], seconds)
+    tables.remove_scratch(spark)
     print(
         json.dumps(
             {

@@ -10,6 +10,7 @@ from collections import Counter
 import duckdb
 from pyspark.sql import SparkSession
 
+from checks import tables
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
@@ -89,6 +90,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
         print("BAD" if problem else "ok ", name, f"{time.time() - start:.2f}s", flush=True)
         if problem:
             print("   ", problem)
+        tables.remove_scratch(spark)
     return bad
 
 

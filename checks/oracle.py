@@ -159,16 +159,23 @@ STATUS_SHARE = f"""SELECT semester, status, {COUNT},
     AS pct_of_semester
   FROM citations GROUP BY semester, status"""
 HOURLY_PATTERNS = f"SELECT hour, campus, {COUNT} FROM billable GROUP BY hour, campus"
-CORRELATION = f"""SELECT w.precip_bucket, w.condition_label, w.campus,
-  count(c.citation_id) AS citation_count,
-  CAST(sum(CASE WHEN c.fine_amount > 0 THEN c.fine_amount ELSE 0 END) AS BIGINT) AS total_fines,
-  {half_up("CAST(sum(CAST(w.temperature_2m_max AS DECIMAL(18, 6))) AS DOUBLE)"
-           " / count(w.temperature_2m_max)", 1)} AS avg_high_temp_f,
-  {half_up("CAST(sum(CAST(w.precipitation_sum AS DECIMAL(18, 6))) AS DOUBLE)"
-           " / count(w.precipitation_sum)", 2)} AS avg_precipitation_mm
-  FROM weather w LEFT JOIN citations c
-    ON c.date = w.date AND c.campus = w.campus AND NOT c.is_credit_adjustment
-  GROUP BY w.precip_bucket, w.condition_label, w.campus"""
+# Each weather day with what was billed on it, and the weight that a join row by row would give it.
+CORRELATION = f"""SELECT precip_bucket, condition_label, campus,
+  CAST(sum(ids) AS BIGINT) AS citation_count, CAST(sum(billed) AS BIGINT) AS total_fines,
+  {half_up("CAST(sum(weight * CAST(high AS DECIMAL(18, 6))) AS DOUBLE)"
+           " / sum(CASE WHEN high IS NOT NULL THEN weight END)", 1)} AS avg_high_temp_f,
+  {half_up("CAST(sum(weight * CAST(rain AS DECIMAL(18, 6))) AS DOUBLE)"
+           " / sum(CASE WHEN rain IS NOT NULL THEN weight END)", 2)} AS avg_precipitation_mm
+  FROM (
+    SELECT precip_bucket, condition_label, day.campus, temperature_2m_max AS high,
+           precipitation_sum AS rain, coalesce(ids, 0) AS ids, coalesce(billed, 0) AS billed,
+           greatest(coalesce(n, 0), 1) AS weight
+    FROM weather day LEFT JOIN (
+      SELECT date, campus, count(*) AS n, count(citation_id) AS ids,
+             sum(greatest(fine_amount, 0)) AS billed
+      FROM citations WHERE NOT is_credit_adjustment GROUP BY date, campus
+    ) tickets ON tickets.date = day.date AND tickets.campus = day.campus
+  ) GROUP BY precip_bucket, condition_label, campus"""
 SITE_SUMMARY = f"""SELECT violation_type, campus, count(citation_id) AS citation_count,
   {FINES} AS total_fines_collected, {AVG_FINE} FROM billable GROUP BY violation_type, campus"""
 CONDITION_HOURLY = f"""SELECT hour, precip_bucket, count(citation_id) AS citation_count,
@@ -215,7 +222,7 @@ WEATHER_COLUMNS = """date, campus, temperature_2m_max, temperature_2m_min, preci
 PAYLOADS = [
     """payloads AS (
   SELECT vec_id, 'Station ' || CAST(vec_id % 5 AS VARCHAR) AS campus,
-         CAST(vec_id % 14 + 1 AS INTEGER) AS days,
+         CAST(len(embedding) // 4 AS INTEGER) AS days,
          DATE '2024-01-01' + CAST(vec_id % 40 AS INTEGER) AS first_day, embedding
   FROM embeddings)"""
 ]
@@ -261,6 +268,8 @@ DIM_METRICS = {
     "bucket_light": rows_where(f"{bucket(PRECIP)} = 'Light'"),
     "bucket_moderate": rows_where(f"{bucket(PRECIP)} = 'Moderate'"),
     "bucket_heavy": rows_where(f"{bucket(PRECIP)} = 'Heavy'"),
+    "first_date": "coalesce(replace(CAST(min(CAST(date AS DATE)) AS VARCHAR), '-', ''), '0')",
+    "last_date": "coalesce(replace(CAST(max(CAST(date AS DATE)) AS VARCHAR), '-', ''), '0')",
 }
 
 KEYS_USED = """used AS (
@@ -269,9 +278,12 @@ KEYS_USED = """used AS (
   FROM citations c)"""
 
 
-def report_counts(name: str, keys: list[str], body: str) -> str:
+def report_values(name: str, keys: list[str], body: str) -> str:
     joined = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
-    return f"SELECT '{name}' AS report, {joined} AS keys, citation_count FROM ({body})"
+    rest = f"COLUMNS(* EXCLUDE ({', '.join(keys)}))::DOUBLE"
+    return f"""SELECT report, keys, measure, value FROM (
+      SELECT * FROM (SELECT '{name}' AS report, {joined} AS keys, {rest} FROM ({body}))
+      UNPIVOT INCLUDE NULLS (value FOR measure IN (* EXCLUDE (report, keys))))"""
 
 
 # Six reports see the stored table, without incomplete rows; two see the whole clean batch.
@@ -307,7 +319,7 @@ def batch_reports() -> str:
         ("violation_summary_spark", ["violation_type", "campus"], over("whole", SITE_SUMMARY)),
         ("weather_hourly_spark", ["hour", "precip_bucket"], over("whole", CONDITION_HOURLY)),
     ]
-    return sql(BATCH, "\nUNION ALL ".join(report_counts(*p) for p in parts))
+    return sql(BATCH, "\nUNION ALL ".join(report_values(*p) for p in parts))
 
 
 SEASON = " ".join(
@@ -388,10 +400,11 @@ ORACLE = {
         """SELECT c._seq, c.citation_id, c.date, c.campus, w.precip_bucket, w.condition_label
            FROM citations c LEFT JOIN weather w ON c.date = w.date AND c.campus = w.campus""",
     ),
-    "lookup_join": """SELECT c_custkey, c_nationkey AS n_nationkey,
-        coalesce(n.n_name, 'Unknown') AS n_name
-      FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n
-        ON c_nationkey = n.n_nationkey""",
+    "lookup_join": """SELECT c_custkey, c.n_nationkey, coalesce(n.n_name, 'Unknown') AS n_name
+      FROM (SELECT c_custkey, CASE WHEN c_custkey % 17 = 3 THEN c_nationkey + 100
+                                   WHEN c_custkey % 19 <> 4 THEN c_nationkey END AS n_nationkey
+            FROM customer) c
+      LEFT JOIN nation n ON c.n_nationkey = n.n_nationkey""",
     "required_columns": sql(
         TO_CLEAN,
         f"""SELECT _seq, {", ".join(f'"{c}"' for c in REQUIRED)} FROM citations
@@ -447,10 +460,10 @@ ORACLE = {
         ],
         """SELECT CAST(first_day + CAST(i AS INTEGER) AS VARCHAR) AS date, campus,
              CAST(embedding[1 + i] AS DOUBLE) AS temperature_2m_max,
-             CAST(embedding[15 + i] AS DOUBLE) AS temperature_2m_min,
-             CASE WHEN vec_id % 7 <> 2 THEN CAST(embedding[29 + i] AS DOUBLE) END
+             CAST(embedding[1 + days + i] AS DOUBLE) AS temperature_2m_min,
+             CASE WHEN vec_id % 7 <> 2 THEN CAST(embedding[1 + 2 * days + i] AS DOUBLE) END
                AS precipitation_sum,
-             CAST(floor(abs(CAST(embedding[43 + i] AS DOUBLE)) * 100) AS INTEGER) AS weathercode,
+             CAST(floor(abs(CAST(embedding[1 + 3 * days + i] AS DOUBLE)) * 100) AS INTEGER) AS weathercode,
              vec_id
            FROM days""",
     ),
@@ -474,12 +487,30 @@ ORACLE = {
         """SELECT count(*) AS fact_keys, count(*) FILTER (WHERE known) AS matched_keys,
              CAST(count(*) FILTER (WHERE known) AS DOUBLE) / count(*) AS coverage FROM used""",
     ),
+    "weather_gaps": sql(
+        [*TO_CLEAN, *TO_WEATHER],
+        """SELECT CAST(d.day AS DATE) AS date, s.campus FROM
+             (SELECT unnest(generate_series(min("timestamp")::DATE, max("timestamp")::DATE,
+                                            INTERVAL 1 DAY)) AS day FROM citations) d,
+             (VALUES ('North'), ('South')) s(campus)
+           WHERE NOT EXISTS (SELECT 1 FROM weather w
+                             WHERE w.date = CAST(d.day AS DATE) AND w.campus = s.campus)""",
+    ),
     "anomaly_listing": sql(
         TO_CLEAN,
         """SELECT violation_type, fine_amount, count(*) AS n_rows FROM citations
            WHERE NOT fine_validated GROUP BY violation_type, fine_amount""",
     ),
     "raw_scan": sql([CITATIONS_RAW], "SELECT * EXCLUDE (_seq) FROM citations_raw"),
+    "raw_scan_quarantine": sql(
+        [CITATIONS_RAW],
+        """SELECT damaged,
+             CASE WHEN NOT damaged THEN citation_id END AS citation_id,
+             CASE WHEN NOT damaged THEN date_trunc('second', "timestamp") END AS "timestamp",
+             CASE WHEN NOT damaged THEN fine_amount END AS fine_amount,
+             CASE WHEN damaged THEN CAST(_seq AS VARCHAR) END AS line_start
+           FROM (SELECT *, _seq % 50 = 0 OR _seq % 70 = 0 AS damaged FROM citations_raw)""",
+    ),
     "zone_scan": sql(TO_CLEAN, f"SELECT {COLUMNS} FROM citations"),
     "report_sink": sql(TO_BILLABLE, VIOLATIONS_BY_TYPE),
     "stage_counts": sql(
@@ -488,7 +519,12 @@ ORACLE = {
             UNION ALL SELECT 'raw_weather', count(*) FROM weather_raw
             UNION ALL SELECT 'clean_citations', count(*) FROM citations
             UNION ALL SELECT 'clean_weather', count(*) FROM weather
+            UNION ALL SELECT 'rejected_citations', count(*) FROM citations WHERE NOT ({COMPLETE})
+            UNION ALL SELECT 'repeated_citations', 0
+            UNION ALL SELECT 'known_citations', 0
             UNION ALL SELECT 'inserted_citations', count(*) FROM citations WHERE {COMPLETE}
+            UNION ALL SELECT 'inserted_without_id', count(*) FROM citations
+              WHERE {COMPLETE} AND citation_id IS NULL
             UNION ALL SELECT 'stored_weather', count(*) FROM weather""",
     ),
     "batch_reports": batch_reports(),

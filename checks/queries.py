@@ -121,8 +121,8 @@ def citation_rollup(spark, sf):
 
 
 def condition_correlation_preagg(spark, sf):
-    """The report as the job computes it: from the stored roll-up, not from the citations."""
-    rolled = t.stored(spark, reports.rollup(t.citations(spark, sf)), "rollup")
+    """The report from a roll-up of the citations."""
+    rolled = reports.rollup(t.citations(spark, sf))
     return REPORTS["weather_citation_correlation"].frame(rolled, t.weather(spark, sf))
 
 
@@ -137,19 +137,20 @@ def sql_status_share(spark, sf):
 
 
 def fact_enrichment(spark, sf):
-    """Weather is a stored table, whose size Spark knows, before it is joined to every citation."""
-    weather = t.stored(spark, t.weather(spark, sf), "weather")
-    return joins.attach_weather(t.citations(spark, sf), weather).select(
+    return joins.attach_weather(t.citations(spark, sf), t.weather(spark, sf)).select(
         SEQ, "citation_id", "date", "campus", "precip_bucket", "condition_label"
     )
 
 
 def lookup_join(spark, sf):
-    names = t.table(spark, sf, "nation").filter(F.col("n_regionkey") != 2)
+    """Some customers have a nation that nobody knows, or none."""
+    i, key = F.col("c_custkey"), F.col("c_nationkey")
     customers = t.table(spark, sf, "customer").select(
-        "c_custkey", F.col("c_nationkey").alias("n_nationkey")
+        "c_custkey",
+        F.when(i % 17 == 3, key + 100).when(i % 19 != 4, key).alias("n_nationkey"),
     )
-    return joins.lookup_join(customers, names, ["n_nationkey"], "n_name", "Unknown")
+    nations = t.table(spark, sf, "nation")
+    return joins.lookup_join(customers, nations, ["n_nationkey"], "n_name", "Unknown")
 
 
 def required_columns(spark, sf):
@@ -224,6 +225,12 @@ def join_coverage(spark, sf):
     return quality.join_coverage(t.citations(spark, sf), t.weather(spark, sf))
 
 
+def weather_gaps(spark, sf):
+    """Days and campuses of the citations' window that have no weather."""
+    spine = payload.key_spine(payload.load_window(t.citations(spark, sf)), t.CAMPUSES)
+    return quality.missing_keys(spine, t.weather(spark, sf))
+
+
 def anomaly_listing(spark, sf):
     return quality.anomalies(t.citations(spark, sf))
 
@@ -246,6 +253,33 @@ def raw_scan(spark, sf):
     return landed_citations(spark, sf).drop(SEQ).withColumnsRenamed(schemas.CLEAN_NAMES)
 
 
+def raw_scan_quarantine(spark, sf):
+    """A landed CSV file in which every 50th citation has a word for its fine and every 70th a day for
+    its time, with its columns in another order and one more than declared."""
+    path, e = t.scratch(spark, "damaged"), F.col(SEQ)
+    raw = t.citations_raw(spark, sf)
+    time = F.date_format("Timestamp", "M/d/yyyy h:mm:ss a")
+    raw.select(
+        e.alias("Row"),
+        "Status",
+        F.when(e % 50 == 0, "n/a").otherwise(F.col("Fine Amount").cast("string")).alias("Fine Amount"),
+        "Campus",
+        "Location",
+        F.when(e % 70 == 0, "Monday").otherwise(time).alias("Timestamp"),
+        "Violation Type",
+        F.col("citation_id").alias(schemas.ID_HEADER),
+    ).write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    good, bad = scans.read_quarantined(spark, path, timestamp_format="M/d/yyyy h:mm:ss a")
+    return good.select(
+        F.lit(False).alias("damaged"), "citation_id", F.col("Timestamp").alias("timestamp"),
+        F.col("Fine Amount").alias("fine_amount"), F.lit(None).cast("string").alias("line_start"),
+    ).unionByName(bad.select(
+        F.lit(True).alias("damaged"), F.lit(None).cast("string").alias("citation_id"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.lit(None).cast("int").alias("fine_amount"),
+        F.split(scans.CORRUPT, ",")[0].alias("line_start"),
+    ))
+
+
 def zone_scan(spark, sf):
     path = t.scratch(spark, "zone")
     sinks.write_zone(t.citations(spark, sf), path, ["semester", "month"], rebalance=True)
@@ -289,21 +323,22 @@ def stage_counts(spark, sf):
 
 
 def batch_reports(spark, sf) -> DataFrame:
-    """The whole job from landed files; the counts of all eight report files."""
+    """The whole job from landed files; every value of all eight report files."""
     out = batch.Layout(t.scratch(spark, "batch"))
     batch.run(spark, landed_citations(spark, sf), landed_payloads(spark, sf), out.root, t.RULES)
 
-    def counts(report, directory):
+    def values(report, directory):
         lines = spark.read.csv(f"{directory}/{report.name}", header=True)
         keys = _GROUP_KEYS[report.name]
+        measures = [c for c in lines.columns if c not in keys]
         return lines.select(
             F.lit(report.name).alias("report"),
             F.concat_ws("|", *(F.coalesce(F.col(k), F.lit("-")) for k in keys)).alias("keys"),
-            F.col("citation_count").cast("bigint").alias("citation_count"),
-        )
+            *(F.col(m).cast("double").alias(m) for m in measures),
+        ).unpivot(["report", "keys"], measures, "measure", "value")
 
-    parts = [counts(r, out.reports) for r in reports.TABLE_REPORTS]
-    parts += [counts(r, f"{out.reports}/spark") for r in reports.ZONE_REPORTS]
+    parts = [values(r, out.reports) for r in reports.TABLE_REPORTS]
+    parts += [values(r, f"{out.reports}/spark") for r in reports.ZONE_REPORTS]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -361,8 +396,10 @@ QUERIES = {
     "bucket_counts": bucket_counts,
     "missing_keys": missing_keys,
     "join_coverage": join_coverage,
+    "weather_gaps": weather_gaps,
     "anomaly_listing": anomaly_listing,
     "raw_scan": raw_scan,
+    "raw_scan_quarantine": raw_scan_quarantine,
     "zone_scan": zone_scan,
     "report_sink": report_sink,
     "stage_counts": stage_counts,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +11,6 @@ from ticketmill.operators.citations import clean_citations
 from ticketmill.operators.weather import clean_weather
 from ticketmill.schemas import SEQ, WEATHER_VARIABLES
 from ticketmill.settings import CitationRules
-from ticketmill.sources.sinks import write_zone
 
 RULES = CitationRules(
     schedule={"click": 35, "view": 35, "purchase": 50, "signup": 50},
@@ -41,19 +39,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of the cluster; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in a folder that all executors share: spark.checkpoint.dir, else the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    _scratch.append(f"{base.rstrip('/')}/scratch-{name}-{uuid.uuid4().hex}")
+    return _scratch[-1]
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """The frame, written and read back: as a later stage of the job finds it."""
-    path = scratch(spark, name)
-    write_zone(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+_scratch: list[str] = []
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what scratch() has handed out; frames that read it end."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _campus() -> Column:
@@ -148,17 +147,17 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payload per embedding: its elements are the measures of up to 14 days.
+    """One payload per embedding: its four quarters are the measures of as many days as they hold.
 
     Every seventh has no precipitation array, every eleventh no time axis, every thirteenth a
     temperature array that is one element short.
     """
     i = F.col("vec_id")
-    days = (i % 14 + 1).cast("int")
+    days = (F.size("embedding") / 4).cast("int")
     start = F.date_add(F.lit("2024-01-01").cast("date"), (i % 40).cast("int"))
 
-    def part(offset, length=days):
-        return F.slice("embedding", F.lit(offset), length)
+    def part(quarter, length=days):
+        return F.slice("embedding", days * quarter + 1, length)
 
     def doubles(values):
         return F.transform(values, lambda x: x.cast("double"))
@@ -173,10 +172,10 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.transform(F.sequence(F.lit(0), days - 1),
                             lambda d: F.date_add(start, d).cast("string")),
             ).alias("time"),
-            doubles(part(1, short)).alias("temperature_2m_max"),
-            doubles(part(15)).alias("temperature_2m_min"),
-            F.when(i % 7 != 2, doubles(part(29))).alias("precipitation_sum"),
-            F.transform(part(43), lambda x: F.floor(F.abs(x) * 100).cast("int")).alias(
+            doubles(part(0, short)).alias("temperature_2m_max"),
+            doubles(part(1)).alias("temperature_2m_min"),
+            F.when(i % 7 != 2, doubles(part(2))).alias("precipitation_sum"),
+            F.transform(part(3), lambda x: F.floor(F.abs(x) * 100).cast("int")).alias(
                 "weathercode"
             ),
         ).alias("daily"),
@@ -184,9 +183,10 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(stored citations, batch): stored is the first half of the month; the batch delivers every
-    citation again, then with a later status, then all of them under one and the same id."""
-    rows = stored(spark, citations(spark, sf_dir), "citations")
+    """(stored citations, batch): stored is the first half of the month, so that half of the ids are
+    new; the batch is of all citations, each delivered again, then with a later status, then all of them
+    under one and the same id. Every row takes part on one side or both."""
+    rows = citations(spark, sf_dir)
     copy = F.col("copy")
     batch = rows.withColumn(
         "copy", F.explode(F.array(F.lit("same"), F.lit("late"), F.lit("hot")))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from checks.compare import session
+from checks.tables import remove_scratch
 from ticketmill import schemas
 from ticketmill.operators.citations import clean_citations
 from ticketmill.operators.weather import clean_weather
@@ -19,6 +20,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     spark = session()
     yield spark
+    remove_scratch(spark)
     spark.stop()
 
 

@@ -13,6 +13,7 @@ from ticketmill import schemas
 from ticketmill.operators.weather import clean_weather
 from ticketmill.plans import batch
 from ticketmill.plans.reports import TABLE_REPORTS, ZONE_REPORTS, Report
+from ticketmill.sources import versions
 from ticketmill.sources.scans import read_citations, read_payloads, read_table
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -52,7 +53,7 @@ def run(spark, landed, root):
 def stored(spark, root):
     out = batch.Layout(str(root))
     cit = read_table(spark, out.citations, schemas.CITATIONS).orderBy("citation_id").collect()
-    sky = read_table(spark, out.weather, schemas.WEATHER).orderBy("date", "campus").collect()
+    sky = batch.read_weather(spark, out.weather).orderBy("date", "campus").collect()
     return cit, sky
 
 
@@ -68,8 +69,14 @@ def test_job_is_repeatable_and_merges_later_loads(spark, tmp_path):
     assert outcome.failed_reports == {}
     assert outcome.rows == {
         "raw_citations": 6, "raw_weather": 4, "clean_citations": 5, "clean_weather": 4,
-        "inserted_citations": 3, "stored_weather": 4,
+        "rejected_citations": 1, "repeated_citations": 1, "known_citations": 0,
+        "inserted_citations": 3, "inserted_without_id": 0, "stored_weather": 4,
+        "report_violations_by_type": 2, "report_monthly_volume_by_campus": 2,
+        "report_top_locations": 2, "report_status_breakdown": 2, "report_hourly_patterns": 3,
+        "report_weather_citation_correlation": 4, "report_violation_summary_spark": 3,
+        "report_weather_hourly_spark": 4,
     }
+    assert outcome.failed_quality == {}
     cit, sky = stored(spark, root)
     assert [(r.citation_id, r.status, r.location) for r in cit] == [
         ("A1", "Unpaid", "East Deck"), ("A2", "Transfer", "East Deck"), ("A3", "Unpaid", "Lot B"),
@@ -106,8 +113,11 @@ def test_job_is_repeatable_and_merges_later_loads(spark, tmp_path):
 def test_a_failing_report_does_not_stop_the_others(spark, citations, tmp_path):
     rows = citations(("1", "2025-09-15 10:00:00", *"LKTU", 1))
     broken = Report("broken", lambda df: df.select("no_such_column"), ())
-    failed = batch.run_reports([broken, *TABLE_REPORTS[:2]], rows, rows, str(tmp_path))
-    assert list(failed) == ["broken"] and "UNRESOLVED_COLUMN" in failed["broken"]
+    done = batch.run_reports(
+        [broken, *TABLE_REPORTS[:2]], lambda: rows, lambda: rows, str(tmp_path)
+    )
+    assert list(done.failed) == ["broken"] and "UNRESOLVED_COLUMN" in done.failed["broken"]
+    assert done.rows == {r.name: 1 for r in TABLE_REPORTS[:2]}
     assert all((tmp_path / r.name / "_SUCCESS").exists() for r in TABLE_REPORTS[:2])
 
 
@@ -123,7 +133,7 @@ def test_last_element_of_a_payload_wins(spark, tmp_path):
     raw = spark.read.parquet(out.raw_weather)
     assert raw.count() == 80
     batch.merge_weather(spark, clean_weather(raw, keep=[schemas.SEQ]), out.weather)
-    stored = read_table(spark, out.weather, schemas.WEATHER).collect()
+    stored = batch.read_weather(spark, out.weather).collect()
     assert [r.weathercode for r in stored] == [39, 39]
 
 
@@ -131,9 +141,66 @@ def test_months_outside_the_batch_are_not_touched(spark, weather, tmp_path):
     path = str(tmp_path / "w")
     batch.merge_weather(spark, weather(("2025-08-01", "K", 1.0, 1.0, 0.0, 0),
                                        ("2025-09-01", "K", 1.0, 1.0, 0.0, 0)), path)
-    before = sorted((tmp_path / "w" / "_month=202508").iterdir())
+    before = sorted((tmp_path / "w").glob("data/*/partition=*"))
     assert batch.merge_weather(spark, weather(("2025-09-02", "K", 1.0, 1.0, 0.0, 0)), path) == 3
-    assert sorted((tmp_path / "w" / "_month=202508").iterdir()) == before
+    new = set((tmp_path / "w").glob("data/*/partition=*")) - set(before)
+    assert [p.name for p in new] == ["partition=202509"]
+
+
+def test_a_load_that_breaks_off_leaves_the_old_rows(spark, weather, tmp_path, monkeypatch):
+    path = str(tmp_path / "w")
+    batch.merge_weather(spark, weather(("2025-08-01", "K", 1.0, 1.0, 0.0, 0)), path)
+    before = batch.read_weather(spark, path).collect()
+
+    def broken(*args):
+        raise OSError("gone")
+
+    later = weather(("2025-08-01", "K", 9.0, 9.0, 9.0, 9), ("2025-08-02", "K", 1.0, 1.0, 0.0, 0))
+    with monkeypatch.context() as m:
+        m.setattr(versions, "switch", broken)
+        with pytest.raises(OSError):
+            batch.merge_weather(spark, later, path)
+    assert batch.read_weather(spark, path).collect() == before
+    assert batch.merge_weather(spark, later, path) == 2
+
+
+def test_a_load_into_many_months_writes_a_file_for_each(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    n = spark.range(0, 24_000, numPartitions=16)
+    rows = n.select(
+        *(
+            F.lit("x").cast(f.dataType).alias(f.name)
+            if f.dataType.simpleString() == "string"
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schemas.CITATIONS
+        ),
+        F.col("id").alias(schemas.SEQ),
+    ).withColumns(
+        {
+            "citation_id": F.col(schemas.SEQ).cast("string"),
+            "year": (F.lit(2020) + F.col(schemas.SEQ) % 2).cast("int"),
+            "month": (F.lit(1) + F.floor(F.col(schemas.SEQ) / 2) % 12).cast("int"),
+            "fine_amount": F.lit(1),
+            "timestamp": F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"),
+        }
+    )
+    assert batch.merge_citations(spark, rows, str(tmp_path / "c")) == 24_000
+    files = list((tmp_path / "c").glob("year=*/month=*/part-*"))
+    assert 24 <= len(files) <= 30
+
+
+def test_failing_steps_do_not_lose_the_outcome(spark, tmp_path, monkeypatch):
+    def broken(*args, **kwargs):
+        raise ValueError("no")
+
+    monkeypatch.setattr(batch, "read_weather", broken)
+    monkeypatch.setattr(batch.quality, "anomalies", broken)
+    monkeypatch.setattr(batch, "merge_weather", lambda *args: 0)
+    outcome = run(spark, land(tmp_path, FIRST, {"2025-09-15": 1.0}), tmp_path / "root")
+    assert outcome.failed_reports == {"weather_citation_correlation": "ValueError: no"}
+    assert outcome.failed_quality == {"anomalies": "ValueError: no"}
+    assert outcome.rows["inserted_citations"] == 3
 
 
 def test_merging_an_empty_weather_batch(spark, weather, tmp_path):

@@ -43,6 +43,7 @@ def test_weather_metrics(raw_weather):
     assert metrics(quality.weather_quality(rows)) == {
         "rows": 4, "null_precipitation": 1, "null_temperatures": 3, "unknown_codes": 2,
         "bucket_none": 1, "bucket_light": 1, "bucket_moderate": 1, "bucket_heavy": 1,
+        "first_date": 20250915, "last_date": 20250918,
     }
     counts = quality.bucket_counts(clean_weather(rows)).collect()
     assert [tuple(r) for r in counts] == [

@@ -16,6 +16,7 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="ticketmill", description=__doc__)
     parser.add_argument("--citations", required=True, help="raw citation files")
     parser.add_argument("--format", default="csv", help="csv (default), json, parquet or orc")
+    parser.add_argument("--timestamp-format", help="of CSV and JSON, e.g. M/d/yyyy h:mm a")
     parser.add_argument(
         "--payloads", required=True, help="weather payloads: <dir>/campus=<name>/*.json"
     )
@@ -31,13 +32,15 @@ def main(argv: list[str] | None = None) -> int:
     try:
         outcome = run(
             spark,
-            read_citations(spark, args.citations, args.format),
+            read_citations(
+                spark, args.citations, args.format, timestamp_format=args.timestamp_format
+            ),
             read_payloads(spark, args.payloads, args.multi_line),
             args.root,
         )
     finally:
         spark.stop()
-    return 1 if outcome.failed_reports else 0
+    return 1 if outcome.failed_reports or outcome.failed_quality else 0
 
 
 if __name__ == "__main__":

@@ -1,8 +1,9 @@
 """The batch job: ingest, clean, merge into the stored tables, report.
 
 Every stage writes Parquet under one root and the next stage reads it back, so a lost executor or
-a restarted driver never recomputes more than one stage. Run again on the same input it changes
-nothing: known citations are skipped and weather rows are replaced by themselves.
+a restarted driver never recomputes more than one stage. Run again on the same input, known citations
+are skipped and weather rows are replaced by themselves; only citations without an id, which nothing
+can recognise, are added again. Outcome counts them.
 """
 
 from __future__ import annotations
@@ -15,18 +16,18 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ticketmill import schemas
 from ticketmill.operators.citations import clean_citations
-from ticketmill.operators.merge import absent_rows, replace_by_key
+from ticketmill.operators.merge import absent_rows, replace_by_key, split_required
 from ticketmill.operators.weather import clean_weather
 from ticketmill.plans import quality
-from ticketmill.plans.reports import TABLE_REPORTS, ZONE_REPORTS, Report, rollup
-from ticketmill.settings import CitationRules, WeatherRules
-from ticketmill.sources.payload import flatten_payloads
+from ticketmill.plans.reports import TABLE_REPORTS, ZONE_REPORTS, Report
+from ticketmill.settings import CAMPUSES, CitationRules, WeatherRules
+from ticketmill.sources.payload import flatten_payloads, key_spine, load_window
 from ticketmill.sources.scans import read_table
-from ticketmill.sources.sinks import create_table, write_report, write_zone
+from ticketmill.sources.sinks import create_table, write_listing, write_report, write_zone
+from ticketmill.sources.versions import read_versions, write_versions
 
 log = logging.getLogger(__name__)
 
@@ -68,8 +69,8 @@ class Layout:
         return self.path("tables", "daily_weather")
 
     @property
-    def rollup(self) -> str:
-        return self.path("tables", "citation_rollup")
+    def rejected_citations(self) -> str:
+        return self.path("rejected", "citations")
 
     @property
     def reports(self) -> str:
@@ -82,8 +83,12 @@ class Layout:
 
 @dataclass
 class Outcome:
+    """Rows of each stage and report, and the errors of what failed. Of the clean citations, each is
+    rejected, repeated in its batch, known already, or inserted: the four add up."""
+
     rows: dict[str, int] = field(default_factory=dict)
     failed_reports: dict[str, str] = field(default_factory=dict)
+    failed_quality: dict[str, str] = field(default_factory=dict)
 
 
 def side_by_side(work: Mapping[str, Callable[[], object]], workers: int = 8) -> dict:
@@ -93,10 +98,10 @@ def side_by_side(work: Mapping[str, Callable[[], object]], workers: int = 8) ->
     return {name: job.result() for name, job in running.items()}
 
 
-def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Run a write and return its row count, measured by the write itself."""
+def write_counted(df: DataFrame, path: str, *args, **kwargs) -> int:
+    """write_zone(), returning the row count that the write itself measured."""
     seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    write_zone(df, path, *args, seen=seen, **kwargs)
     return seen.get["rows"]
 
 
@@ -105,12 +110,8 @@ def ingest(citations: DataFrame, payloads: DataFrame, out: Layout) -> dict[str,
     weather = flatten_payloads(payloads, seq=SEQ)
     return side_by_side(
         {
-            "raw_citations": lambda: write_counted(
-                citations, lambda df: write_zone(df, out.raw_citations)
-            ),
-            "raw_weather": lambda: write_counted(
-                weather, lambda df: write_zone(df, out.raw_weather)
-            ),
+            "raw_citations": lambda: write_counted(citations, out.raw_citations),
+            "raw_weather": lambda: write_counted(weather, out.raw_weather),
         }
     )
 
@@ -122,12 +123,8 @@ def transform(
     weather = clean_weather(spark.read.parquet(out.raw_weather), weather_rules, [SEQ])
     return side_by_side(
         {
-            "clean_citations": lambda: write_counted(
-                citations, lambda df: write_zone(df, out.clean_citations)
-            ),
-            "clean_weather": lambda: write_counted(
-                weather, lambda df: write_zone(df, out.clean_weather)
-            ),
+            "clean_citations": lambda: write_counted(citations, out.clean_citations),
+            "clean_weather": lambda: write_counted(weather, out.clean_weather),
         }
     )
 
@@ -137,7 +134,7 @@ def merge_citations(
     batch: DataFrame,
     path: str,
     partition_by: Sequence[str] = ("year", "month"),
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> int:
     """Append the batch rows whose id is not stored yet; return how many.
 
@@ -147,102 +144,172 @@ def merge_citations(
     create_table(spark, path, schemas.CITATIONS, partition_by)
     stored = read_table(spark, path, schemas.CITATIONS)
     new = absent_rows(stored, batch, schemas.CITATION_KEY, SEQ, schemas.CITATION_REQUIRED)
-    return write_counted(
-        new, lambda df: write_zone(df, path, partition_by, mode="append", rebalance=rebalance)
+    return write_counted(new, path, partition_by, mode="append", rebalance=rebalance)
+
+
+def counted_merge(spark: SparkSession, batch: DataFrame, out: Layout) -> dict[str, int]:
+    """merge_citations(), with a count of every row that it does not insert; incomplete rows are kept
+    in a zone of their own."""
+    complete, rejected = split_required(batch, schemas.CITATION_REQUIRED)
+    key = F.col(schemas.CITATION_KEY)
+    work = side_by_side(
+        {
+            "rejected": lambda: write_counted(rejected, out.rejected_citations),
+            "complete": lambda: complete.agg(
+                F.count(F.lit(1)).alias("n"),
+                F.count_if(key.isNull()).alias("unkeyed"),
+                F.count_distinct(key).alias("ids"),
+            ).first(),
+            "inserted": lambda: merge_citations(spark, batch, out.citations),
+        }
     )
+    n = work["complete"]
+    return {
+        "rejected_citations": work["rejected"],
+        "repeated_citations": n["n"] - n["unkeyed"] - n["ids"],
+        "known_citations": n["ids"] - (work["inserted"] - n["unkeyed"]),
+        "inserted_citations": work["inserted"],
+        "inserted_without_id": n["unkeyed"],
+    }
+
+
+def read_weather(spark: SparkSession, path: str) -> DataFrame:
+    return read_versions(spark, path, schemas.WEATHER)
 
 
 def merge_weather(spark: SparkSession, batch: DataFrame, path: str) -> int:
     """Replace or add the batch rows; return the number of stored rows.
 
-    The table is partitioned by month, and only the months from the first to the last date of the
-    batch are read and written: dynamic overwrite leaves all other partitions alone.
+    Only the months that the batch has are read and written, to new folders; the switch to them is the
+    last step, so a load that breaks off leaves the old rows readable.
     """
-    by_month = T.StructType([*schemas.WEATHER, T.StructField(MONTH, T.IntegerType())])
-    create_table(spark, path, by_month, [MONTH])
-    stored = read_table(spark, path, by_month)
-    batch = batch.withColumn(MONTH, F.year("date") * 100 + F.month("date"))
-    first, last = batch.agg(F.min(MONTH), F.max(MONTH)).first()
-    touched = stored.filter(F.col(MONTH).between(first, last))
+    batch = batch.withColumn(MONTH, F.date_format("date", "yyyyMM"))
+    months = {r[0] for r in batch.select(MONTH).distinct().collect()} - {None}
+    touched = read_versions(spark, path, schemas.WEATHER, months)
     merged = replace_by_key(touched, batch, schemas.WEATHER_KEY, SEQ)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        MONTH
-    ).parquet(path)
-    return read_table(spark, path, schemas.WEATHER).count()
+    merged = merged.withColumn(MONTH, F.date_format("date", "yyyyMM"))
+    write_versions(merged, path, MONTH, months)
+    return read_weather(spark, path).count()
 
 
 def merge(spark: SparkSession, out: Layout) -> dict[str, int]:
     citations = spark.read.parquet(out.clean_citations)
     weather = spark.read.parquet(out.clean_weather)
-    return side_by_side(
+    work = side_by_side(
         {
-            "inserted_citations": lambda: merge_citations(spark, citations, out.citations),
+            "citations": lambda: counted_merge(spark, citations, out),
             "stored_weather": lambda: merge_weather(spark, weather, out.weather),
         }
     )
+    return work["citations"] | {"stored_weather": work["stored_weather"]}
 
 
-def run_reports(
-    reports: Sequence[Report], citations: DataFrame, weather: DataFrame, directory: str
-) -> dict[str, str]:
-    """Write every report; return the error of each one that failed. One failure stops no other."""
+@dataclass
+class Written:
+    """Rows of what was written, errors of what failed."""
 
-    def write(report: Report) -> str | None:
+    rows: dict[str, int]
+    failed: dict[str, str]
+
+
+def write_each(work: Mapping[str, Callable[[], int]]) -> Written:
+    """Run every write side by side; one failure stops no other."""
+
+    def attempt(name: str) -> int | str:
         try:
-            write_report(
-                report.rows(citations, weather),
-                f"{directory}/{report.name}",
-                report.sort_columns(),
-            )
+            return work[name]()
         except Exception as e:
-            log.exception("report %s failed", report.name)
+            log.exception("%s failed", name)
             return f"{type(e).__name__}: {e}"
-        return None
 
-    errors = side_by_side({r.name: partial(write, r) for r in reports})
-    return {name: error for name, error in errors.items() if error is not None}
+    done = side_by_side({name: partial(attempt, name) for name in work})
+    return Written(
+        {name: n for name, n in done.items() if isinstance(n, int)},
+        {name: error for name, error in done.items() if isinstance(error, str)},
+    )
+
+
+def run_reports(
+    reports: Sequence[Report],
+    citations: Callable[[], DataFrame],
+    weather: Callable[[], DataFrame],
+    directory: str,
+) -> Written:
+    """Write every report. The tables are opened for each one, so a report fails alone."""
+
+    def write(report: Report) -> int:
+        rows = report.rows(citations(), weather() if report.uses_weather else None)
+        return write_report(rows, f"{directory}/{report.name}", report.sort_columns())
+
+    return write_each({r.name: partial(write, r) for r in reports})
 
 
-def table_reports(spark: SparkSession, out: Layout) -> dict[str, str]:
-    """Six reports over the stored tables, whose citations are scanned once, into a roll-up."""
-    write_zone(rollup(read_table(spark, out.citations, schemas.CITATIONS)), out.rollup)
+def table_reports(spark: SparkSession, out: Layout) -> Written:
+    """Six reports over the stored tables, each with a scan of the columns that it needs: their groups
+    are few, while a roll-up fine enough for all of them hardly has fewer rows than the table."""
     return run_reports(
         TABLE_REPORTS,
-        spark.read.parquet(out.rollup),
-        read_table(spark, out.weather, schemas.WEATHER),
+        lambda: read_table(spark, out.citations, schemas.CITATIONS),
+        lambda: read_weather(spark, out.weather),
         out.reports,
     )
 
 
-def zone_reports(spark: SparkSession, out: Layout) -> dict[str, str]:
+def zone_reports(spark: SparkSession, out: Layout) -> Written:
     """Two reports over the clean zone of this batch."""
     return run_reports(
         ZONE_REPORTS,
-        read_table(spark, out.clean_citations, schemas.CITATIONS),
-        read_table(spark, out.clean_weather, schemas.WEATHER),
+        lambda: read_table(spark, out.clean_citations, schemas.CITATIONS),
+        lambda: read_table(spark, out.clean_weather, schemas.WEATHER),
         f"{out.reports}/spark",
     )
 
 
 def check_quality(
-    spark: SparkSession, out: Layout, citation_rules: CitationRules, weather_rules: WeatherRules
-) -> None:
-    """Metrics of this batch as CSV, next to the reports."""
-    citations = read_table(spark, out.clean_citations, schemas.CITATIONS)
-    weather = read_table(spark, out.clean_weather, schemas.WEATHER)
-    frames = {
-        "citations": quality.citation_quality(
-            spark.read.parquet(out.raw_citations), citation_rules
-        ),
-        "weather": quality.weather_quality(spark.read.parquet(out.raw_weather), weather_rules),
-        "anomalies": quality.anomalies(citations),
-        "join_coverage": quality.join_coverage(citations, weather),
-        "missing_keys": quality.missing_keys(citations, weather),
-    }
-    side_by_side(
+    spark: SparkSession,
+    out: Layout,
+    citation_rules: CitationRules,
+    weather_rules: WeatherRules,
+    campuses: Sequence[str] = CAMPUSES,
+) -> Written:
+    """Metrics of this batch as CSV, next to the reports; listings that can grow are in parts."""
+
+    def citations() -> DataFrame:
+        return read_table(spark, out.clean_citations, schemas.CITATIONS)
+
+    def weather() -> DataFrame:
+        return read_table(spark, out.clean_weather, schemas.WEATHER)
+
+    def metrics(name: str, df: DataFrame) -> int:
+        return write_report(df, f"{out.quality}/{name}", [F.col(df.columns[0])])
+
+    def listing(name: str, df: DataFrame) -> int:
+        return write_listing(df, f"{out.quality}/{name}")
+
+    def keys() -> int:
+        """The days and campuses that citations use, read by both checks of the weather's keys."""
+        used = f"{out.quality}/citation_keys"
+        write_zone(citations().select(*schemas.WEATHER_KEY).distinct(), used)
+        rows = spark.read.parquet(used)
+        return metrics("join_coverage", quality.join_coverage(rows, weather())) + listing(
+            "missing_keys", quality.missing_keys(rows, weather())
+        )
+
+    def gaps() -> DataFrame:
+        return quality.missing_keys(key_spine(load_window(citations()), campuses), weather())
+
+    return write_each(
         {
-            name: partial(write_report, df, f"{out.quality}/{name}", [F.col(df.columns[0])])
-            for name, df in frames.items()
+            "citations": lambda: metrics(
+                "citations",
+                quality.citation_quality(spark.read.parquet(out.raw_citations), citation_rules),
+            ),
+            "weather": lambda: metrics(
+                "weather", quality.weather_quality(spark.read.parquet(out.raw_weather), weather_rules)
+            ),
+            "anomalies": lambda: listing("anomalies", quality.anomalies(citations())),
+            "keys": keys,
+            "weather_gaps": lambda: listing("weather_gaps", gaps()),
         }
     )
 
@@ -273,6 +340,9 @@ def run(
             "quality": lambda: check_quality(spark, out, citation_rules, weather_rules),
         }
     )
-    outcome.failed_reports = last["tables"] | last["zones"]
+    outcome.failed_reports = last["tables"].failed | last["zones"].failed
+    outcome.failed_quality = last["quality"].failed
+    for written in (last["tables"], last["zones"]):
+        outcome.rows |= {f"report_{name}": n for name, n in written.rows.items()}
     log.info("reports: %s failed", len(outcome.failed_reports))
     return outcome

@@ -65,7 +65,8 @@ def citation_quality(raw: DataFrame, rules: CitationRules = CitationRules()) ->
 
 
 def weather_quality(raw: DataFrame, rules: WeatherRules = WeatherRules()) -> DataFrame:
-    """Missing values and unknown codes before filling, and rows per bucket after it."""
+    """Missing values and unknown codes before filling, rows per bucket after it, and the first and
+    last date as numbers like 20250915 (0 without any)."""
 
     def missing(column):
         return null_if_nan(F.col(column)).isNull()
@@ -83,6 +84,12 @@ def weather_quality(raw: DataFrame, rules: WeatherRules = WeatherRules()) -> Dat
             ).alias("null_temperatures"),
             F.count_if(label == UNKNOWN).alias("unknown_codes"),
             *(F.count_if(bucket == b).alias(f"bucket_{b.lower()}") for b in rules.buckets),
+            *(
+                F.date_format(extreme(F.expr("try_cast(date AS date)")), "yyyyMMdd")
+                .cast("bigint")
+                .alias(f"{name}_date")
+                for name, extreme in (("first", F.min), ("last", F.max))
+            ),
         )
     )
 

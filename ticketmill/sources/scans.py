@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from ticketmill import schemas
 
+#: Column that holds the text of a line that can't be parsed.
+CORRUPT = "_corrupt"
+
 
 def source_position() -> Column:
     """Order of rows in their source, for a DataFrame read straight from files: older files first,
@@ -25,27 +28,71 @@ def source_position() -> Column:
     )
 
 
-def read_citations(
-    spark: SparkSession, path: str, fmt: str = "csv", mode: str = "FAILFAST"
-) -> DataFrame:
-    """Raw citations with a source position. A missing path or an unparsable value is an error.
+def _csv_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The columns of the header in its order: declared ones with their types, others as text."""
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [name for name in schemas.RAW_CITATIONS.names if name not in header]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {missing}")
+    types = {f.name: f.dataType for f in schemas.RAW_CITATIONS}
+    return T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in header])
 
-    The id is declared a string, so long numeric ids keep every digit, and only its header is
-    tidied. All other names and values stay as they are. A CSV header must name the columns in
-    their declared order.
-    """
-    reader = spark.read.schema(schemas.RAW_CITATIONS).format(fmt)
+
+def _scan(
+    spark: SparkSession, path: str, fmt: str, mode: str, timestamp_format: str | None
+) -> DataFrame:
+    """Declared columns by name, with a source position, and CORRUPT where lines may be."""
+    schema = _csv_schema(spark, path) if fmt == "csv" else schemas.RAW_CITATIONS
+    names = schemas.RAW_CITATIONS.names
+    if mode == "PERMISSIVE":
+        schema = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+        names = [*names, CORRUPT]
+    reader = spark.read.schema(schema).format(fmt)
     if fmt in ("csv", "json"):
-        reader = reader.option("mode", mode)
+        reader = reader.option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT)
+        if timestamp_format:
+            reader = reader.option("timestampNTZFormat", timestamp_format)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     return (
         reader.load(path)
         .withColumn(schemas.SEQ, source_position())
+        .select(*(F.col(f"`{n}`") for n in names), schemas.SEQ)
         .withColumnRenamed(schemas.ID_HEADER, schemas.CITATION_KEY)
     )
 
 
+def read_citations(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    mode: str = "FAILFAST",
+    timestamp_format: str | None = None,
+) -> DataFrame:
+    """Raw citations with a source position. A missing path, a missing column or an unparsable value is
+    an error.
+
+    The id is declared a string, so long numeric ids keep every digit, and only its header is
+    tidied. All other names and values stay as they are. CSV columns go by the names in the header, in
+    any order, the same in all files; further columns are ignored.
+    """
+    return _scan(spark, path, fmt, mode, timestamp_format)
+
+
+def read_quarantined(
+    spark: SparkSession, path: str, fmt: str = "csv", timestamp_format: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(raw citations, damaged lines): as read_citations(), but a line that can't be parsed ends up in
+    the second frame, as text under CORRUPT with its source position, instead of ending the job."""
+    rows = _scan(spark, path, fmt, "PERMISSIVE", timestamp_format)
+    # Spark parses no more columns than a query uses, and finds no damage in others: the condition is
+    # true for every row, but needs all of them.
+    names = [c for c in rows.columns if c not in (CORRUPT, schemas.SEQ)]
+    rows = rows.filter(F.xxhash64(*(F.col(f"`{n}`") for n in names)) % 2 < 2)
+    damaged = F.col(CORRUPT).isNotNull()
+    return rows.filter(~damaged).drop(CORRUPT), rows.filter(damaged).select(CORRUPT, schemas.SEQ)
+
+
 def read_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Daily weather payloads laid out as <path>/campus=<name>/<file>.json.
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -14,8 +15,9 @@ def write_zone(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     rebalance: bool = False,
+    seen: Observation | None = None,
 ) -> None:
-    """Parquet, snappy-compressed.
+    """Parquet, snappy-compressed. `seen` counts the rows as they are written.
 
     With many partition values set `rebalance`: one shuffle by those values, in which adaptive
     execution splits a value that is too large and merges those that are small. Without it every
@@ -23,6 +25,8 @@ def write_zone(
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
+    if seen is not None:  # above the shuffle, which may be run again in part
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
@@ -34,12 +38,26 @@ def create_table(
     empty.write.mode("ignore").partitionBy(*partition_by).parquet(path)
 
 
-def write_report(df: DataFrame, path: str, order: Sequence[Column] = ()) -> None:
-    """A CSV directory with one sorted part file, a header, and empty fields for NULL.
+def write_listing(df: DataFrame, path: str) -> int:
+    """A CSV directory of any number of part files, for what may grow with the data; returns the
+    number of rows."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
+        "header", True
+    ).option("emptyValue", "").csv(path)
+    return seen.get["rows"]
+
+
+def write_report(df: DataFrame, path: str, order: Sequence[Column] = ()) -> int:
+    """A CSV directory with one sorted part file, a header, and empty fields for NULL; returns the
+    number of rows.
 
     For reports only: they are aggregated already, so one task holds no more than their groups.
     """
     single = df.repartition(1)
     if order:
         single = single.sortWithinPartitions(*order)
+    seen = Observation()
+    single = single.observe(seen, F.count(F.lit(1)).alias("rows"))
     single.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    return seen.get["rows"]
