@@ -23,6 +23,8 @@ from ticketmill.llm.arrays import slices, text_bytes
 #: Documents of each language that the sample has on average, and characters taken of each.
 SAMPLE_DOCS = 150
 SAMPLE_CHARS = 400
+#: Languages that are learned at most, the most frequent ones.
+LANGUAGES = 200
 #: Characters that one automaton holds at most.
 TRAINING_CHARS = 40_000
 #: A phrase never crosses a multiple of this many characters, so that stretches can be parsed side by
@@ -210,16 +212,18 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Parser:
     norm. The sample goes by a hash of the text and the row's other columns, the same in each run.
     """
     known = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    counts = known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
+    counts = known.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("n"))
+    counts = counts.orderBy(F.desc("n"), "_lang").limit(LANGUAGES)
     draw = F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 30)) / (1 << 30)
     start = F.pmod(F.xxhash64(F.col(text), F.lit("start")),
                    F.greatest(F.char_length(text) - SAMPLE_CHARS, F.lit(0)) + 1)
     rows = (
         known.withColumn("_draw", draw)
-        .join(F.broadcast(counts.withColumnRenamed("lang", "_lang")), F.col(lang) == F.col("_lang"))
+        .join(F.broadcast(counts), F.col(lang) == F.col("_lang"))
         .filter(F.col("_draw") * F.col("n") < SAMPLE_DOCS)
         .select(F.col(lang).alias("lang"), "_draw",
                 F.substring(F.col(text), (start + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("part"))
+        .distinct()  # equal rows are drawn together
         .collect()
     )
     parts: dict[str, list[str]] = {}

@@ -194,16 +194,20 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc
     """A chain fitted on labelled documents: all, or a random sample of about `rows` of them. One task
     fits it; the driver gets the weights alone.
 
-    Rows with a null id, label or text don't take part; an id that several labels or documents share
-    is trained with each. The sample goes by a hash of the id, so that it is the same in each run.
+    Rows with a null id, label or text don't take part. An id that has both labels is trained with
+    both; of several texts under one id, the smallest is used. The sample goes by a hash of the id, so that
+    it is the same in each run.
     """
     known = labels.select(F.col(id).alias("id"), (F.col(label) > 0).alias("toxic")).dropna()
     share = min(1.0, rows / max(1, known.count()))
-    sampled = known.filter(F.pmod(F.xxhash64("id", F.lit("train")), F.lit(1 << 30)) < share * (1 << 30))
+    drawn = F.pmod(F.xxhash64("id", F.lit("train")), F.lit(1 << 30)) < share * (1 << 30)
+    sampled = known.filter(drawn).distinct()
     found = (
         docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
         .filter("text is not null")
         .join(F.broadcast(sampled), "id")
+        .groupBy("id", "toxic")
+        .agg(F.min("text").alias("text"))
         .select("id", "text", "toxic")
         .repartition(1)
     )
