@@ -489,6 +489,27 @@ def test_components_of_a_long_path(spark):
     assert graph.components(edges.filter("false")).count() == 0
 
 
+def test_columns_that_clash_with_what_operators_use_inside_stay(spark):
+    names = ["of", "fp", "_id", "doc", "key", "at", "lang", "words", "bits", "n", "row", "first"]
+    docs = spark.createDataFrame([(1, "some words here"), (2, None)], "doc_id bigint, text string")
+    docs = docs.withColumns({n: F.lit(n) for n in names})
+
+    def kept(frame):
+        return all(tuple(r[n] for n in names) == tuple(names) for r in frame.collect()) and frame.count() == 2
+
+    parser = language.Parser(["x"], ["abc abc"], [1.0])
+    nothing = spark.createDataFrame([], "item_id bigint, text string")
+    assert kept(simhash.near_duplicates(docs))
+    assert kept(language.identify(docs, parser))
+    assert kept(tokens.count_tokens(docs, PIECES))
+    assert kept(toxicity.toxicity(docs, toxicity.fit([], [])))
+    assert kept(rules.ledger(docs))
+    assert kept(passages.without_passages(docs))
+    assert kept(decontam.contamination(docs, nothing))
+    assert packing.pack(docs, BYTES, RANKS).count() == 2
+    assert passages.passages(docs).count() == 0
+
+
 def test_queries_have_ten_operators():
     numbers = {int(name[2:].split("_")[0]) for name in queries.QUERIES}
     assert numbers == set(range(1, 11))

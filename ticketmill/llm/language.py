@@ -276,8 +276,8 @@ def identify(docs: DataFrame, parser: Parser, text: str = "text") -> DataFrame:
                 [pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
             )
 
-    rows = docs.withColumn("_id", predicted(F.col(text)))
-    return rows.withColumns({"lang_pred": F.col("_id.lang_pred"), "score": F.col("_id.score")}).drop("_id")
+    rows = docs.withColumn("_language", predicted(F.col(text)))
+    return rows.withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language")
 
 
 def is_held_out(id: Column, folds: int = 5) -> Column:

@@ -246,15 +246,15 @@ def near_duplicates(
     named = prints.join(linked.withColumnRenamed("u", "fp"), "fp", "left").withColumn(
         "m", F.coalesce("m", "fp")
     )
-    firsts = named.groupBy("m").agg(F.min("first").alias("of"))
-    table = kept(named.join(firsts, "m").select(F.col("fp").alias("_fp"), "of"), "components")
+    firsts = named.groupBy("m").agg(F.min("first").alias("_first"))
+    table = kept(named.join(firsts, "m").select(F.col("fp").alias("_fp"), "_first"), "components")
 
-    is_first = (F.col("_fp") == F.col("of.fp")) & F.col(id).eqNullSafe(F.col("of.doc"))
+    is_first = (F.col("_fp") == F.col("_first.fp")) & F.col(id).eqNullSafe(F.col("_first.doc"))
     rows = docs.join(table, "_fp").withColumns(
         {
             "fingerprint": F.lpad(F.lower(F.hex("_fp")), 16, "0"),
-            "component_id": F.col("of.doc"),
-            "keep": F.when(is_first, F.col("of.n") == 1),
+            "component_id": F.col("_first.doc"),
+            "keep": F.when(is_first, F.col("_first.n") == 1),
         }
     )
     return rows

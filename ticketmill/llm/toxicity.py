@@ -241,6 +241,6 @@ def toxicity(docs: DataFrame, chain: Chain, text: str = "text", threshold: float
             p = np.concatenate([np.zeros((0, len(fields))), *parts])
             yield pa.StructArray.from_arrays([pa.array(p[:, k]) for k in range(len(fields))], fields)
 
-    rows = docs.withColumn("_p", predicted(F.col(text)))
-    rows = rows.withColumns({f: F.col(f"_p.{f}") for f in fields}).drop("_p")
+    rows = docs.withColumn("_toxicity", predicted(F.col(text)))
+    rows = rows.withColumns({f: F.col(f"_toxicity.{f}") for f in fields}).drop("_toxicity")
     return rows.withColumn("is_toxic", F.col("p_toxic") >= threshold)
