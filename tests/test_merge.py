@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +160,19 @@ def test_replace_against_a_dictionary(spark, days, seed):
     table = {r[:2]: r for r in [*old, *new]}
     merged = replace_by_key(weather(spark, old), readings(spark, new), KEY, "_seq")
     assert bag(merged) == sorted(table.values(), key=str)
+
+
+def test_large_batch_is_shuffled_once_and_gives_the_same_rows(spark):
+    stored = spark.createDataFrame([(str(i), "old") for i in range(50)], "k string, v string")
+    rows = [(str(i % 80), f"v{i}", i) for i in range(200)] + [(None, "n", 1), (None, "n", 2)]
+    batch = spark.createDataFrame(rows, "k string, v string, s int")
+    small = absent_rows(stored, batch, "k", "s")
+    large = absent_rows(stored, batch, "k", "s", large_batch=True)
+    assert Counter(map(tuple, small.collect())) == Counter(map(tuple, large.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        again = absent_rows(stored, batch, "k", "s", large_batch=True)
+        plan = again._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # the batch and the stored keys

@@ -41,6 +41,11 @@ def ratio(numerator: Column, denominator: Column, places: int) -> Column:
 
 
 def weighted_mean(col: Column, weight: Column, places: int) -> Column:
-    """Rounded mean of the non-NULL values, each counted `weight` times."""
+    """Rounded mean of the non-NULL values, each counted `weight` times.
+
+    Values are summed as EXACT: decimals beyond the sixth are rounded off first, and values of 13 or
+    more digits before the point, NaN and infinity fail or become NULL by the session's ANSI mode.
+    Cleaned weather has none of these.
+    """
     total = F.sum(col.cast(EXACT) * weight)
     return ratio(total, F.sum(F.when(col.isNotNull(), weight)), places)

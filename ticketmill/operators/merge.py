@@ -38,7 +38,12 @@ def last_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
 
 
 def absent_rows(
-    existing: DataFrame, incoming: DataFrame, key: str, seq: str, required: Sequence[str] = ()
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    seq: str,
+    required: Sequence[str] = (),
+    large_batch: bool = False,
 ) -> DataFrame:
     """The batch rows that insert-if-absent adds, in the columns of `existing`.
 
@@ -47,11 +52,15 @@ def absent_rows(
 
     The stored keys that the batch also has are found first, by a semi-join. Its right side is the
     distinct batch keys, so as long as those fit Spark's broadcast limit the stored table is
-    scanned for its key column only and is not shuffled, whatever its size.
+    scanned for its key column only and is not shuffled, whatever its size. For a batch whose keys
+    are far beyond that, say `large_batch`: it is then shuffled by its key once, and meets the stored
+    keys on the same partitioning. The rows are the same.
     """
     complete, _ = split_required(incoming, required)
     keyed = complete.filter(F.col(key).isNotNull())
-    taken = existing.select(key).join(keyed.select(key).distinct(), key, "left_semi")
+    taken = existing.select(key)
+    if not large_batch:
+        taken = taken.join(keyed.select(key).distinct(), key, "left_semi")
     fresh = first_per_key(keyed, [key], seq).join(taken, key, "left_anti")
     # NULL keys go around the shuffle, where they would all meet in one partition.
     unkeyed = complete.filter(F.col(key).isNull())
