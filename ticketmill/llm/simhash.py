@@ -228,12 +228,13 @@ def near_duplicates(
     kept. Null texts and texts without words have fingerprint zero and are linked as such; null ids
     come after all others; repeated rows are in one component. An empty table gives an empty table.
 
-    The rows are written once to the shared folder with their fingerprints.
+    Fingerprints are written to the shared folder once, with all columns but the text, or with the id
+    alone if the text is kept: texts are then fingerprinted again at the end rather than stored again.
     """
     docs = docs.drop("fingerprint", "component_id", "keep")
     docs = docs.withColumn("_fp", fingerprint(F.col(text), width))
-    docs = kept(docs if keep_text else docs.drop(text), "fingerprints")
-    counted = docs.groupBy(F.col("_fp").alias("fp"), F.col(id).alias("doc")).agg(F.count("*").alias("n"))
+    stored = kept(docs.select(id, "_fp") if keep_text else docs.drop(text), "fingerprints")
+    counted = stored.groupBy(F.col("_fp").alias("fp"), F.col(id).alias("doc")).agg(F.count("*").alias("n"))
     first = F.struct(F.col("doc").isNull().alias("none"), "doc", "fp", "n")
     prints = kept(counted.groupBy("fp").agg(F.min(first).alias("first")), "prints")
 
@@ -250,7 +251,7 @@ def near_duplicates(
     table = kept(named.join(firsts, "m").select(F.col("fp").alias("_fp"), "_first"), "components")
 
     is_first = (F.col("_fp") == F.col("_first.fp")) & F.col(id).eqNullSafe(F.col("_first.doc"))
-    rows = docs.join(table, "_fp").withColumns(
+    rows = (docs if keep_text else stored).join(table, "_fp").withColumns(
         {
             "fingerprint": F.lpad(F.lower(F.hex("_fp")), 16, "0"),
             "component_id": F.col("_first.doc"),
