@@ -352,6 +352,47 @@ def test_a_passage_of_all_documents_gives_one_match_for_each(spark):
     assert all((r["first_word"], r["n_words"]) == (20, 60) and 0 in r["source_ids"] for r in found)
 
 
+def found_in(spark, docs):
+    """Documents by number, and the words that passages() finds repeated in each."""
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id bigint, text string")
+    out = defaultdict(set)
+    for r in passages.passages(frame).collect():
+        out[r["doc_id"]] |= set(range(r["first_word"], r["last_word"] + 1))
+    return out
+
+
+def recall(spark, edited, n=40):
+    """How many of n passages of 60 words are found whole (but for an edit at an end) in edited copies."""
+    rng = random.Random(11)
+    originals, copies, at = [], [], []
+    for _ in range(n):
+        passage = words_of(rng, 60)
+        changed = edited(rng, passage)
+        originals.append(words_of(rng, 100) + passage + words_of(rng, 100))
+        copies.append(words_of(rng, 90) + changed + words_of(rng, 90))
+        at.append(set(range(90, 90 + len(changed))))
+    found = found_in(spark, originals + copies)
+    assert all(i >= n for i in found)
+    return sum(len(found[n + i] & at[i]) >= 0.9 * len(at[i]) for i in range(n))
+
+
+@pytest.mark.parametrize("every, least", [(20, 40), (10, 40), (8, 40), (7, 40), (6, 39), (5, 38)])
+def test_fuzzy_passages_are_found(spark, every, least):
+    """One word replaced every so many: similarity 0.95 to 0.80."""
+    def edited(rng, passage):
+        return [w if i % every != every // 2 else f"x{rng.random()}" for i, w in enumerate(passage)]
+
+    assert recall(spark, edited) >= least
+
+
+def test_growth_equals_brute_force():
+    rng = random.Random(12)
+    for _ in range(300):
+        a, b = ([rng.randint(0, 2) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        na, nb, edits = passages.grown(a, b, 3.0)
+        assert edits == passages.distance(np.array(a[:na]), np.array(b[:nb])) or (na, nb) == (0, 0)
+
+
 def best_chain(x, y):
     """The highest score of a chain, by trying all predecessors."""
     k, cost = passages.SEED_WORDS, passages.GAP_COST
