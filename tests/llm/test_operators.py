@@ -385,6 +385,20 @@ def test_fuzzy_passages_are_found(spark, every, least):
     assert recall(spark, edited) >= least
 
 
+def test_alike_parts_of_an_unlike_chain_stay(spark):
+    """Exact passages of 50 words; after them, unlike words and a further shared run, short or long."""
+    rng = random.Random(13)
+    originals, copies, wanted = [], [], []
+    for gap, more in ((20, 5), (26, 50), (28, 50), (30, 50)):
+        for _ in range(5):
+            exact, further = words_of(rng, 50), words_of(rng, more)
+            originals.append(words_of(rng, 60) + exact + words_of(rng, gap) + further + words_of(rng, 60))
+            copies.append(words_of(rng, 70) + exact + words_of(rng, gap) + further + words_of(rng, 70))
+            wanted.append(set(range(70, 120)) | (set(range(120 + gap, 170 + gap)) if more == 50 else set()))
+    found = found_in(spark, originals + copies)
+    assert [found[20 + i] for i in range(20)] == wanted
+
+
 def test_growth_equals_brute_force():
     rng = random.Random(12)
     for _ in range(300):
