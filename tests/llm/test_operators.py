@@ -399,6 +399,25 @@ def test_alike_parts_of_an_unlike_chain_stay(spark):
     assert [found[20 + i] for i in range(20)] == wanted
 
 
+@pytest.mark.parametrize("n_words, n", [(n, k) for n in (60, 100) for k in (5, 8, 9, 12)])
+def test_insertions_and_deletions_inside_passages(n_words, n):
+    """Chaining and alignment decide, not a fixed shift: one edit of n words in the middle."""
+    rng = random.Random(14)
+    words = [rng.randint(-(1 << 31), 1 << 31) for _ in range(n_words)]
+    half = n_words // 2
+    longer = words[:half] + [rng.randint(-(1 << 31), 1 << 31) for _ in range(n)] + words[half:]
+    shift = {i: i if i < half else i + n for i in range(n_words)}
+    at = [i for i in range(0, n_words - 3, 3) if shift[i + 3] == shift[i] + 3]
+    for a, b, xs, ys in (
+        (words, longer, at, [shift[i] for i in at]), (longer, words, [shift[i] for i in at], at),
+    ):
+        got = []
+        for c in passages.chains(xs, ys):
+            x, y = (np.array([v[k] for k in c]) for v in (xs, ys))
+            got += passages.aligned(np.array(a), np.array(b), x, y, 0.8)
+        assert got == [(0, len(a), 0, len(b), n)]
+
+
 def test_growth_equals_brute_force():
     rng = random.Random(12)
     for _ in range(300):
