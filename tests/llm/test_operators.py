@@ -418,6 +418,43 @@ def test_insertions_and_deletions_inside_passages(n_words, n):
         assert got == [(0, len(a), 0, len(b), n)]
 
 
+def test_links_go_to_first_and_last_places_in_earlier_documents():
+    rng = random.Random(15)
+    rows = sorted({(rng.randint(0, 8), rng.randint(0, 12), rng.randint(0, 5)) for _ in range(300)})
+    for size in (1, 2, 7, 300):
+        batches = [
+            pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows[i : i + size])], ["hash", "doc", "at"])
+            for i in range(0, len(rows), size)
+        ]
+        got = Counter(tuple(r.values()) for b in passages.linked(iter(batches)) for r in b.to_pylist())
+        wanted = Counter()
+        for h, doc, at in rows:
+            earlier = [r[1:] for r in rows if r[0] == h and r[1] < doc]
+            wanted.update((doc, at, *e) for e in {*earlier[:1], *earlier[-passages.PREVIOUS :]})
+        assert got == wanted
+
+
+@pytest.mark.parametrize("times", [1, 8])
+def test_passages_of_phrases_that_other_documents_have(spark, times):
+    """Every run of five words of a passage stands also in some unrelated documents before and between."""
+    rng = random.Random(16)
+    shared = [words_of(rng, 60) for _ in range(10)]
+
+    def scattered():
+        runs = [p[i : i + 6] for p in shared for i in range(0, 55, 2)]
+        rng.shuffle(runs)
+        return [sum((r + words_of(rng, 6) for r in runs[k::10]), []) for k in range(10)]
+
+    def around():
+        return [words_of(rng, 20) + p + words_of(rng, 20) for p in shared]
+
+    before = sum((scattered() for _ in range(times)), [])
+    between = sum((scattered() for _ in range(times)), [])
+    found = found_in(spark, before + around() + between + around())
+    last = len(before) + 10 + len(between)
+    assert {i: w for i, w in found.items() if w} == {last + i: set(range(20, 80)) for i in range(10)}
+
+
 def test_growth_equals_brute_force():
     rng = random.Random(12)
     for _ in range(300):
