@@ -143,6 +143,20 @@ def test_parse_equals_brute_force():
             assert found[i, k] == plain.cross_parse(doc, known), (doc, known)
 
 
+def test_languages_of_many_characters_keep_all_of_them():
+    """Beside each other: languages of 60 to 900 letters, on dense tables and on sorted edges."""
+    rng = random.Random(17)
+    scripts = [range(0x4E00, 0x4E00 + 900), range(0xAC00, 0xAC00 + 700), range(0x3041, 0x3041 + 80), range(97, 123)]
+    texts = ["".join(chr(rng.choice(s)) for _ in range(3000)) for s in scripts]
+    parser = language.Parser(["zh", "ko", "ja", "en"], texts, [1.0] * 4)
+    docs = [t[i : i + 60] + "".join(chr(rng.choice(s)) for _ in range(20)) for t, s in zip(texts, scripts) for i in (0, 900)]
+    codes = [np.frombuffer(d.encode("utf-32-le"), np.uint32) for d in docs]
+    found = parser.phrases(np.concatenate(codes), np.repeat(np.arange(len(docs)), [len(c) for c in codes]), len(docs))
+    for i, doc in enumerate(docs):
+        assert found[i].tolist() == [plain.cross_parse(doc, known) for known in texts]
+        assert found[i].argmin() == i // 2
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/../sf0.01/documents.parquet").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", language.is_held_out(F.col("doc_id")))

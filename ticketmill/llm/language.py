@@ -23,16 +23,15 @@ from ticketmill.llm.arrays import slices, text_bytes
 #: Documents of each language that the sample has on average, and characters taken of each.
 SAMPLE_DOCS = 150
 SAMPLE_CHARS = 400
-#: Languages that are learned at most, the most frequent ones.
-LANGUAGES = 200
 #: Characters that one automaton holds at most.
 TRAINING_CHARS = 40_000
 #: A phrase never crosses a multiple of this many characters, so that stretches can be parsed side by
 #: side. It adds less than one phrase to each, in every language.
 STRETCH = 1_024
 UNDETERMINED = "und"
-#: Characters that the automata tell apart; rarer ones of the sample are unknown, as new ones are.
-ALPHABET = 120
+#: Most frequent characters of each language that have a dense table, and cells of all tables. Steps by
+#: other characters are looked up in sorted edges, which is slower and gives the same.
+DENSE, DENSE_CELLS = 120, 1 << 26
 
 
 def letter_table() -> np.ndarray:
@@ -73,14 +72,12 @@ def folded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Automaton:
-    """The suffix automaton of a symbol sequence, as a table: the next state by state and symbol. State
-    0 is the start; -1 where the sequence has no such substring."""
+    """The suffix automaton of a symbol sequence. State 0 is the start."""
 
     symbols: list[int]
-    size: int
 
-    @cached_property
-    def table(self) -> np.ndarray:
+    def edges(self) -> tuple[int, np.ndarray]:
+        """(number of states, rows of state, symbol and next state)."""
         longest, link, edges = [0], [-1], [{}]
         last = 0
         for c in self.symbols:
@@ -106,11 +103,8 @@ class Automaton:
                         p = link[p]
                     link[q] = link[new] = copy
             last = new
-        table = np.full((len(longest), self.size), -1, np.int32)
-        for state, out in enumerate(edges):
-            for c, to in out.items():
-                table[state, c] = to
-        return table
+        rows = [(state, c, to) for state, out in enumerate(edges) for c, to in out.items()]
+        return len(longest), np.array(rows, np.int64).reshape(-1, 3)
 
 
 @dataclass
@@ -128,33 +122,49 @@ class Parser:
 
     @cached_property
     def classes(self) -> np.ndarray:
-        """For each code point: the symbol of the automata, 0 if unknown."""
-        codes, counts = np.unique(
-            np.frombuffer("".join(self.texts).encode("utf-32-le"), np.uint32), return_counts=True
-        )
-        common = np.sort(codes[np.argsort(-counts, kind="stable")[:ALPHABET]])
-        table = np.zeros(0x110000, np.uint8)
-        table[common] = np.arange(1, len(common) + 1)
+        """For each code point: its number in all samples together, 0 if unknown."""
+        codes = np.unique(np.frombuffer("".join(self.texts).encode("utf-32-le"), np.uint32))
+        table = np.zeros(0x110000, np.int32)
+        table[codes] = np.arange(1, len(codes) + 1)
         return table
 
     @cached_property
-    def automata(self) -> tuple[np.ndarray, np.ndarray]:
-        """(one table for all languages, the start state of each)."""
-        size = int(self.classes.max()) + 1
-        tables, starts, base = [], [], 0
-        for text in self.texts:
-            codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-            table = Automaton(self.classes[codes].tolist(), size).table
-            table[:, 0] = -1
-            tables.append(np.where(table >= 0, table + base, -1))
+    def automata(self) -> tuple[np.ndarray, ...]:
+        """(dense table of all languages; keys and next states of the other edges; symbol of each character
+        and next state from the start, by language; the start states).
+
+        Each language numbers its own characters from 1 by falling frequency; 0 is one that it lacks."""
+        known, many = int(self.classes.max()) + 1, len(self.texts)
+        own, again = np.zeros((known, many), np.int32), np.full((known, many), -1, np.int32)
+        starts, parts, base = [], [], 0
+        for k, text in enumerate(self.texts):
+            codes = self.classes[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+            found, counts = np.unique(codes, return_counts=True)
+            own[found[np.argsort(-counts, kind="stable")], k] = np.arange(1, len(found) + 1)
+            states, edges = Automaton(own[codes, k].tolist()).edges()
+            first = edges[edges[:, 0] == 0]
+            place = np.zeros(len(found) + 1, np.int64)
+            place[own[found, k]] = found
+            again[place[first[:, 1]], k] = first[:, 2] + base
+            parts.append(edges + np.array([base, 0, base]))
             starts.append(base)
-            base += len(table)
-        return np.concatenate(tables).astype(np.int32), np.array(starts, np.int32)
+            base += states
+        edges = np.concatenate([np.zeros((0, 3), np.int64), *parts])
+        width = 1 + min(DENSE, DENSE_CELLS // max(1, base))
+        dense = edges[:, 1] < width
+        table = np.full((base, width), -1, np.int32)
+        table[edges[dense, 0], edges[dense, 1]] = edges[dense, 2]
+        keys = edges[~dense, 0] * known + edges[~dense, 1]
+        order = np.argsort(keys)
+        return (table, np.append(keys[order], np.int64(1 << 62)),
+                np.append(edges[~dense, 2][order], -1).astype(np.int32), own, again, np.array(starts, np.int32))
 
     def phrases(self, codes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
         """(texts, languages): the number of phrases of each text in each language."""
-        table, roots = self.automata
+        table, keys, targets, own, again_of, roots = self.automata
         flat, width = table.ravel(), table.shape[1]
+        column = np.where(own < width, own, 0)
+        rare = (own >= width).any(axis=1)
         symbols = self.classes[codes].astype(np.int32)
         begin = np.searchsorted(owner, np.arange(n + 1))
         lengths = np.diff(begin)
@@ -171,11 +181,17 @@ class Parser:
         if len(first):
             alive = np.searchsorted(-size, -np.arange(int(size[0])), "left")
             for step, m in enumerate(alive.tolist()):
-                c = symbols[first[:m] + step][:, None]
-                to = flat[state[:m] * width + c]
+                c = symbols[first[:m] + step]
+                to = flat[state[:m].astype(np.int64) * width + column[c]]
+                some = np.flatnonzero(rare[c])
+                if len(some):
+                    of = own[c[some]]
+                    key = state[some].astype(np.int64) * len(own) + of
+                    at = np.searchsorted(keys, key)
+                    to[some] = np.where(of < width, to[some], np.where(keys[at] == key, targets[at], -1))
                 ended = to < 0
                 found[:m] += ended
-                again = flat[roots * width + c]
+                again = again_of[c]
                 to = np.where(ended, again, to)
                 # A symbol that the language lacks is a phrase alone.
                 lacking = to < 0
@@ -213,7 +229,6 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Parser:
     """
     known = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
     counts = known.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("n"))
-    counts = counts.orderBy(F.desc("n"), "_lang").limit(LANGUAGES)
     draw = F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 30)) / (1 << 30)
     start = F.pmod(F.xxhash64(F.col(text), F.lit("start")),
                    F.greatest(F.char_length(text) - SAMPLE_CHARS, F.lit(0)) + 1)
