@@ -166,6 +166,20 @@ def test_language_of_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_a_language_of_three_documents_leaves_the_others_whole(spark):
+    rng = random.Random(18)
+    stems = {k: words_of(rng, 300) for k in ("aa", "bb", "cc")}
+    def rows(k, n):
+        return [(k, " ".join(rng.choice(stems[k]) for _ in range(80))) for _ in range(n)]
+    learned = rows("aa", 150) + rows("bb", 150) + rows("cc", 3)
+    parser = language.train(spark.createDataFrame(learned, "lang string, text string"))
+    size = dict(zip(parser.languages, map(len, parser.texts)))
+    assert size["cc"] < 2_000 and size["aa"] > 30_000 < size["bb"]
+    fresh = spark.createDataFrame(rows("aa", 40) + rows("bb", 40) + rows("cc", 40), "lang string, text string")
+    found = Counter((r["lang"], r["lang_pred"]) for r in language.identify(fresh, parser).collect())
+    assert all(found[k, k] >= 38 for k in stems), found
+
+
 def test_language_of_odd_texts(spark, odd, none):
     parser = language.Parser(["x"], ["abc abc"], [1.0])
     for r in language.identify(odd, parser).collect():

@@ -29,6 +29,8 @@ TRAINING_CHARS = 40_000
 #: side. It adds less than one phrase to each, in every language.
 STRETCH = 1_024
 UNDETERMINED = "und"
+#: How fast phrases a character fall with the length of the sample at most, as a power.
+SLOPE = 0.4
 #: Most frequent characters of each language that have a dense table, and cells of all tables. Steps by
 #: other characters are looked up in sorted edges, which is slower and gives the same.
 DENSE, DENSE_CELLS = 120, 1 << 26
@@ -220,6 +222,20 @@ class Parser:
         return [UNDETERMINED if e else self.languages[b] for e, b in zip(empty, best)], score
 
 
+def usual(norms: list[float], lengths: list[int]) -> list[float]:
+    """The norm to expect of a sample of each length: a longer sample alone makes for fewer phrases.
+
+    A line through the logarithms, falling by SLOPE at most. Norms are taken halfway to it: short texts
+    should not be drawn to languages that parse badly."""
+    if not norms:
+        return []
+    x, y = np.log(np.maximum(lengths, 1)), np.log(norms)
+    x = x - x.mean()
+    spread = float((x * x).sum())
+    slope = float(np.clip((x * y).sum() / spread, -SLOPE, 0)) if spread > 1e-9 else 0.0
+    return np.exp(y.mean() + slope * x).tolist()
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Parser:
     """A parser from labelled documents; rows with a null text or language are left out.
 
@@ -252,19 +268,24 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Parser:
         held = texts[4::5]
         taught = [t for i, t in enumerate(texts) if i % 5 != 4]
         parser.languages.append(language)
+        # Without any to hold out, each document in turn is fresh to the others; one alone, half by half.
+        if held:
+            fresh.append([(taught, held)])
+        else:
+            half = len(texts[0]) // 2
+            turns = texts if len(texts) > 1 else [t for t in (texts[0][:half], texts[0][half:]) if t]
+            fresh.append([(turns[:i] + turns[i + 1 :], [t]) for i, t in enumerate(turns)])
         parser.texts.append(" ".join(taught)[:TRAINING_CHARS])
-        fresh.append(held or taught)
-    # The same length for all: a longer sample alone would make for fewer phrases.
-    shortest = min(map(len, parser.texts), default=0)
-    least = min(TRAINING_CHARS, max(shortest, 2_000))
-    parser.texts = [t[:least] for t in parser.texts]
-    for k, texts in enumerate(fresh):
-        codes, owner = folded(pa.array(texts, pa.large_string()))
-        own = parser.phrases(codes, owner, len(texts))[:, k].sum()
-        parser.norms.append(float(own) / max(1, len(codes)))
-    mean = sum(parser.norms) / max(1, len(parser.norms))
-    # Halfway to the mean: short texts should not be drawn to languages that parse badly.
-    parser.norms = [(x + mean) / 2 for x in parser.norms]
+    raw = []
+    for turns in fresh:
+        own = size = 0
+        for known, texts in turns:
+            codes, owner = folded(pa.array(texts, pa.large_string()))
+            alone = Parser([""], [" ".join(known)[:TRAINING_CHARS]])
+            own += int(alone.phrases(codes, owner, len(texts)).sum())
+            size += len(codes)
+        raw.append(max(own, 1) / max(1, size))
+    parser.norms = [(x + y) / 2 for x, y in zip(raw, usual(raw, list(map(len, parser.texts))))]
     return parser
 
 
