@@ -109,3 +109,32 @@ def cross_parse(text: str, known: str) -> int:
                 end += 1
         count, at = count + 1, end
     return count
+
+
+def shingle_sets(texts: list[str | None], width: int) -> list[frozenset]:
+    out = []
+    for text in texts:
+        own = words(lower(text))
+        out.append(frozenset(tuple(own[i : i + width]) for i in range(max(1, len(own) - width + 1)) if own))
+    return out
+
+
+def jaccard_components(rows: list[tuple[int | None, str | None]], width: int, similarity: int) -> list[tuple]:
+    sets, parent = shingle_sets([text for _, text in rows], width), list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= similarity * len(a | b):
+                parent[root(i)] = root(j)
+    groups: dict[int, list] = {}
+    for i, (doc, _) in enumerate(rows):
+        groups.setdefault(root(i), []).append(doc)
+    return [
+        (doc, len(sets[i]), min((x for x in groups[root(i)] if x is not None), default=None))
+        for i, (doc, _) in enumerate(rows)
+    ]

@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import chat, decontam, language, packing, pages, passages, rules, simhash, tokens, toxicity
+from ticketmill.llm import (
+    chat,
+    decontam,
+    jaccard,
+    language,
+    packing,
+    pages,
+    passages,
+    rules,
+    simhash,
+    tokens,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +108,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.jaccard_join(docs, width=4, similarity=85)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
@@ -107,6 +124,7 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_token_counts": op5_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
 }
 
 OP4_SQL = r"""
@@ -204,8 +222,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM bits
 """
 
+OP11_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), grams AS (
+  SELECT DISTINCT row, array_to_string(list_slice(w, i, i + 3), ' ') AS gram
+  FROM (SELECT row, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM t WHERE len(w) > 0)
+), sizes AS (
+  SELECT row, count(*) AS n, list(gram ORDER BY gram) AS grams FROM grams GROUP BY row
+), sets AS (SELECT min(row) AS s, any_value(n) AS n, grams FROM sizes GROUP BY grams
+), member AS (SELECT row, s FROM sizes JOIN sets USING (grams)
+), own AS (SELECT s, gram FROM grams JOIN sets ON row = s
+), overlap AS (
+  SELECT a.s AS a, b.s AS b, count(*) AS shared
+  FROM own a JOIN own b ON a.gram = b.gram AND a.s <> b.s GROUP BY a.s, b.s
+), link AS (
+  SELECT a, b FROM overlap JOIN sets x ON x.s = a JOIN sets y ON y.s = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), reach AS (
+  SELECT s, s AS r FROM sets
+  UNION SELECT reach.s, link.b FROM reach JOIN link ON reach.r = link.a
+), lowest AS (
+  SELECT reach.s, min(doc_id) AS component_id
+  FROM reach JOIN member ON member.s = reach.r JOIN t ON t.row = member.row GROUP BY reach.s
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles,
+       CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM t LEFT JOIN sizes USING (row) LEFT JOIN member USING (row) LEFT JOIN lowest ON lowest.s = member.s
+"""
+
 ORACLE: dict[str, str] = {
     "op4_chat_formatting": OP4_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
     "op9_quality_rules": OP9_SQL,
+    "op11_ngram_jaccard_join": OP11_SQL,
 }
