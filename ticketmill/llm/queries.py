@@ -18,6 +18,7 @@ from ticketmill.llm import (
     simhash,
     tokens,
     toxicity,
+    whitening,
 )
 
 
@@ -113,6 +114,24 @@ def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(docs, width=4, similarity=85)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, k=4)
+    rows = whitening.whiten(vectors, model)
+    explained = F.array(*(F.lit(float(x)) for x in model.explained)).cast("array<double>")
+    return rows.select(
+        "vec_id", F.posexplode("whitened").alias("at", "whitened"), F.col("deviation").cast("long").alias("deviation")
+    ).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
@@ -125,6 +144,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 OP4_SQL = r"""
