@@ -138,3 +138,63 @@ def jaccard_components(rows: list[tuple[int | None, str | None]], width: int, si
         (doc, len(sets[i]), min((x for x in groups[root(i)] if x is not None), default=None))
         for i, (doc, _) in enumerate(rows)
     ]
+
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def damaged(rows: list[tuple]) -> list[tuple]:
+    """(conv, turn, role, text) of each conversation's rows after damage, in order."""
+    rows = sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0))
+    out = []
+    for conv, turn, role, text in rows:
+        way = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if way == 1:
+            text = ""
+        if way == 2:
+            text = re.sub("[.!?]", "", text)
+        if way == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (0 if way == 0 else 2 if way == 3 else 1)
+    return out
+
+
+def repair(rows: list[tuple]) -> tuple:
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, repaired lines) of one conversation's rows in
+    order, by a search over all edits in order of cost, then of their text."""
+    import heapq
+
+    seen, faults = set(), []
+    for _, _, role, text in rows:
+        bare = text.rstrip(SPACES)
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+        seen.add((role, text))
+        faults.append(fault)
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    initials = [r[2][:1] for r in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    follow = {"": "su", "s": "u", "u": "a", "a": "u"}
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, last, said = heapq.heappop(heap)
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        if i == len(rows) and last in ("", "a"):
+            break
+        for r, name in (("u", "user"), ("a", "assistant")):
+            if r in follow[last]:
+                heapq.heappush(heap, (cost + 3, audit + "I", i, r, (*said, f"{name}:")))
+                if i < len(rows) and faults[i] not in ("blank", "duplicate"):
+                    more = 3 if faults[i] else 0
+                    heapq.heappush(heap, (cost + 3 + more, audit + "R", i + 1, r, (*said, f"{name}:{rows[i][3]}")))
+        if i < len(rows):
+            heapq.heappush(heap, (cost + 4, audit + "D", i + 1, last, said))
+            own = initials[i]
+            if own and own in follow[last] and faults[i] not in ("blank", "duplicate"):
+                more = 3 if faults[i] else 0
+                heapq.heappush(heap, (cost + more, audit + "K", i + 1, own, (*said, f"{rows[i][2]}:{rows[i][3]}")))
+    count = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+    return (gaps, *count, illegal, cost, audit, "\n".join(said))

@@ -14,6 +14,7 @@ from ticketmill.llm import (
     packing,
     pages,
     passages,
+    repair,
     rules,
     simhash,
     tokens,
@@ -114,6 +115,20 @@ def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(docs, width=4, similarity=85)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.summary(repair.repaired(repair.damaged(turns), copy="copy"))
+    convs = turns.select("conv_id").distinct()
+    rows = convs.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return rows.select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     model = whitening.fit(vectors, k=4)
@@ -144,6 +159,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 
