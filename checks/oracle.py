@@ -322,6 +322,28 @@ def batch_reports() -> str:
     return sql(BATCH, "\nUNION ALL ".join(report_values(*p) for p in parts))
 
 
+SHIFTS = """
+shifts AS (
+  SELECT 'Shift ' || CAST(i % 1000 AS VARCHAR) AS label, i * 104729 % 1000003 AS position,
+         CASE WHEN i % 9 = 0 THEN date_trunc('day', start)::TIMESTAMP ELSE start END AS start,
+         CASE WHEN i % 31 = 7 THEN NULL
+              WHEN i % 9 = 0 THEN date_trunc('day', date_trunc('day', start)::TIMESTAMP + to_seconds(length))::TIMESTAMP
+              ELSE start + to_seconds(length) END AS "end"
+  FROM (SELECT i, start, CASE WHEN i % 23 = 4 THEN -length ELSE length END AS length
+        FROM (SELECT o_orderkey AS i, TIMESTAMP '2024-01-01' + to_seconds(o_orderkey * 7919 % 2592000) AS start,
+                     CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey * 31 % 1000000
+                          WHEN o_orderkey % 2 = 0 THEN o_orderkey * 13 % 90
+                          ELSE o_orderkey * 17 % 5000 END AS length FROM orders)))"""
+
+
+def last_shift(inside: str, default: str) -> str:
+    return f"""SELECT _seq, "timestamp", coalesce(shift, {default}) AS shift FROM (
+      SELECT c._seq, any_value(c."timestamp") AS "timestamp",
+             struct_extract(max(struct_pack(p := s.position, l := s.label)) FILTER (s.position IS NOT NULL), 'l') AS shift
+      FROM citations_raw c LEFT JOIN shifts s ON c."timestamp" >= s.start AND s.start <= s."end" AND {inside}
+      GROUP BY c._seq)"""
+
+
 SEASON = " ".join(
     f"WHEN o_orderdate >= TIMESTAMP '{y}-02-01' AND o_orderdate < TIMESTAMP '{y}-12-01' THEN '{y}'"
     for y in range(1995, 2001)
@@ -352,6 +374,13 @@ ORACLE = {
     ),
     "range_label_orders": f"""SELECT o_orderkey, CASE {SEASON} ELSE 'Unknown' END AS season
       FROM orders""",
+    "range_lookup_join": sql(
+        [CITATIONS_RAW, SHIFTS], last_shift('c."timestamp" <= s."end"', "'Unknown'")
+    ),
+    "range_lookup_whole_days": sql(
+        [CITATIONS_RAW, SHIFTS],
+        last_shift('c."timestamp" < s."end" + INTERVAL 1 DAY', "NULL"),
+    ),
     "clean_fact": sql(TO_CLEAN, f"SELECT {COLUMNS} FROM citations"),
     "parse_date": sql([READINGS_RAW], "SELECT _seq, CAST(date AS DATE) AS date FROM readings_raw"),
     "parse_date_lenient": sql(

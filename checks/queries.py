@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import tables as t
 from ticketmill import schemas
 from ticketmill.operators import citations as c
-from ticketmill.operators import joins, merge
+from ticketmill.operators import joins, merge, ranges
 from ticketmill.operators import weather as w
 from ticketmill.plans import batch, quality, reports
 from ticketmill.plans.views import register_views
@@ -65,6 +65,17 @@ def range_label_orders(spark, sf):
     return labelled.select("o_orderkey", "season")
 
 
+def range_lookup_join(spark, sf):
+    """Every citation with the last of thousands of overlapping shifts."""
+    rows = _named(spark, sf).select(SEQ, "timestamp")
+    return ranges.range_lookup_join(rows, t.shifts(spark, sf), "timestamp", "shift", "Unknown")
+
+
+def range_lookup_whole_days(spark, sf):
+    rows = _named(spark, sf).select(SEQ, "timestamp")
+    return ranges.range_lookup_join(rows, t.shifts(spark, sf), "timestamp", "shift", whole_last_day=True)
+
+
 def clean_fact(spark, sf):
     return t.citations(spark, sf).drop(SEQ)
 
@@ -361,6 +372,8 @@ QUERIES = {
     "calendar_columns": calendar_columns,
     "range_label": range_label,
     "range_label_orders": range_label_orders,
+    "range_lookup_join": range_lookup_join,
+    "range_lookup_whole_days": range_lookup_whole_days,
     "clean_fact": clean_fact,
     "parse_date": parse_date,
     "parse_date_lenient": parse_date_lenient,

@@ -182,6 +182,29 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One range per order within the citations' month: some of seconds, some of weeks, thousands at a time. Every
+    ninth starts and ends at midnight; some have no end, some end before they start."""
+    i = F.col("o_orderkey")
+    start = F.timestamp_add("SECOND", i * 7919 % 2_592_000, F.lit("2024-01-01").cast("timestamp_ntz"))
+    length = F.when(i % 5 == 0, i * 31 % 1_000_000).when(i % 2 == 0, i * 13 % 90).otherwise(i * 17 % 5_000)
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("Shift "), (i % 1000).cast("string")).alias("label"),
+        F.when(i % 9 == 0, F.date_trunc("day", start).cast("timestamp_ntz")).otherwise(start).alias("start"),
+        (i * 104_729 % 1_000_003).alias("position"),
+        F.when(i % 23 == 4, -length).otherwise(length).alias("length"),
+        i,
+    )
+    end = F.timestamp_add("SECOND", F.col("length"), F.col("start"))
+    return rows.select(
+        "label", "start", "position",
+        F.when(i % 31 == 7, F.lit(None))
+        .when(i % 9 == 0, F.date_trunc("day", end).cast("timestamp_ntz"))
+        .otherwise(end)
+        .alias("end"),
+    )
+
+
 def insert_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(stored citations, batch): stored is the first half of the month, so that half of the ids are
     new; the batch is of all citations, each delivered again, then with a later status, then all of them
