@@ -220,3 +220,54 @@ def test_command_line(tmp_path, missing):
     assert (done.returncode != 0) == missing
     assert (tmp_path / "root/reports/violations_by_type/_SUCCESS").exists() != missing
     assert ("PATH_NOT_FOUND" in done.stderr) == missing
+
+
+def test_an_empty_first_load_does_not_block_the_store(spark, weather, tmp_path):
+    path, rows = str(tmp_path / "w"), weather(("2025-08-01", "K", 1.0, 1.0, 0.0, 0))
+    for _ in range(2):
+        assert batch.merge_weather(spark, rows.limit(0), path) == 0
+    assert batch.merge_weather(spark, rows, path) == 1
+    assert batch.merge_weather(spark, rows.limit(0), path) == 1
+
+
+def test_a_manifest_that_broke_off_does_not_block_the_store(spark, weather, tmp_path):
+    path, rows = str(tmp_path / "w"), weather(("2025-08-01", "K", 1.0, 1.0, 0.0, 0))
+    batch.merge_weather(spark, rows, path)
+    (tmp_path / "w/manifest/version=2/_temporary/0").mkdir(parents=True)
+    assert batch.read_weather(spark, path).count() == 1
+    assert batch.merge_weather(spark, weather(("2025-09-01", "K", 1.0, 1.0, 0.0, 0)), path) == 2
+    assert (tmp_path / "w/manifest/version=3").exists()
+
+
+@pytest.mark.parametrize("other_day", ["2025-10-01", "2025-08-07"])
+def test_two_loads_at_once_lose_nothing(spark, weather, tmp_path, monkeypatch, other_day):
+    """While a load is about to switch, another one replaces another month, or the same one."""
+    path, switch, tried = str(tmp_path / "w"), versions.switch, []
+    batch.merge_weather(spark, weather(("2025-08-01", "K", 1.0, 1.0, 0.0, 0)), path)
+
+    def delayed(*args):
+        tried.append(args)
+        if len(tried) == 1:
+            assert batch.merge_weather(spark, weather((other_day, "M", 5.0, 1.0, 0.0, 0)), path) == 2
+        return switch(*args)
+
+    monkeypatch.setattr(versions, "switch", delayed)
+    assert batch.merge_weather(spark, weather(("2025-08-02", "K", 9.0, 1.0, 0.0, 0)), path) == 3
+    days = sorted(str(r.date) for r in batch.read_weather(spark, path).collect())
+    assert days == sorted(["2025-08-01", "2025-08-02", other_day])
+    assert len(tried) == 3  # the other load's, the one that failed, the one that did not
+    assert not list((tmp_path / "w/manifest").glob("_*"))
+
+
+def test_large_batch_gives_the_same_store(spark, tmp_path):
+    source = land(tmp_path / "1", FIRST, {"2025-09-15": 10.0})
+    later = land(tmp_path / "2", SECOND, {"2025-09-15": 1.0})
+    found = []
+    for large in (False, True):
+        root = tmp_path / f"root{large}"
+        for s in (source, later):
+            outcome = batch.run(
+                spark, read_citations(spark, s[0]), read_payloads(spark, s[1]), str(root), large_batch=large
+            )
+        found.append((stored(spark, root), outcome.rows))
+    assert found[0] == found[1]

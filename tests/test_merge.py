@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from ticketmill.operators import merge
 from ticketmill.operators.merge import (
     absent_rows,
     first_per_key,
@@ -14,6 +15,7 @@ from ticketmill.operators.merge import (
     replace_counts,
     split_required,
 )
+from ticketmill.sources import sinks
 
 SCHEMA = "id string, campus string, status string"
 
@@ -176,3 +178,51 @@ def test_large_batch_is_shuffled_once_and_gives_the_same_rows(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2  # the batch and the stored keys
+
+
+def scanned(df):
+    """(rows that the scan of the plan gave, result)."""
+    plan = df._jdf.queryExecution().executedPlan()
+    n = len(plan.executeCollect())
+    return plan.collectLeaves().head().metrics().get("numOutputRows").get().value(), n
+
+
+def test_a_few_keys_are_looked_up_without_reading_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "LOOKUP_ROW_GROUP", 1 << 16)
+    path, n = str(tmp_path / "t"), 200_000
+    rows = spark.range(n, numPartitions=4).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("k"), (F.col("id") % 2).cast("int").alias("month")
+    )
+    sinks.write_zone(rows, path, ["month"], rebalance=True, lookup_key="k")
+    stored = spark.read.parquet(path)
+    keys = rows.filter("month = 1").limit(20).unionByName(
+        spark.createDataFrame([(f"{i:064x}", 0) for i in range(20)] + [(None, 0)], "k string, month int"))
+    found = merge.with_keys(stored, keys, "k", 40)
+    read, kept = scanned(found)
+    assert kept == 20 and read < n / 5
+    assert scanned(stored)[0] == n
+    none = keys.filter("k IS NULL")
+    assert scanned(merge.with_keys(stored, none, "k", 0))[1] == 0
+    assert merge.with_keys(stored, keys, "k", merge.LOOKED_UP + 1) is stored
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("looked_up", [0, 1000])
+def test_staged_batch_inserts_what_absent_rows_does(spark, monkeypatch, seed, looked_up):
+    monkeypatch.setattr(merge, "LOOKED_UP", looked_up)
+    rng = random.Random(seed)
+    keys = [*map(str, range(12)), None]
+    old = frame(spark, [(k, "K", "old") for k in rng.sample(keys, 5)])
+    new = batch(spark, [random_row(rng, keys) for _ in range(60)])
+    required = [c for c in old.columns[1:2]]
+    staged = merge.staged_batch(new, old.columns[0], "_seq", required)
+    counted = staged.agg(F.sum("copies")).first()[0]
+    complete = staged.filter("complete")
+    ids = complete.filter(F.col(old.columns[0]).isNotNull()).count()
+    for large in (False, True):
+        found = merge.unstored(old, complete, old.columns[0], ids, large)
+        wanted = absent_rows(old, new, old.columns[0], "_seq", required)
+        assert bag(found) == bag(wanted)
+    assert counted == 60
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

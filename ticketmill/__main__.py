@@ -24,6 +24,9 @@ def main(argv: list[str] | None = None) -> int:
         "--multi-line", action="store_true", help="a payload file is one JSON text of many lines"
     )
     parser.add_argument("--root", required=True, help="where zones, tables and reports go")
+    parser.add_argument(
+        "--large-batch", action="store_true", help="the batch's ids are too many to be sent to all tasks"
+    )
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s: %(message)s")
@@ -37,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
             ),
             read_payloads(spark, args.payloads, args.multi_line),
             args.root,
+            large_batch=args.large_batch,
         )
     finally:
         spark.stop()

@@ -37,6 +37,60 @@ def last_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     return _one_per_key(df, keys, F.col(seq).desc())
 
 
+#: Keys up to which a batch's keys are looked up one by one in the stored table.
+LOOKED_UP = 2_000
+
+
+def has_key(key: str) -> Column:
+    return F.col(key).isNotNull()
+
+
+def with_keys(existing: DataFrame, keys: DataFrame, key: str, n_keys: int) -> DataFrame:
+    """The stored rows that may have one of n_keys keys: the table itself if these are over LOOKED_UP, else a scan
+    for them, which reads only what may hold one by the bounds and Bloom filters of row groups and pages."""
+    if n_keys > LOOKED_UP:
+        return existing
+    values = [r[0] for r in keys.select(key).filter(has_key(key)).limit(LOOKED_UP + 1).collect()]
+    return existing.filter(F.col(key).isin(values))
+
+
+def staged_batch(df: DataFrame, key: str, seq: str, required: Sequence[str] = ()) -> DataFrame:
+    """df's rows, the first complete one of each key only, with copies (complete rows that had its key) and complete.
+    Incomplete rows and those without a key stay, each with one copy; seq becomes text.
+
+    One shuffle, with copies counted before it. Rows that are not reduced are spread evenly."""
+    own = has_required(required)
+    alone = ~own | ~has_key(key)
+    spread = F.when(alone, F.monotonically_increasing_id())
+    row = F.struct(*(c for c in df.columns))
+    return (
+        df.select(
+            F.when(~alone, F.col(key)).alias("_key"), spread.alias("_alone"), own.alias("complete"),
+            F.col(seq).alias("_order"), row.alias("_row"),
+        )
+        .groupBy("_key", "_alone", "complete")
+        .agg(F.min_by("_row", "_order").alias("_row"), F.count(F.lit(1)).alias("copies"))
+        .select("_row.*", "copies", "complete")
+        .withColumn(seq, F.to_json(F.struct(seq)))
+    )
+
+
+def unstored(
+    existing: DataFrame, unique: DataFrame, key: str, n_keys: int, large_batch: bool = False
+) -> DataFrame:
+    """Of rows with at most one for each key, those whose key is not stored; NULL keys never match.
+
+    For up to LOOKED_UP keys the stored table is scanned for just these. For more, the stored keys that the rows also
+    have are found first, which shuffles none of the stored table as long as the rows' keys can be broadcast.
+    Far beyond that say `large_batch`: both sides meet on one shuffle by the key."""
+    keyed = unique.filter(has_key(key))
+    taken = with_keys(existing, keyed, key, n_keys).select(key)
+    if n_keys > LOOKED_UP and not large_batch:
+        taken = taken.join(keyed.select(key), key, "left_semi")
+    fresh = keyed.join(taken, key, "left_anti").select(*existing.columns)
+    return fresh.unionByName(unique.filter(~has_key(key)).select(*existing.columns))
+
+
 def absent_rows(
     existing: DataFrame,
     incoming: DataFrame,

@@ -19,7 +19,13 @@ from pyspark.sql import functions as F
 
 from ticketmill import schemas
 from ticketmill.operators.citations import clean_citations
-from ticketmill.operators.merge import absent_rows, replace_by_key, split_required
+from ticketmill.operators.merge import (
+    absent_rows,
+    has_key,
+    replace_by_key,
+    staged_batch,
+    unstored,
+)
 from ticketmill.operators.weather import clean_weather
 from ticketmill.plans import quality
 from ticketmill.plans.reports import TABLE_REPORTS, ZONE_REPORTS, Report
@@ -27,7 +33,7 @@ from ticketmill.settings import CAMPUSES, CitationRules, WeatherRules
 from ticketmill.sources.payload import flatten_payloads, key_spine, load_window
 from ticketmill.sources.scans import read_table
 from ticketmill.sources.sinks import create_table, write_listing, write_report, write_zone
-from ticketmill.sources.versions import read_versions, write_versions
+from ticketmill.sources.versions import read_versions, replace_partitions
 
 log = logging.getLogger(__name__)
 
@@ -68,6 +74,10 @@ class Layout:
     def weather(self) -> str:
         return self.path("tables", "daily_weather")
 
+    @property
+    def staged_citations(self) -> str:
+        return self.path("staged", "citations")
+
     @property
     def rejected_citations(self) -> str:
         return self.path("rejected", "citations")
@@ -129,44 +139,78 @@ def transform(
     )
 
 
+def stored_citations(
+    spark: SparkSession, path: str, partition_by: Sequence[str] = ("year", "month")
+) -> DataFrame:
+    create_table(spark, path, schemas.CITATIONS, partition_by)
+    return read_table(spark, path, schemas.CITATIONS)
+
+
+def append_citations(
+    new: DataFrame, path: str, partition_by: Sequence[str] = ("year", "month"), rebalance: bool = True
+) -> int:
+    """Append rows to the stored citations, sorted by id within each file and with a Bloom filter of the ids, so
+    that later loads can look up single ids."""
+    return write_counted(
+        new, path, partition_by, mode="append", rebalance=rebalance, lookup_key=schemas.CITATION_KEY
+    )
+
+
 def merge_citations(
     spark: SparkSession,
     batch: DataFrame,
     path: str,
     partition_by: Sequence[str] = ("year", "month"),
     rebalance: bool = True,
+    large_batch: bool = False,
 ) -> int:
     """Append the batch rows whose id is not stored yet; return how many.
 
     Stored files are never rewritten. The default partitions are derived integers: a text column
     would lose the difference between an empty string and NULL in its directory name.
     """
-    create_table(spark, path, schemas.CITATIONS, partition_by)
-    stored = read_table(spark, path, schemas.CITATIONS)
-    new = absent_rows(stored, batch, schemas.CITATION_KEY, SEQ, schemas.CITATION_REQUIRED)
-    return write_counted(new, path, partition_by, mode="append", rebalance=rebalance)
+    stored = stored_citations(spark, path, partition_by)
+    new = absent_rows(
+        stored, batch, schemas.CITATION_KEY, SEQ, schemas.CITATION_REQUIRED, large_batch
+    )
+    return append_citations(new, path, partition_by, rebalance)
 
 
-def counted_merge(spark: SparkSession, batch: DataFrame, out: Layout) -> dict[str, int]:
+def counted_merge(
+    spark: SparkSession, batch: DataFrame, out: Layout, large_batch: bool = False
+) -> dict[str, int]:
     """merge_citations(), with a count of every row that it does not insert; incomplete rows are kept
-    in a zone of their own."""
-    complete, rejected = split_required(batch, schemas.CITATION_REQUIRED)
-    key = F.col(schemas.CITATION_KEY)
+    in a zone of their own.
+
+    The batch is read and shuffled once, to a staging zone with one row for each id; the write counts as it
+    goes. What follows reads that zone."""
+    key, required = schemas.CITATION_KEY, schemas.CITATION_REQUIRED
+    staged = staged_batch(batch.select(*schemas.CITATIONS.names, SEQ), key, SEQ, required)
+    complete, copies, seen = F.col("complete"), F.col("copies"), Observation()
+    staged.observe(
+        seen,
+        F.count_if(~complete).alias("rejected"),
+        F.count_if(complete & ~has_key(key)).alias("unkeyed"),
+        F.count_if(complete & has_key(key)).alias("ids"),
+        F.coalesce(F.sum(F.when(complete, copies - 1)), F.lit(0)).alias("repeated"),
+    ).write.mode("overwrite").partitionBy("complete").parquet(out.staged_citations)
+    n = seen.get
+    rows = read_table(
+        spark, out.staged_citations, schemas.STAGED_CITATIONS
+    )
+    fresh = rows.filter("complete").select(*schemas.CITATIONS.names)
+    rejected = rows.filter("NOT complete").select(*schemas.CITATIONS.names, SEQ)
+    stored = stored_citations(spark, out.citations)
+    new = unstored(stored, fresh, key, n["ids"], large_batch)
     work = side_by_side(
         {
             "rejected": lambda: write_counted(rejected, out.rejected_citations),
-            "complete": lambda: complete.agg(
-                F.count(F.lit(1)).alias("n"),
-                F.count_if(key.isNull()).alias("unkeyed"),
-                F.count_distinct(key).alias("ids"),
-            ).first(),
-            "inserted": lambda: merge_citations(spark, batch, out.citations),
+            "inserted": lambda: append_citations(new, out.citations),
         }
     )
-    n = work["complete"]
     return {
         "rejected_citations": work["rejected"],
-        "repeated_citations": n["n"] - n["unkeyed"] - n["ids"],
+        "repeated_citations": n["repeated"],
         "known_citations": n["ids"] - (work["inserted"] - n["unkeyed"]),
         "inserted_citations": work["inserted"],
         "inserted_without_id": n["unkeyed"],
@@ -181,23 +225,25 @@ def merge_weather(spark: SparkSession, batch: DataFrame, path: str) -> int:
     """Replace or add the batch rows; return the number of stored rows.
 
     Only the months that the batch has are read and written, to new folders; the switch to them is the
-    last step, so a load that breaks off leaves the old rows readable.
+    last step, so a load that breaks off leaves the old rows readable, and one that runs at the same time
+    loses none of its own. A NULL date fails the load, as any NULL in a key does.
     """
-    batch = batch.withColumn(MONTH, F.date_format("date", "yyyyMM"))
-    months = {r[0] for r in batch.select(MONTH).distinct().collect()} - {None}
-    touched = read_versions(spark, path, schemas.WEATHER, months)
-    merged = replace_by_key(touched, batch, schemas.WEATHER_KEY, SEQ)
-    merged = merged.withColumn(MONTH, F.date_format("date", "yyyyMM"))
-    write_versions(merged, path, MONTH, months)
+    month = F.date_format("date", "yyyyMM")
+    months = {r[0] for r in batch.select(month).distinct().collect()}
+
+    def merged(touched: DataFrame) -> DataFrame:
+        return replace_by_key(touched, batch, schemas.WEATHER_KEY, SEQ).withColumn(MONTH, month)
+
+    replace_partitions(spark, path, schemas.WEATHER, MONTH, months, merged)
     return read_weather(spark, path).count()
 
 
-def merge(spark: SparkSession, out: Layout) -> dict[str, int]:
+def merge(spark: SparkSession, out: Layout, large_batch: bool = False) -> dict[str, int]:
     citations = spark.read.parquet(out.clean_citations)
     weather = spark.read.parquet(out.clean_weather)
     work = side_by_side(
         {
-            "citations": lambda: counted_merge(spark, citations, out),
+            "citations": lambda: counted_merge(spark, citations, out, large_batch),
             "stored_weather": lambda: merge_weather(spark, weather, out.weather),
         }
     )
@@ -321,14 +367,15 @@ def run(
     root: str,
     citation_rules: CitationRules = CitationRules(),
     weather_rules: WeatherRules = WeatherRules(),
+    large_batch: bool = False,
 ) -> Outcome:
-    """All stages in order, from frames as sources.scans returns them."""
+    """All stages in order, from frames as sources.scans returns them. `large_batch`: see operators.merge.unstored()."""
     out = Layout(root)
     outcome = Outcome()
     for stage, work in {
         "ingest": lambda: ingest(citations, payloads, out),
         "transform": lambda: transform(spark, out, citation_rules, weather_rules),
-        "merge": lambda: merge(spark, out),
+        "merge": lambda: merge(spark, out, large_batch),
     }.items():
         rows = work()
         log.info("%s: %s", stage, rows)

@@ -89,3 +89,9 @@ WEATHER_KEY = ("date", "campus")
 
 # Position of a row in its source: decides which of two rows with one key came first.
 SEQ = "_seq"
+
+# One row for each id of a batch, with the number of rows that had it; incomplete rows as they came.
+STAGED_CITATIONS = T.StructType(
+    [*CITATIONS, T.StructField(SEQ, T.StringType()), T.StructField("copies", T.LongType()),
+     T.StructField("complete", T.BooleanType())]
+)

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of a row group of tables that are looked up by a key.
+LOOKUP_ROW_GROUP = 16 << 20
+
 
 def write_zone(
     df: DataFrame,
@@ -16,18 +19,33 @@ def write_zone(
     mode: str = "overwrite",
     rebalance: bool = False,
     seen: Observation | None = None,
+    lookup_key: str | None = None,
 ) -> None:
     """Parquet, snappy-compressed. `seen` counts the rows as they are written.
 
     With many partition values set `rebalance`: one shuffle by those values, in which adaptive
     execution splits a value that is too large and merges those that are small. Without it every
     task writes its own file per value.
+
+    With a `lookup_key`, rows are sorted by it within each file, and row groups are small and have a Bloom
+    filter of it: a scan for a few values of the key skips what can't have them.
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
+    if lookup_key:
+        df = df.sortWithinPartitions(*partition_by, lookup_key)
     if seen is not None:  # above the shuffle, which may be run again in part
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = df.write.mode(mode).partitionBy(*partition_by)
+    if lookup_key:
+        writer = writer.options(
+            **{
+                f"parquet.bloom.filter.enabled#{lookup_key}": True,
+                "parquet.bloom.filter.adaptive.enabled": True,
+                "parquet.block.size": LOOKUP_ROW_GROUP,
+            }
+        )
+    writer.parquet(path)
 
 
 def create_table(
