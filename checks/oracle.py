@@ -295,7 +295,7 @@ BATCH = [
 ]
 
 
-def batch_reports() -> str:
+def batch_reports(only: int = 8) -> str:
     def over(table: str, body: str) -> str:
         source = f"""(WITH citations AS (SELECT * FROM {table}),
           billable AS (SELECT * FROM {table} WHERE NOT is_credit_adjustment) {body})"""
@@ -319,7 +319,31 @@ def batch_reports() -> str:
         ("violation_summary_spark", ["violation_type", "campus"], over("whole", SITE_SUMMARY)),
         ("weather_hourly_spark", ["hour", "precip_bucket"], over("whole", CONDITION_HOURLY)),
     ]
-    return sql(BATCH, "\nUNION ALL ".join(report_values(*p) for p in parts))
+    return sql(BATCH, "\nUNION ALL ".join(report_values(*p) for p in parts[:only]))
+
+
+MONTH_KEYS = ("violation_type", "semester", "year", "month", "campus", "location", "status", "hour", "date")
+
+
+def month_sums() -> str:
+    """The groups of each report, one select for each, with NULL for the keys that it doesn't use."""
+
+    def part(name: str, keys: list[str]) -> str:
+        columns = ", ".join(k if k in keys else f"NULL AS {k}" for k in MONTH_KEYS)
+        by = ", ".join(["2", "is_credit_adjustment", *(f"g.{k}" for k in keys)])
+        return f"""SELECT '{name}' AS report, strftime("timestamp", '%Y%m') AS _month, is_credit_adjustment,
+          {columns}, count(*) AS n_rows, count(citation_id) AS n_ids, {FINES} AS fines,
+          count(*) FILTER (WHERE fine_amount > 0) AS n_fines
+        FROM citations g GROUP BY {by}"""
+
+    return sql(TO_CLEAN, "\nUNION ALL ".join([
+        part("violations_by_type", ["violation_type"]),
+        part("monthly_volume_by_campus", ["semester", "year", "month", "campus"]),
+        part("top_locations", ["campus", "location"]),
+        part("status_breakdown", ["semester", "status"]),
+        part("hourly_patterns", ["hour", "campus"]),
+        part("weather_citation_correlation", ["date", "campus"]),
+    ]))
 
 
 SHIFTS = """
@@ -557,4 +581,6 @@ ORACLE = {
             UNION ALL SELECT 'stored_weather', count(*) FROM weather""",
     ),
     "batch_reports": batch_reports(),
+    "reports_after_two_loads": batch_reports(only=6),
+    "month_sums": month_sums(),
 }

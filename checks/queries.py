@@ -12,7 +12,7 @@ from ticketmill import schemas
 from ticketmill.operators import citations as c
 from ticketmill.operators import joins, merge, ranges
 from ticketmill.operators import weather as w
-from ticketmill.plans import batch, quality, reports
+from ticketmill.plans import batch, partials, quality, reports
 from ticketmill.plans.views import register_views
 from ticketmill.settings import WeatherRules
 from ticketmill.sources import payload, scans, sinks
@@ -333,12 +333,10 @@ def stage_counts(spark, sf):
     return spark.createDataFrame(list(rows.items()), "stage string, n_rows bigint")
 
 
-def batch_reports(spark, sf) -> DataFrame:
-    """The whole job from landed files; every value of all eight report files."""
-    out = batch.Layout(t.scratch(spark, "batch"))
-    batch.run(spark, landed_citations(spark, sf), landed_payloads(spark, sf), out.root, t.RULES)
+def _report_values(spark, found, directory) -> DataFrame:
+    """Every value of the report files in a directory."""
 
-    def values(report, directory):
+    def values(report):
         lines = spark.read.csv(f"{directory}/{report.name}", header=True)
         keys = _GROUP_KEYS[report.name]
         measures = [c for c in lines.columns if c not in keys]
@@ -348,9 +346,33 @@ def batch_reports(spark, sf) -> DataFrame:
             *(F.col(m).cast("double").alias(m) for m in measures),
         ).unpivot(["report", "keys"], measures, "measure", "value")
 
-    parts = [values(r, out.reports) for r in reports.TABLE_REPORTS]
-    parts += [values(r, f"{out.reports}/spark") for r in reports.ZONE_REPORTS]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [values(r) for r in found])
+
+
+def batch_reports(spark, sf) -> DataFrame:
+    """The whole job from landed files; every value of all eight report files."""
+    out = batch.Layout(t.scratch(spark, "batch"))
+    batch.run(spark, landed_citations(spark, sf), landed_payloads(spark, sf), out.root, t.RULES)
+    return _report_values(spark, reports.TABLE_REPORTS, out.reports).unionByName(
+        _report_values(spark, reports.ZONE_REPORTS, f"{out.reports}/spark")
+    )
+
+
+def reports_after_two_loads(spark, sf) -> DataFrame:
+    """Every value of the six table reports, after a load of one half of the citations, the reports, a load of
+    the rest, and the reports again from the sums that both loads left."""
+    out = batch.Layout(t.scratch(spark, "loads"))
+    rows, half = t.citations(spark, sf), F.col("semester") == "First half"
+    batch.merge_weather(spark, t.weather(spark, sf), out.weather)
+    for part in (rows.filter(half), rows.filter(~half)):
+        batch.counted_merge(spark, part, out)
+        batch.table_reports(spark, out)
+    return _report_values(spark, reports.TABLE_REPORTS, out.reports)
+
+
+def month_sums(spark, sf) -> DataFrame:
+    """What is kept of each month for the reports."""
+    return partials.month_sums(t.citations(spark, sf))
 
 
 _GROUP_KEYS = {
@@ -417,4 +439,6 @@ QUERIES = {
     "report_sink": report_sink,
     "stage_counts": stage_counts,
     "batch_reports": batch_reports,
+    "reports_after_two_loads": reports_after_two_loads,
+    "month_sums": month_sums,
 }

@@ -30,7 +30,7 @@ PREFIX = "version="
 ATTEMPTS = 50
 
 
-def _files(spark: SparkSession, path: str) -> list[str]:
+def names_in(spark: SparkSession, path: str) -> list[str]:
     """The names in a folder, none if it isn't there."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -38,12 +38,12 @@ def _files(spark: SparkSession, path: str) -> list[str]:
 
 
 def _whole(spark: SparkSession, path: str) -> bool:
-    return any(not name.startswith(("_", ".")) for name in _files(spark, path))
+    return any(not name.startswith(("_", ".")) for name in names_in(spark, path))
 
 
 def newest(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
     """(a number that no manifest has, load of each partition); one row a partition, so it stays small."""
-    names = _files(spark, f"{path}/manifest")
+    names = names_in(spark, f"{path}/manifest")
     numbers = sorted((int(n[len(PREFIX) :]) for n in names if n.startswith(PREFIX)), reverse=True)
     free = numbers[0] + 1 if numbers else 1
     for number in numbers:
@@ -104,7 +104,7 @@ def switch(spark: SparkSession, path: str, number: int, loads: dict[str, str]) -
     """Make this manifest the version of that number, unless there is one; whether it is."""
     fresh, target = f"{path}/manifest/_{uuid.uuid4().hex}", f"{path}/manifest/{PREFIX}{number}"
     spark.createDataFrame(list(loads.items()), MANIFEST).coalesce(1).write.parquet(fresh)
-    own = {name for name in _files(spark, fresh) if not name.startswith(("_", "."))}
+    own = {name for name in names_in(spark, fresh) if not name.startswith(("_", "."))}
     jvm = spark._jvm
     source, goal = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(target)
     system = goal.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -116,7 +116,7 @@ def switch(spark: SparkSession, path: str, number: int, loads: dict[str, str]) -
     except Py4JError:
         if not system.exists(goal):
             raise
-    won = own <= set(_files(spark, target))
+    won = own <= set(names_in(spark, target))
     if not won:
         system.delete(source, True)
     return won
