@@ -549,6 +549,37 @@ ORACLE = {
            WHERE NOT EXISTS (SELECT 1 FROM weather w
                              WHERE w.date = CAST(d.day AS DATE) AND w.campus = s.campus)""",
     ),
+    "weather_gap_ranges": sql(
+        [*TO_CLEAN, *TO_WEATHER],
+        """SELECT campus, min(day) AS first_date, max(day) AS last_date, count(*) AS days FROM (
+             SELECT campus, day, datediff('day', DATE '2000-01-01', day)
+                      - row_number() OVER (PARTITION BY campus ORDER BY day) AS island
+             FROM (SELECT CAST(unnest(generate_series(min("timestamp")::DATE, max("timestamp")::DATE,
+                                                      INTERVAL 1 DAY)) AS DATE) AS day FROM citations),
+                  (VALUES ('North'), ('South')) s(campus)
+             WHERE (day, campus) NOT IN (SELECT (date, campus) FROM weather))
+           GROUP BY campus, island""",
+    ),
+    "days_in_bucket": sql(
+        [*TO_CLEAN, *TO_WEATHER],
+        """SELECT hour, precip_bucket, CAST(count(DISTINCT c.date) AS BIGINT) AS days_in_bucket
+           FROM citations c LEFT JOIN weather w ON c.date = w.date AND c.campus = w.campus
+           WHERE c.date IS NOT NULL GROUP BY hour, precip_bucket""",
+    ),
+    "payload_quarantine": sql(
+        PAYLOADS,
+        """SELECT problem, count(*) AS n_rows FROM (
+             SELECT CASE WHEN vec_id % 9 = 4 THEN 'not a payload'
+                         WHEN vec_id % 11 = 5 THEN 'payload has no time axis'
+                         WHEN vec_id % 13 = 3 THEN 'temperature_2m_max and time differ in length' END AS problem
+             FROM payloads) WHERE problem IS NOT NULL GROUP BY problem
+           UNION ALL SELECT 'landed_payloads', count(*) FROM payloads
+           UNION ALL SELECT 'bad_payloads', count(*) FROM payloads
+             WHERE vec_id % 9 = 4 OR vec_id % 11 = 5 OR vec_id % 13 = 3
+           UNION ALL SELECT 'raw_weather', CAST(sum(days) AS BIGINT) FROM payloads
+             WHERE vec_id % 9 <> 4 AND vec_id % 11 <> 5 AND vec_id % 13 <> 3
+           UNION ALL SELECT 'raw_citations', count(*) FROM events""",
+    ),
     "anomaly_listing": sql(
         TO_CLEAN,
         """SELECT violation_type, fine_amount, count(*) AS n_rows FROM citations

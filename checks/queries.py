@@ -213,7 +213,22 @@ def payload_flatten(spark, sf):
 
 
 def payload_problems(spark, sf):
-    return payload.bad_payloads(t.payloads(spark, sf), ("vec_id", "campus"))
+    return payload.bad_payloads(t.payloads(spark, sf), ("vec_id", "campus")).drop("text")
+
+
+def payload_quarantine(spark, sf):
+    """Payloads landed as JSON lines, every ninth broken off, and a job's first stage over them: the rows it wrote
+    and what it set apart, by reason."""
+    path, i = t.scratch(spark, "broken"), F.col("vec_id")
+    line = F.to_json(F.struct("daily"), {"ignoreNullFields": "true"})
+    cut = F.when(i % 9 == 4, F.expr("left(line, length(line) DIV 2)")).otherwise(F.col("line"))
+    t.payloads(spark, sf).withColumn("line", line).select("campus", cut.alias("value")).write.partitionBy(
+        "campus").text(path)
+    out = batch.Layout(t.scratch(spark, "quarantine"))
+    rows = batch.ingest(t.citations_raw(spark, sf), scans.read_payloads(spark, path, quarantine=True), out)
+    bad = spark.read.parquet(out.rejected_payloads).groupBy("problem").agg(F.count("*").alias("n_rows"))
+    counts = spark.createDataFrame(list(rows.items()), "problem string, n_rows bigint")
+    return counts.unionByName(bad)
 
 
 def fact_quality(spark, sf):
@@ -242,6 +257,19 @@ def weather_gaps(spark, sf):
     return quality.missing_keys(spine, t.weather(spark, sf))
 
 
+def weather_gap_ranges(spark, sf):
+    """The same days as ranges."""
+    return quality.gap_ranges(weather_gaps(spark, sf))
+
+
+def days_in_bucket(spark, sf):
+    """Distinct days of each hour and precipitation bucket, from bitmaps of each campus and semester that are
+    merged."""
+    rows = joins.attach_weather(t.citations(spark, sf), t.weather(spark, sf), ("precip_bucket",))
+    parts = quality.day_bitmaps(rows, ["hour", "precip_bucket", "campus", "semester"])
+    return quality.count_days(parts, ["hour", "precip_bucket"], "days_in_bucket")
+
+
 def anomaly_listing(spark, sf):
     return quality.anomalies(t.citations(spark, sf))
 
@@ -432,6 +460,9 @@ QUERIES = {
     "missing_keys": missing_keys,
     "join_coverage": join_coverage,
     "weather_gaps": weather_gaps,
+    "weather_gap_ranges": weather_gap_ranges,
+    "days_in_bucket": days_in_bucket,
+    "payload_quarantine": payload_quarantine,
     "anomaly_listing": anomaly_listing,
     "raw_scan": raw_scan,
     "raw_scan_quarantine": raw_scan_quarantine,

@@ -14,7 +14,7 @@ from ticketmill.operators.weather import clean_weather
 from ticketmill.plans import batch
 from ticketmill.plans.reports import TABLE_REPORTS, ZONE_REPORTS, Report
 from ticketmill.sources import versions
-from ticketmill.sources.scans import read_citations, read_payloads, read_table
+from ticketmill.sources.scans import read_citations, read_payloads, read_quarantined, read_table
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -271,3 +271,25 @@ def test_large_batch_gives_the_same_store(spark, tmp_path):
             )
         found.append((stored(spark, root), outcome.rows))
     assert found[0] == found[1]
+
+
+def test_damaged_lines_and_payloads_are_set_apart(spark, tmp_path):
+    source, payloads = land(tmp_path, FIRST, {"2025-09-15": 10.0})
+    lines = Path(source) / "citations.csv"
+    lines.write_text(lines.read_text() + "Z1,2025-09-16 10:00:00,Lot,K,x,Paid,much\n")
+    good = Path(payloads) / "campus=Kennesaw" / "w.json"
+    (good.parent / "broken.json").write_text('{"daily": {"time": ["2025-0')
+    (good.parent / "empty.json").write_text('{"daily": {}}\n')
+    lines, damaged = read_quarantined(spark, source)
+    root = tmp_path / "root"
+    outcome = batch.run(
+        spark, lines, read_payloads(spark, payloads, quarantine=True), str(root), damaged=damaged
+    )
+    assert outcome.failed_reports == outcome.failed_quality == {}
+    assert outcome.rows["damaged_citations"] == 1 and outcome.rows["raw_citations"] == len(FIRST)
+    assert outcome.rows["landed_payloads"] == 4 and outcome.rows["bad_payloads"] == 2
+    assert outcome.rows["raw_weather"] == 2
+    bad = {r.problem: r.text for r in spark.read.parquet(str(root / "rejected/payloads")).collect()}
+    assert bad == {"not a payload": '{"daily": {"time": ["2025-0', "payload has no time axis": "{}"}
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        batch.run(spark, lines, read_payloads(spark, payloads), str(tmp_path / "strict"))

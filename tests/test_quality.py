@@ -1,3 +1,6 @@
+import random
+from datetime import date, timedelta
+
 from tests.conftest import day
 from ticketmill.operators.citations import clean_citations
 from ticketmill.operators.weather import clean_weather
@@ -67,3 +70,31 @@ def test_anomalies_by_type_and_amount(raw):
     assert [tuple(r) for r in quality.anomalies(fact).collect()] == [
         ("Tow Fee", 35, 2), ("Tow Fee", 1, 1),
     ]
+
+
+def test_gap_ranges_hold_the_days_of_the_gaps(spark):
+    rng = random.Random(2)
+    days = [(date(2024, 2, 20) + timedelta(i), c) for i in range(60) for c in ("K", "M", None) if rng.random() < 0.6]
+    keys = spark.createDataFrame([*days, days[0], (None, "K")], "date date, campus string")
+    found = quality.gap_ranges(keys).collect()
+    listed = [(r.first_date + timedelta(i), r.campus) for r in found for i in range((r.last_date - r.first_date).days + 1)]
+    assert sorted(listed, key=str) == sorted(days, key=str)
+    assert all(r.days == (r.last_date - r.first_date).days + 1 for r in found)
+    edges = {(r.last_date + timedelta(1), r.campus) for r in found}
+    assert not edges & set(days)
+    assert quality.gap_ranges(keys.filter("false")).collect() == []
+
+
+def test_merged_bitmaps_count_distinct_days(spark):
+    rng = random.Random(4)
+    rows = [(date(1969, 12, 1) + timedelta(rng.randint(0, 90)), rng.choice("ab"), rng.choice("xyz")) for _ in range(300)]
+    rows += [(date(1, 1, 1), "a", "x"), (date(9999, 12, 31), "a", "y"), (None, "a", "x"), (date(2024, 1, 1), None, "x")]
+    df = spark.createDataFrame(rows, "date date, g string, load string")
+    one, two = df.filter("load = 'x'"), df.filter("load <> 'x'")
+    parts = quality.day_bitmaps(one, ["g"]).unionByName(quality.day_bitmaps(two, ["g"]))
+    wanted = {}
+    for d, g, _ in rows:
+        if d is not None:
+            wanted.setdefault(g, set()).add(d)
+    assert dict(quality.count_days(parts, ["g"]).collect()) == {g: len(s) for g, s in wanted.items()}
+    assert dict(quality.count_days(quality.merge_bitmaps(parts, ["g"]), ["g"]).collect()) == {g: len(s) for g, s in wanted.items()}

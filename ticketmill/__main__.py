@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from ticketmill.plans.batch import run
-from ticketmill.sources.scans import read_citations, read_payloads
+from ticketmill.sources.scans import read_citations, read_payloads, read_quarantined
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -27,20 +27,27 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument(
         "--large-batch", action="store_true", help="the batch's ids are too many to be sent to all tasks"
     )
+    parser.add_argument(
+        "--quarantine", action="store_true", help="keep damaged lines and payloads apart instead of failing"
+    )
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s: %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = SparkSession.builder.appName("ticketmill").getOrCreate()
     try:
+        how = {"fmt": args.format, "timestamp_format": args.timestamp_format}
+        if args.quarantine:
+            citations, damaged = read_quarantined(spark, args.citations, **how)
+        else:
+            citations, damaged = read_citations(spark, args.citations, **how), None
         outcome = run(
             spark,
-            read_citations(
-                spark, args.citations, args.format, timestamp_format=args.timestamp_format
-            ),
-            read_payloads(spark, args.payloads, args.multi_line),
+            citations,
+            read_payloads(spark, args.payloads, args.multi_line, args.quarantine),
             args.root,
             large_batch=args.large_batch,
+            damaged=damaged,
         )
     finally:
         spark.stop()

@@ -30,8 +30,8 @@ from ticketmill.operators.weather import clean_weather
 from ticketmill.plans import partials, quality
 from ticketmill.plans.reports import TABLE_REPORTS, ZONE_REPORTS, Report
 from ticketmill.settings import CAMPUSES, CitationRules, WeatherRules
-from ticketmill.sources.payload import flatten_payloads, key_spine, load_window
-from ticketmill.sources.scans import read_table
+from ticketmill.sources.payload import bad_payloads, flatten_payloads, key_spine, load_window
+from ticketmill.sources.scans import CORRUPT, read_table
 from ticketmill.sources.sinks import create_table, write_listing, write_report, write_zone
 from ticketmill.sources.versions import read_versions, replace_partitions
 
@@ -86,6 +86,14 @@ class Layout:
     def rejected_citations(self) -> str:
         return self.path("rejected", "citations")
 
+    @property
+    def rejected_payloads(self) -> str:
+        return self.path("rejected", "payloads")
+
+    @property
+    def damaged_citations(self) -> str:
+        return self.path("rejected", "lines")
+
     @property
     def reports(self) -> str:
         return self.path("reports")
@@ -119,15 +127,28 @@ def write_counted(df: DataFrame, path: str, *args, **kwargs) -> int:
     return seen.get["rows"]
 
 
-def ingest(citations: DataFrame, payloads: DataFrame, out: Layout) -> dict[str, int]:
-    """Land both sources in the raw zone, before any cleaning."""
-    weather = flatten_payloads(payloads, seq=SEQ)
-    return side_by_side(
-        {
-            "raw_citations": lambda: write_counted(citations, out.raw_citations),
-            "raw_weather": lambda: write_counted(weather, out.raw_weather),
-        }
-    )
+def ingest(
+    citations: DataFrame, payloads: DataFrame, out: Layout, damaged: DataFrame | None = None
+) -> dict[str, int]:
+    """Land both sources in the raw zone, before any cleaning.
+
+    Payloads read with `quarantine` (they have a column CORRUPT) don't fail the job: bad ones go to a zone by the
+    reason, and the payloads are counted, so landed ones are the flattened and the bad ones. `damaged`: lines of
+    the citations that read_quarantined() set apart; they are kept and counted too."""
+    lenient = CORRUPT in payloads.columns
+    source = payloads.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if lenient else payloads
+    weather = flatten_payloads(source, strict=not lenient, seq=SEQ)
+    work = {
+        "raw_citations": lambda: write_counted(citations, out.raw_citations),
+        "raw_weather": lambda: write_counted(weather, out.raw_weather),
+    }
+    if lenient:
+        bad = bad_payloads(payloads, ("campus", SEQ))
+        work["bad_payloads"] = lambda: write_counted(bad, out.rejected_payloads, ["problem"])
+        work["landed_payloads"] = payloads.count
+    if damaged is not None:
+        work["damaged_citations"] = lambda: write_counted(damaged, out.damaged_citations)
+    return side_by_side(work)
 
 
 def transform(
@@ -370,6 +391,7 @@ def check_quality(
             "anomalies": lambda: listing("anomalies", quality.anomalies(citations())),
             "keys": keys,
             "weather_gaps": lambda: listing("weather_gaps", gaps()),
+            "weather_gap_ranges": lambda: listing("weather_gap_ranges", quality.gap_ranges(gaps())),
         }
     )
 
@@ -382,12 +404,14 @@ def run(
     citation_rules: CitationRules = CitationRules(),
     weather_rules: WeatherRules = WeatherRules(),
     large_batch: bool = False,
+    damaged: DataFrame | None = None,
 ) -> Outcome:
-    """All stages in order, from frames as sources.scans returns them. `large_batch`: see operators.merge.unstored()."""
+    """All stages in order, from frames as sources.scans returns them. `large_batch`: see operators.merge.unstored();
+    `damaged`: see ingest()."""
     out = Layout(root)
     outcome = Outcome()
     for stage, work in {
-        "ingest": lambda: ingest(citations, payloads, out),
+        "ingest": lambda: ingest(citations, payloads, out, damaged),
         "transform": lambda: transform(spark, out, citation_rules, weather_rules),
         "merge": lambda: merge(spark, out, large_batch),
     }.items():

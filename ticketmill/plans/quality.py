@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketmill import schemas
@@ -109,6 +109,39 @@ def missing_keys(
     return fact.select(*keys).distinct().join(dimension.select(*keys), list(keys), "left_anti")
 
 
+def gap_ranges(keys: DataFrame, date: str = "date", by: Sequence[str] = ("campus",)) -> DataFrame:
+    """Keys as ranges of days that follow each other: (by, first_date, last_date, days). Repeated keys count once, NULL
+    dates are left out, and a NULL in `by` is a group like others. Dates less their rank are equal within a
+    range, so an aggregate finds it; a window sees each day of a group once."""
+    days = keys.filter(F.col(date).isNotNull()).select(*by, date).distinct()
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(date))
+    ranges = days.withColumn("_island", F.date_sub(date, rank)).groupBy(*by, "_island")
+    return ranges.agg(
+        F.min(date).alias("first_date"), F.max(date).alias("last_date"), F.count(F.lit(1)).alias("days")
+    ).drop("_island")
+
+
+def day_bitmaps(df: DataFrame, by: Sequence[str], date: str = "date") -> DataFrame:
+    """The days of each group as bitmaps over day numbers: (by, chunk, days), one row for each 32,768 days that a
+    group has any of. Unlike distinct counts, these can be kept and merged. NULL dates are left out."""
+    day = F.datediff(date, F.lit("1970-01-01").cast("date"))
+    return (
+        df.filter(F.col(date).isNotNull())
+        .groupBy(*by, F.bitmap_bucket_number(day).alias("chunk"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(day)).alias("days"))
+    )
+
+
+def merge_bitmaps(bitmaps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bitmaps of fewer or the same groups, from those of any number of loads or finer groups."""
+    return bitmaps.groupBy(*by, "chunk").agg(F.bitmap_or_agg("days").alias("days"))
+
+
+def count_days(bitmaps: DataFrame, by: Sequence[str], name: str = "days") -> DataFrame:
+    """Distinct days of each group, from bitmaps that may still be in parts."""
+    return merge_bitmaps(bitmaps, by).groupBy(*by).agg(F.sum(F.bitmap_count("days")).alias(name))
+
+
 def join_coverage(
     fact: DataFrame, dimension: DataFrame, keys: Sequence[str] = schemas.WEATHER_KEY
 ) -> DataFrame:

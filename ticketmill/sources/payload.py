@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ticketmill import schemas
 from ticketmill.settings import CAMPUSES
+from ticketmill.sources.scans import CORRUPT
 
 
 def _arrays(df: DataFrame, payload: str) -> dict[str, Column | None]:
@@ -76,8 +77,15 @@ def flatten_payloads(
 def bad_payloads(
     df: DataFrame, tags: Sequence[str] = ("campus",), payload: str = "daily"
 ) -> DataFrame:
-    problem = payload_problem(df, payload)
-    return df.select(*tags, problem.alias("problem")).filter(F.col("problem").isNotNull())
+    """(tags, problem, text) of payloads that cannot be flattened; text is the payload as JSON, or the line itself
+    where it is no JSON (a column CORRUPT says so, if there is one)."""
+    problem, text = payload_problem(df, payload), F.to_json(payload)
+    if CORRUPT in df.columns:
+        broken = F.col(CORRUPT).isNotNull()
+        problem = F.when(broken, F.lit("not a payload")).otherwise(problem)
+        text = F.coalesce(CORRUPT, text)
+    rows = df.select(*tags, problem.alias("problem"), text.alias("text"))
+    return rows.filter(F.col("problem").isNotNull())
 
 
 def load_window(df: DataFrame, timestamp: str = "timestamp") -> DataFrame:

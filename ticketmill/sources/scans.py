@@ -93,18 +93,23 @@ def read_quarantined(
     return rows.filter(~damaged).drop(CORRUPT), rows.filter(damaged).select(CORRUPT, schemas.SEQ)
 
 
-def read_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_payloads(
+    spark: SparkSession, path: str, multi_line: bool = False, quarantine: bool = False
+) -> DataFrame:
     """Daily weather payloads laid out as <path>/campus=<name>/<file>.json.
 
     One scan reads every campus; the directory name becomes the campus column. A payload is one
     line, as the service sends it; other layouts fail. With `multi_line` each file holds a single
-    payload, spread over any number of lines.
+    payload, spread over any number of lines. With `quarantine` nothing fails: what can't be parsed is a
+    row without a payload and with its text under CORRUPT.
     """
-    schema = T.StructType([*schemas.WEATHER_PAYLOAD, T.StructField("campus", T.StringType())])
+    campus = T.StructField("campus", T.StringType())
+    corrupt = [T.StructField(CORRUPT, T.StringType())] if quarantine else []
     return (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType([*schemas.WEATHER_PAYLOAD, *corrupt, campus]))
         .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE" if quarantine else "FAILFAST")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
         .withColumn(schemas.SEQ, source_position())
     )
