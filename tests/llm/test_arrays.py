@@ -34,3 +34,12 @@ def test_hashes_of_ranges_longer_than_a_block():
     starts, ends = np.array([0, 0]), np.array([len(data), 0])
     long, empty = arrays.range_hashes(data, starts, ends)
     assert long == arrays.range_hashes(data.copy(), starts[:1], ends[:1])[0] != empty
+
+
+def test_strings_of_one_pattern_and_its_complement_have_other_hashes():
+    word = np.array([97 + (i.bit_count() & 1) for i in range(4096)], np.uint8)
+    both = np.concatenate([word, 195 - word])
+    for n in (1024, 2048, 4096):
+        starts = np.array([0, 4096])
+        one, other = arrays.range_hashes(both, starts, starts + n)
+        assert one != other

@@ -542,6 +542,32 @@ def test_chain_feeds_earlier_categories():
     assert p[0, 2] > 0.5 > p[1, 2] and p[2, 2] < 0.5
 
 
+def test_logistic_regression_equals_gradient_steps():
+    rng = np.random.default_rng(3)
+    x = (rng.random((60, 4)) < 0.4).astype(float)
+    y = (x[:, 0] + x[:, 1] * 0.5 + rng.random(60) > 1).astype(float)
+    w = np.zeros(5)
+    penalty = np.append(np.full(4, toxicity.RIDGE), 1e-6)
+    whole = np.hstack([x, np.ones((60, 1))])
+    for _ in range(20_000):
+        w -= 0.02 * (whole.T @ (1 / (1 + np.exp(-whole @ w)) - y) + penalty * w)
+    assert np.abs(toxicity.logistic(x, y) - w).max() < 1e-6
+
+
+def test_terms_are_chosen_without_the_held_texts():
+    """A word of the toxic texts of one fold only is no term for that fold."""
+    texts = [("vile thing" if i % 5 else "vile rareword") if i < 400 else "fine plain text" for i in range(4000)]
+    toxic = np.array([i < 400 for i in range(4000)])
+    terms, where, owner = toxicity.candidates(pa.array(texts, pa.large_string()), toxic)
+    rare = set(toxicity.term_hashes(pa.array(["rareword"], pa.large_string()))[0].tolist())
+    assert rare & set(terms.tolist())
+    fold = np.arange(4000) % 5
+    chosen = toxicity.informative(len(terms), where, owner, toxic, fold != 0)
+    assert not rare & set(terms[chosen].tolist())
+    whole = toxicity.informative(len(terms), where, owner, toxic, fold >= 0)
+    assert rare & set(terms[whole].tolist())
+
+
 # ---------------------------------------------------------------- rules
 
 
@@ -628,6 +654,20 @@ def test_components_of_a_long_path(spark):
     assert graph.components(edges.filter("false")).count() == 0
 
 
+def test_null_ids_of_many_texts_are_told_apart(spark):
+    n = 200_000
+    docs = spark.range(n).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    assert passages.keyed(docs, "text", "doc_id").select("doc", "key").distinct().count() == n
+
+
+def test_two_texts_with_one_name_are_not_cut(spark, monkeypatch):
+    """Names of few bits: texts of one id that share a name keep all their words."""
+    monkeypatch.setattr(passages, "name_of", lambda text, id: (F.col(id), F.lit(1)))
+    base = " ".join(f"w{i}" for i in range(70)) + "."
+    docs = spark.createDataFrame([(1, base), (2, base + " more"), (2, "something else")], "doc_id bigint, text string")
+    assert sorted(map(tuple, passages.without_passages(docs).collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_columns_that_clash_with_what_operators_use_inside_stay(spark):
     names = ["of", "fp", "_id", "doc", "key", "at", "lang", "words", "bits", "n", "row", "first"]
     docs = spark.createDataFrame([(1, "some words here"), (2, None)], "doc_id bigint, text string")

@@ -20,7 +20,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-_powers = np.ones(1, np.uint64)
+_weights = np.ones(0, np.uint64)
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
@@ -59,14 +59,14 @@ def runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.
     return np.flatnonzero(starts), np.flatnonzero(ends)
 
 
-def powers(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        size = 1 << int(n).bit_length()
-        factors = np.full(size, BASE)
-        factors[0] = 1
-        _powers = np.cumprod(factors, dtype=np.uint64)
-    return _powers
+def weights(n: int) -> np.ndarray:
+    """Odd numbers without a pattern, one for each place in a range. Powers of a number would not do: modulo 2^64,
+    whole families of strings, like the Thue-Morse word and its complement, have equal sums."""
+    global _weights
+    if len(_weights) < n:
+        places = np.arange(1 << int(n).bit_length(), dtype=np.uint64)
+        _weights = mixed(mixed(places * BASE) + BASE) | np.uint64(1)
+    return _weights
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -84,7 +84,7 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     out = np.zeros(len(starts), np.uint64)
     full = np.flatnonzero(lengths > 0)
     if len(full):
-        weights = powers(int(lengths.max()))
+        weight = weights(int(lengths.max()))
     total = np.cumsum(lengths[full])
     at = 0
     while at < len(full):
@@ -97,7 +97,7 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         place = index - np.repeat(first, n)
         values = data[place + np.repeat(starts[part], n)].astype(np.uint64)
         values += np.uint64(1)
-        values *= weights[place]
+        values *= weight[place]
         out[part] = np.add.reduceat(values, first)
         at = end
     return mixed(out + lengths.astype(np.uint64))

@@ -262,7 +262,10 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, **kwargs) -> DataFrame:
-    """The rows of docs that near_duplicates() keeps, with the columns of docs."""
+    """The rows of docs that near_duplicates() keeps, with the columns of docs. Of rows that agree in id and
+    fingerprint, the one whose values are least, by a hash and then as JSON: the same in each run."""
     rows = near_duplicates(docs, **kwargs)
-    repeated = rows.filter("keep = false").dropDuplicates(["_fp"])
-    return rows.filter("keep").select(docs.columns).union(repeated.select(docs.columns))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    least = F.min_by(whole, F.struct(F.xxhash64(whole), F.to_json(whole))).alias("_row")
+    repeated = rows.filter("keep = false").groupBy("_fp").agg(least)
+    return rows.filter("keep").select(docs.columns).union(repeated.select("_row.*"))

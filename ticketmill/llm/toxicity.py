@@ -37,8 +37,6 @@ TERMS = 512
 TERM_DOCS = 3
 #: Standard errors by which a term's share in toxic documents exceeds that in others.
 TERM_Z = 4.0
-#: Buckets of hashes in which terms are counted first.
-BUCKETS = 1 << 22
 FOLDS = 5
 RIDGE = 1.0
 THRESHOLD = 0.5
@@ -142,51 +140,76 @@ def clearly_toxic(there: np.ndarray, bad: np.ndarray, n: int, n_bad: int) -> np.
     return np.where((there >= TERM_DOCS) & (share > 10 * other) & (z > TERM_Z), z, 0.0)
 
 
-def informative(column: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted terms that go with toxic labels, the clearest TERMS; presence of each in the texts).
-
-    Terms are first counted by buckets of their hashes, so that memory doesn't grow with the texts. A
-    bucket may hold several terms, each no more frequent than it: those of all buckets that have enough
-    toxic texts are then counted one by one."""
-    bad = np.zeros(BUCKETS, np.int32)
-    for terms, texts in distinct_terms(column):
-        np.add.at(bad, (terms[toxic[texts]] % np.uint64(BUCKETS)).astype(np.int64), 1)
-    enough = bad >= TERM_DOCS
-    found, owners_ = [], []
-    for terms, texts in distinct_terms(column):
-        some = enough[(terms % np.uint64(BUCKETS)).astype(np.int64)]
-        found.append(terms[some])
-        owners_.append(texts[some])
-    hashes, owner = np.concatenate(found), np.concatenate(owners_)
-    terms, which = np.unique(hashes, return_inverse=True)
-    there = np.bincount(which, minlength=len(terms))
-    in_bad = np.bincount(which, weights=toxic[owner], minlength=len(terms))
-    z = clearly_toxic(there, in_bad, len(toxic), int(toxic.sum()))
-    best = np.argsort(-z, kind="stable")[: min(TERMS, int((z > 0).sum()))]
-    chosen = np.sort(terms[best])
-    return chosen, presence(chosen, hashes, owner, len(toxic))
+def candidates(column: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted terms of TERM_DOCS toxic texts or more; the place among them and the text of each one there is). Only
+    toxic texts are counted term by term; of all texts, only what these terms hit is held, in 8 bytes each."""
+    seen = [terms for terms, _ in distinct_terms(column.filter(pa.array(toxic)))]
+    terms, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen]), return_counts=True)
+    terms = terms[counts >= TERM_DOCS]
+    where, texts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for found, owner in distinct_terms(column) if len(terms) else ():
+        at = np.searchsorted(terms, found)
+        at[at == len(terms)] = 0
+        hit = terms[at] == found
+        where.append(at[hit].astype(np.int32))
+        texts.append(owner[hit].astype(np.int32))
+    return terms, np.concatenate(where), np.concatenate(texts)
+
+
+def informative(n_terms: int, where: np.ndarray, texts: np.ndarray, toxic: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The places of the TERMS candidates that go clearest with toxic labels, as the texts `own` alone show it."""
+    mine = own[texts]
+    there = np.bincount(where[mine], minlength=n_terms)
+    bad = np.bincount(where[mine & toxic[texts]], minlength=n_terms)
+    z = clearly_toxic(there, bad, int(own.sum()), int(toxic[own].sum()))
+    return np.sort(np.argsort(-z, kind="stable")[: min(TERMS, int((z > 0).sum()))])
+
+
+def columns_of(chosen: np.ndarray, n_terms: int, where: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
+    """(texts, chosen) 0 or 1."""
+    column = np.full(n_terms, -1)
+    column[chosen] = np.arange(len(chosen))
+    hit = column[where] >= 0
+    out = np.zeros((n, len(chosen)))
+    out[texts[hit], column[where[hit]]] = 1
+    return out
+
+
+def targets_of(x: np.ndarray, toxic: np.ndarray) -> list[np.ndarray]:
+    """The categories, made from the one label there is: toxic texts with any of the terms, those with SEVERE or
+    more of them, and all toxic ones."""
+    named = x.sum(axis=1)
+    return [toxic & (named > 0), toxic & (named >= SEVERE), toxic]
 
 
 def fit(texts: list[str | None], toxic: list[bool]) -> Chain:
-    """The chain for labelled texts. Without texts of both kinds, it finds nothing toxic."""
-    y = np.array(toxic, bool)
+    """The chain for labelled texts. Without texts of both kinds, it finds nothing toxic.
+
+    What a model gets of earlier categories comes from models that have not seen the text: for each fold, terms are
+    chosen, categories made and weights fitted on the other folds alone."""
+    y, n = np.array(toxic, bool), len(texts)
     column = pa.array(texts, pa.large_string())
     if not y.any() or y.all():
         return Chain(np.zeros(0, np.uint64), [np.append(np.zeros(k), -30.0) for k in range(3)])
-    terms, x = informative(column, y)
-    named = x.sum(axis=1)
-    targets = [y & (named > 0), y & (named >= SEVERE), y]
-    fold = np.arange(len(texts)) % FOLDS
-    weights = []
-    for target in targets:
-        weights.append(logistic(x, target))
-        out_of_fold = np.zeros(len(texts))
-        for k in range(FOLDS):
-            held = fold == k
-            w = logistic(x[~held], target[~held])
-            out_of_fold[held] = sigmoid(x[held] @ w[:-1] + w[-1])
-        x = np.hstack([x, out_of_fold[:, None]])
-    return Chain(terms, weights)
+    terms, *held = candidates(column, y)
+    fold, folds = np.arange(n) % FOLDS, []
+    for k in range(FOLDS):
+        others = fold != k
+        if y[others].any() and not y[others].all():
+            x = columns_of(informative(len(terms), *held, y, others), len(terms), *held, n)
+            folds.append((others, x, targets_of(x, y)))
+    chosen = informative(len(terms), *held, y, np.ones(n, bool))
+    x = columns_of(chosen, len(terms), *held, n)
+    weights, earlier = [], np.zeros((n, 0))
+    for k, target in enumerate(targets_of(x, y)):
+        weights.append(logistic(np.hstack([x, earlier]), target))
+        out_of_fold = np.zeros(n)
+        for others, own, targets in folds:
+            both = np.hstack([own, earlier])
+            w = logistic(both[others], targets[k][others])
+            out_of_fold[~others] = sigmoid(both[~others] @ w[:-1] + w[-1])
+        earlier = np.hstack([earlier, out_of_fold[:, None]])
+    return Chain(terms[chosen], weights)
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_id",
