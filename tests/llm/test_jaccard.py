@@ -47,6 +47,7 @@ def test_empty_table_and_no_links(spark):
 
 def test_chunks_of_a_frequent_entry_meet_each_other(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "GROUP", 3)
+    monkeypatch.setattr(jaccard, "GROUP_TOKENS", 150)
     rows = list(enumerate(texts(8)))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = Counter(tuple(r) for r in jaccard.jaccard_join(docs, 4, 85).collect())
@@ -100,3 +101,42 @@ def test_filter_passes_all_values(spark):
     assert values.filter(test).count() == values.count()
     others = spark.range(10**9, 10**9 + 10_000).select(F.col("id").alias("v"))
     assert others.filter(test).count() < 200
+
+
+@pytest.mark.parametrize("chunks", [1, 3])
+def test_links_of_a_group_connect_all_similar_sets(chunks):
+    rng = random.Random(9)
+    base = [rng.getrandbits(64) for _ in range(90)]
+    sets = []
+    for _ in range(80):
+        own = {x for x in base if rng.random() > rng.choice([0.02, 0.15])} | {rng.choice(base[:5]) ^ 1, rng.getrandbits(64)}
+        sets.append(sorted(own))
+    group = [rng.randrange(chunks) for _ in sets]
+    links = []
+    for i in range(chunks):
+        for j in range(i, chunks):
+            part = [k for k, c in enumerate(group) if c in (i, j)]
+            tokens = np.array([t for k in part for t in sets[k]], np.uint64)
+            sizes, own = np.array([len(sets[k]) for k in part]), np.array([group[k] for k in part])
+            links += [(part[x], part[y]) for x, y in jaccard.linked_in_group(sizes, own, tokens, 80)]
+
+    def components(pairs):
+        parent = list(range(len(sets)))
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for x, y in pairs:
+            parent[root(x)] = root(y)
+        return [root(x) for x in range(len(sets))]
+
+    def similar(a, b):
+        both = len(set(a) & set(b))
+        return 100 * both >= 80 * (len(a) + len(b) - both)
+
+    real = [(x, y) for x in range(len(sets)) for y in range(x) if similar(sets[x], sets[y])]
+    assert set(links) <= set(real) and len(links) < len(real)
+    found, wanted = components(links), components(real)
+    assert len(set(zip(found, wanted))) == len(set(found)) == len(set(wanted))

@@ -12,8 +12,9 @@ stands in one set only fills a prefix, but needs no entry.
 
 Entries carry a size band, so only sets of like sizes meet, and how many tokens may still be shared from
 here on; candidates that can't reach the overlap are left out. Candidates are verified on whole sets, in
-two steps: each set with the one it shares most entries with; then, within an entry, only sets that are not
-connected by now. Groups of copies thus cost about one verification a member, not one a pair.
+two steps. Each set goes to the group of the one it shares most entries with, and so do near copies of one
+text; a group's sets meet in one task, or in chunks, and only links that connect something leave it. Then, within
+an entry, sets of different groups are paired and verified one by one.
 """
 
 from __future__ import annotations
@@ -41,8 +42,12 @@ CLASS_FROM = (256, 4096)
 CLASS_SIZES = (300, 60)
 #: Rows of an entry, or candidates of a set, that one task compares; more are dealt out in chunks.
 GROUP = 8_192
+#: Tokens of the sets that one task compares with each other; a larger group is dealt out in chunks.
+GROUP_TOKENS = 1 << 21
 #: Bits of a filter that is sent to all tasks.
 FILTER_BITS = 1 << 23
+#: Text bytes that are hashed at a time.
+SLICE = 1 << 20
 #: Bits of one bitmap of Spark's bitmap functions.
 BITMAP = 32_768
 
@@ -85,7 +90,7 @@ def token_set(text: Column, width: int, similarity: int) -> Column:
     @F.arrow_udf(SET)
     def sets(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            parts = [heads(part) for part in slices(column)]
+            parts = [heads(part) for part in slices(column, SLICE)]
             yield pa.concat_arrays(parts) if parts else heads(column)
 
     return sets(text)
@@ -104,7 +109,7 @@ def whole_set(text: Column, width: int) -> Column:
     @F.arrow_udf("struct<key: binary, tokens: array<bigint>>")
     def sets(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            parts = [whole(part) for part in slices(column)]
+            parts = [whole(part) for part in slices(column, SLICE)]
             yield pa.concat_arrays(parts) if parts else whole(column)
 
     return sets(text)
@@ -243,6 +248,94 @@ def _across(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.R
         yield from pairs(waiting.combine_chunks())
 
 
+def linked_in_group(sizes: np.ndarray, own: np.ndarray, tokens: np.ndarray, similarity: int) -> list[tuple[int, int]]:
+    """Links (x, y) that connect all similar sets of a group of sets (tokens, one after the other); sets of one chunk
+    (own) meet in a group of that chunk only, unless all are of one. Each set is held as what it lacks of the
+    first one, in bits, and what it has beside; so an overlap is a count of bits and a few shared extras."""
+    n, at = len(sizes), np.concatenate([[0], np.cumsum(sizes)])
+    first = tokens[: at[1]]
+    place = np.searchsorted(first, tokens)
+    place[place == len(first)] = 0
+    known = first[place] == tokens
+    owner = np.repeat(np.arange(n), sizes)
+    has = np.zeros((n, (len(first) + 63) // 64 * 8), np.uint8)
+    held = np.zeros((1, has.shape[1] * 8), bool)
+    for x in range(n):
+        inside = place[at[x] : at[x + 1]][known[at[x] : at[x + 1]]]
+        held[:] = False
+        held[0, inside] = True
+        has[x] = np.packbits(held, axis=1)[0]
+    has = has.view(np.uint64)
+    extra, whose = tokens[~known], owner[~known]
+    order = np.argsort(extra, kind="stable")
+    extra, whose = extra[order], whose[order]
+    new = np.flatnonzero(np.append(True, extra[1:] != extra[:-1])) if len(extra) else np.zeros(0, int)
+    length = np.diff(np.append(new, len(extra)))
+    shared = length > 1
+    holders = [whose[b : b + c] for b, c in zip(new[shared].tolist(), length[shared].tolist())]
+    of_set: dict[int, list[np.ndarray]] = {}
+    for members in holders:
+        for x in members.tolist():
+            of_set.setdefault(x, []).append(members)
+    label, found, one_chunk = np.arange(n), [], bool((own == own[0]).all())
+    for x in range(1, n):
+        both = np.bitwise_count(has[:x] & has[x]).sum(axis=1, dtype=np.int64)
+        if x in of_set:
+            both += np.bincount(np.concatenate(of_set[x]), minlength=n)[:x]
+        ok = (100 * both >= similarity * (sizes[:x] + sizes[x] - both)) & (label[:x] != label[x])
+        if not one_chunk:
+            ok &= own[:x] != own[x]
+        like = np.flatnonzero(ok)
+        _, one = np.unique(label[like], return_index=True)
+        for y in like[one].tolist():
+            found.append((x, y))
+            low, high = sorted((label[x], label[y]))
+            label[label == high] = low
+    return found
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
+    """Links within each (root, i, j); rows come in that order, so one group is held at a time."""
+
+    def links(rows: list[tuple]) -> pa.RecordBatch:
+        s = np.array([r[0] for r in rows], np.int64)
+        sizes, own = np.array([len(r[2]) for r in rows]), np.array([r[1] for r in rows])
+        found = linked_in_group(sizes, own, np.concatenate([r[2] for r in rows]), similarity)
+        x, y = np.array(found, int).reshape(-1, 2).T
+        return pa.record_batch([pa.array(s[x]), pa.array(s[y])], ["u", "v"])
+
+    key, rows = None, []
+    for batch in batches:
+        lists = batch["tokens"]
+        at, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+        keys = zip(*(batch[c].to_pylist() for c in ("root", "i", "j")))
+        for k, (own_key, s, own) in enumerate(zip(keys, batch["s"].to_pylist(), batch["own"].to_pylist())):
+            if own_key != key:
+                if len(rows) > 1:
+                    yield links(rows)
+                key, rows = own_key, []
+            rows.append((s, own, values[at[k] : at[k + 1]].copy()))
+    if len(rows) > 1:
+        yield links(rows)
+
+
+def linked_in_groups(sets: DataFrame, similarity: int) -> DataFrame:
+    """(u, v) that connect all similar sets (s, root, tokens) of one root. A root of more than GROUP_TOKENS tokens is
+    dealt out in chunks, each of which meets each other one in a group (i, j)."""
+    total = sets.groupBy("root").agg(F.sum(F.size("tokens")).alias("t")).filter(F.col("t") > GROUP_TOKENS)
+    chunks = F.coalesce(F.ceil(F.col("t") / GROUP_TOKENS), F.lit(1)).cast("int")
+    dealt = (
+        sets.join(total, "root", "left")
+        .withColumn("chunks", chunks)
+        .withColumn("own", F.pmod(F.xxhash64("s"), "chunks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "s", "tokens")
+    )
+    keys = ["root", "i", "j"]
+    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "s")
+    return dealt.mapInArrow(lambda x: _grouped(x, similarity), "u bigint, v bigint")
+
+
 def _similar(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b) that are similar. Of each (a, part), the row without b comes first and has a's tokens."""
     mine = None
@@ -313,12 +406,12 @@ def linked_sets(sets: DataFrame, docs: DataFrame, width: int, similarity: int, t
     some = some.select("x.key", "x.tokens").join(named.select("key", "s"), "key")
     whole = kept(some.groupBy("s").agg(F.first("tokens").alias("tokens")), "candidate-tokens")
 
-    links = kept(similar(first, whole, similarity), "first-links")
-    label = components(links).withColumnRenamed("u", "s").withColumnRenamed("m", "label")
-    label = kept(label, "labels")
-    labelled = kept(
-        met.drop("c").join(label, "s", "left").withColumn("label", F.coalesce("label", "s")), "labelled-entries"
-    )
+    roots = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    roots = kept(roots.select(F.col("u").alias("s"), F.col("m").alias("root")), "roots")
+    links = kept(linked_in_groups(whole.join(roots, "s"), similarity), "group-links")
+    # Sets of one root are done with.
+    labelled = met.drop("c").join(roots, "s", "left").withColumn("label", F.coalesce("root", "s")).drop("root")
+    labelled = kept(labelled, "labelled-entries")
     mixed_up = labelled.groupBy("entry").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
     chunks = F.ceil(F.col("rows") / GROUP).cast("int")
     dealt = (
@@ -331,7 +424,7 @@ def linked_sets(sets: DataFrame, docs: DataFrame, width: int, similarity: int, t
     )
     dealt = dealt.repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j", "s")
     across = dealt.mapInArrow(lambda x: _across(x, similarity), "a bigint, b bigint").distinct()
-    across = kept(across.join(first, ["a", "b"], "left_anti"), "other-candidates")
+    across = kept(across, "other-candidates")
     return components(kept(links.union(similar(across, whole, similarity)), "links")).withColumnRenamed("u", "s")
 
 
