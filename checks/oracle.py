@@ -346,6 +346,22 @@ def month_sums() -> str:
     ]))
 
 
+KNOWN_TYPES = """['Area Not Designed For Parking', 'Boot Fee', 'Failed To Pay At Visitor Lot',
+  'Fire Lane - Blocking/Impeding', 'No Valid Permit', 'Parked In Dedicated Space', 'Parked In Loading Zone',
+  'Parked In Tow Zone', 'Parked In Wrong Direction', 'Tow Fee', 'Unauthorized Use of Permit',
+  'Not Parked Between Lines', 'Not In Assigned Area', 'Parking For Clinic Patients Only', 'Abandoned Vehicle',
+  'Backed In/Pulled Through Space', 'Expired Permit', 'Expired Hourly Parking', 'No License Plate Displayed',
+  'Parked In Visitor Space', 'DO NOT USE/TESTING', 'Something else']"""
+# The scheduled amount of each of these types, in their order.
+KNOWN_FINES = "[50, 60, 35, 60, 50, 50, 35, 50, 35, 60, 60, 50, 50, 50, 50, 35, 50, 35, 35, 50, NULL, NULL]"
+ALL_CODES = """CASE weathercode WHEN 0 THEN 'Clear sky' WHEN 1 THEN 'Mainly clear' WHEN 2 THEN 'Partly cloudy'
+  WHEN 3 THEN 'Overcast' WHEN 45 THEN 'Fog' WHEN 48 THEN 'Icy fog' WHEN 51 THEN 'Light drizzle'
+  WHEN 53 THEN 'Moderate drizzle' WHEN 55 THEN 'Heavy drizzle' WHEN 61 THEN 'Slight rain' WHEN 63 THEN 'Moderate rain'
+  WHEN 65 THEN 'Heavy rain' WHEN 71 THEN 'Slight snow' WHEN 73 THEN 'Moderate snow' WHEN 75 THEN 'Heavy snow'
+  WHEN 80 THEN 'Slight showers' WHEN 81 THEN 'Moderate showers' WHEN 82 THEN 'Violent showers'
+  WHEN 95 THEN 'Thunderstorm' WHEN 96 THEN 'Thunderstorm w/ hail' WHEN 99 THEN 'Thunderstorm w/ heavy hail'
+  ELSE 'Unknown' END"""
+
 SHIFTS = """
 shifts AS (
   SELECT 'Shift ' || CAST(i % 1000 AS VARCHAR) AS label, i * 104729 % 1000003 AS position,
@@ -398,6 +414,30 @@ ORACLE = {
     ),
     "range_label_orders": f"""SELECT o_orderkey, CASE {SEASON} ELSE 'Unknown' END AS season
       FROM orders""",
+    "default_rules": f"""
+      SELECT _seq, violation_type, status, fine_amount, fine_amount < 0 AS is_credit_adjustment,
+             fine_amount < 0 OR status IN ('Transfer', 'Zero Balance', 'Inactive')
+               OR coalesce(fine_amount = scheduled, FALSE) AS fine_validated,
+             CASE WHEN edge IN (1, 2, 7) THEN 'Fall 2025' WHEN edge IN (4, 5) THEN 'Spring 2026'
+                  ELSE 'Unknown' END AS semester
+      FROM (SELECT event_id AS _seq, {KNOWN_TYPES}[1 + event_id // 6 % 22] AS violation_type,
+                   {KNOWN_FINES}[1 + event_id // 6 % 22] AS scheduled, event_id % 8 AS edge,
+                   ['Unpaid', 'Transfer', 'Paid', 'Zero Balance', 'Inactive', 'Void', 'Appealed'][1 + event_id % 7]
+                     AS status,
+                   [35, 50, 60, 0, 40, -5][1 + event_id % 6] AS fine_amount FROM events)
+      WHERE violation_type <> 'DO NOT USE/TESTING'""",
+    "default_weather_rules": f"""
+      SELECT _seq, weathercode, {ALL_CODES} AS condition_label, precipitation_sum,
+             {bucket("precipitation_sum")} AS precip_bucket
+      FROM (SELECT event_id AS _seq, CAST(event_id % 101 AS INTEGER) AS weathercode,
+                   CAST(event_id % 41 AS DOUBLE) * 0.5E0 AS precipitation_sum FROM events)""",
+    "sql_daily_weather": sql(
+        [*TO_BILLABLE, *TO_WEATHER],
+        """SELECT condition_label, precip_bucket, count(DISTINCT (w.date, w.campus)) AS weather_days,
+                  count(citation_id) AS citation_count
+           FROM weather w LEFT JOIN billable c ON c.date = w.date AND c.campus = w.campus
+           GROUP BY condition_label, precip_bucket""",
+    ),
     "range_lookup_join": sql(
         [CITATIONS_RAW, SHIFTS], last_shift('c."timestamp" <= s."end"', "'Unknown'")
     ),

@@ -65,6 +65,36 @@ def range_label_orders(spark, sf):
     return labelled.select("o_orderkey", "season")
 
 
+def default_rules(spark, sf):
+    """Cleaned by the default rules: every amount of the schedule, every excusing status, both semesters."""
+    return c.clean_citations(t.ruled_citations(spark, sf), keep=[SEQ]).select(
+        SEQ, "violation_type", "status", "fine_amount", "is_credit_adjustment", "fine_validated", "semester"
+    )
+
+
+def default_weather_rules(spark, sf):
+    """Every weather code from 0 to 100, and precipitation on and around the bounds of the buckets."""
+    rules, e = WeatherRules(), F.col(SEQ)
+    rows = t.readings_raw(spark, sf).withColumns(
+        {"weathercode": (e % 101).cast("int"), "precipitation_sum": (e % 41).cast("double") * 0.5}
+    )
+    rows = w.label_codes(rows, rules.code_labels)
+    rows = w.add_bucket(rows, rules.dry_label, rules.upper_bounds, rules.wettest_label)
+    return rows.select(SEQ, "weathercode", "condition_label", "precipitation_sum", "precip_bucket")
+
+
+def sql_daily_weather(spark, sf):
+    """Both views in one query."""
+    register_views(t.citations(spark, sf).drop(SEQ), t.weather(spark, sf).drop(SEQ))
+    return spark.sql("""
+        SELECT w.condition_label, w.precip_bucket, COUNT(DISTINCT w.date, w.campus) AS weather_days,
+               COUNT(c.citation_id) AS citation_count
+        FROM daily_weather w LEFT JOIN citations c
+          ON c.date = w.date AND c.campus = w.campus AND c.is_credit_adjustment = 0
+        GROUP BY w.condition_label, w.precip_bucket
+    """)
+
+
 def range_lookup_join(spark, sf):
     """Every citation with the last of thousands of overlapping shifts."""
     rows = _named(spark, sf).select(SEQ, "timestamp")
@@ -422,6 +452,9 @@ QUERIES = {
     "calendar_columns": calendar_columns,
     "range_label": range_label,
     "range_label_orders": range_label_orders,
+    "default_rules": default_rules,
+    "default_weather_rules": default_weather_rules,
+    "sql_daily_weather": sql_daily_weather,
     "range_lookup_join": range_lookup_join,
     "range_lookup_whole_days": range_lookup_whole_days,
     "clean_fact": clean_fact,
