@@ -493,6 +493,11 @@ ORACLE = {
         """SELECT c._seq, c.citation_id, c.date, c.campus, w.precip_bucket, w.condition_label
            FROM citations c LEFT JOIN weather w ON c.date = w.date AND c.campus = w.campus""",
     ),
+    "fact_enrichment_salted": sql(
+        [*TO_CLEAN, *TO_WEATHER],
+        """SELECT c._seq, c.citation_id, c.date, c.campus, w.precip_bucket, w.condition_label
+           FROM citations c LEFT JOIN weather w ON c.date = w.date AND c.campus = w.campus""",
+    ),
     "lookup_join": """SELECT c_custkey, c.n_nationkey, coalesce(n.n_name, 'Unknown') AS n_name
       FROM (SELECT c_custkey, CASE WHEN c_custkey % 17 = 3 THEN c_nationkey + 100
                                    WHEN c_custkey % 19 <> 4 THEN c_nationkey END AS n_nationkey

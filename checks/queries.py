@@ -183,6 +183,13 @@ def fact_enrichment(spark, sf):
     )
 
 
+def fact_enrichment_salted(spark, sf):
+    """The same with days that hold a large part of the citations dealt out."""
+    return joins.attach_weather_salted(t.citations(spark, sf), t.weather(spark, sf), shares=200).select(
+        SEQ, "citation_id", "date", "campus", "precip_bucket", "condition_label"
+    )
+
+
 def lookup_join(spark, sf):
     """Some customers have a nation that nobody knows, or none."""
     i, key = F.col("c_custkey"), F.col("c_nationkey")
@@ -476,6 +483,7 @@ QUERIES = {
     "citation_rollup": citation_rollup,
     "sql_status_share": sql_status_share,
     "fact_enrichment": fact_enrichment,
+    "fact_enrichment_salted": fact_enrichment_salted,
     "lookup_join": lookup_join,
     "required_columns": required_columns,
     "insert_if_absent": insert_if_absent,
