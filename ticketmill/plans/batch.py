@@ -323,13 +323,14 @@ def table_reports(spark: SparkSession, out: Layout) -> Written:
     loads touched are read from the citations. Where the sums can't be made, no report is."""
     try:
         renewed = partials.renew_months(spark, out.report_sums, out.citations)
+        kept = partials.read_sums(spark, out.report_sums)
     except Exception as e:
         log.exception("report sums failed")
         return Written({}, {r.name: f"{type(e).__name__}: {e}" for r in TABLE_REPORTS})
     log.info("report sums made for %s months", len(renewed))
 
     def write(report: Report) -> int:
-        sums = partials.sums_of(partials.read_sums(spark, out.report_sums), report.name)
+        sums = partials.sums_of(kept, report.name)
         rows = report.rows(sums, read_weather(spark, out.weather) if report.uses_weather else None)
         return write_report(rows, f"{out.reports}/{report.name}", report.sort_columns())
 
