@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,32 @@ def test_bin_completion_is_optimal_on_small_inputs():
         assert packing.n_bins(plan) == smallest(counts, capacity)
 
 
+def test_bin_completion_beats_best_fit_on_the_given_documents():
+    texts = pq.read_table(f"{SF}/../sf0.01/documents.parquet", columns=["text"])["text"].combine_chunks()
+    counts = Counter()
+    for part in packing.slices(texts):
+        cut = packing.pieces(part, 1024, BYTES, RANKS, False)
+        counts.update(cut.flatten().field("length").to_pylist())
+    plan = packing.bin_completion(counts, 1024)
+    held = Counter()
+    for lengths, n in plan:
+        assert sum(lengths) <= 1024 and n > 0
+        held.update({x: k * n for x, k in Counter(lengths).items()})
+    assert held == counts
+    assert packing.n_bins(plan) < packing.n_bins(packing.best_fit(counts, 1024))
+    assert packing.n_bins(plan) <= packing.least_bins(counts, 1024) + 1
+
+
+def test_least_bins_is_no_more_than_the_least():
+    rng = random.Random(9)
+    for _ in range(60):
+        capacity = rng.randint(5, 30)
+        counts = dict(Counter(rng.randint(1, capacity) for _ in range(rng.randint(0, 10))))
+        assert packing.waste_bound(counts, capacity) <= packing.least_bins(counts, capacity)
+        assert packing.least_bins(counts, capacity) <= smallest(counts, capacity)
+    assert packing.least_bins({7: 3, 5: 3, 4: 3}, 10) > packing.waste_bound({7: 3, 5: 3, 4: 3}, 10)
+
+
 def test_bin_completion_of_many_equal_lengths():
     plan = packing.bin_completion({600: 10**6, 400: 10**6, 24: 10**6, 1: 3})
     assert packing.n_bins(plan) == 10**6 + 1

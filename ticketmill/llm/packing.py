@@ -9,6 +9,7 @@ its number gives its sequence and place. So the plan is as large as the limit, w
 from __future__ import annotations
 
 import base64
+import random
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -37,6 +38,10 @@ FILLINGS = 600
 #: Steps of the search that may undo choices, once few enough bins are left for it to matter.
 BRANCHES = 300
 BRANCH_BINS = 40
+#: Groups of bins that are completed anew until the bound is met, the largest group, and steps for one.
+GROUPS = 6_000
+GROUP_BINS = 24
+GROUP_STEPS = 60
 
 # ---------------------------------------------------------------- tokens
 
@@ -165,30 +170,34 @@ def pieces(column: pa.Array, capacity: int, vocabulary: str, ranks: str, ids: bo
 # ---------------------------------------------------------------- plan
 
 
-def completions(counts: dict[int, int], room: int, limit: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of `room` from the lengths at hand, the fullest first.
+def completions(
+    counts: dict[int, int], room: int, limit: int, perfect: int = 4, long_first: bool = False
+) -> list[tuple[int, ...]]:
+    """Undominated fillings of `room` from the lengths at hand, the fullest first; of equally full ones,
+    those of short lengths, or with `long_first` of long ones.
 
     A filling is dominated if one of its lengths, or the free room, can take a longer length at hand
     instead: the longer one is harder to place later. The search takes lengths in falling order and adds
-    while something fits. It ends after `limit` steps, or with four fillings that leave nothing free.
+    while something fits. It ends after `limit` steps, or with `perfect` fillings that leave nothing free.
     """
     lengths = sorted((x for x, n in counts.items() if n and x <= room), reverse=True)
     rising = lengths[::-1]
     found: set[tuple[int, tuple[int, ...]]] = set()
-    steps = 0
+    steps = full = 0
 
     def extend(i: int, left: int, chosen: tuple[int, ...]) -> bool:
-        nonlocal steps
+        nonlocal steps, full
         steps += 1
         i = max(i, len(lengths) - bisect_right(rising, left))
         if i == len(lengths):  # nothing else fits
             found.add((left, chosen))
+            full += not left
         for j in range(i, len(lengths)):
             x = lengths[j]
             for k in range(min(counts[x], left // x), 0, -1):
                 if extend(j + 1, left - k * x, chosen + (x,) * k):
                     return True
-        return steps > limit or sum(not rest for rest, _ in found) >= 4
+        return steps > limit or full >= perfect
 
     extend(0, room, ())
 
@@ -202,7 +211,7 @@ def completions(counts: dict[int, int], room: int, limit: int) -> list[tuple[int
                     return True
         return False
 
-    ranked = sorted(found)
+    ranked = sorted(found, key=lambda x: (x[0], [-y for y in x[1]] if long_first else x[1]))
     return [f for rest, f in ranked if not dominated(rest, f)] or [ranked[0][1]]
 
 
@@ -249,6 +258,18 @@ def waste_bound(counts: dict[int, int], capacity: int) -> int:
     return max(-(-volume // capacity), halves)
 
 
+def least_bins(counts: dict[int, int], capacity: int) -> int:
+    """The largest of the waste bounds without the lengths below k, for every k up to half the capacity.
+    Lengths over capacity - k then share a bin with nothing, the others over half only with what is left."""
+    best = waste_bound(counts, capacity)
+    lengths = [x for x, n in counts.items() if n]
+    for k in sorted(x for x in lengths if 2 * x <= capacity):
+        alone = sum(counts[x] for x in lengths if x > capacity - k)
+        rest = {x: counts[x] for x in lengths if k <= x <= capacity - k}
+        best = max(best, alone + waste_bound(rest, capacity))
+    return best
+
+
 def n_bins(plan: list[tuple[tuple[int, ...], int]]) -> int:
     return sum(n for _, n in plan)
 
@@ -261,11 +282,16 @@ def bin_completion(
     Bins are completed around the longest length left, by the undominated filling that wastes least,
     as many alike as the counts allow. Best-fit decreasing gives the incumbents: of all lengths at the
     start, of the rest at every branch. A branch is left once its bins and the waste bound of its rest
-    reach the incumbent. While
-    many bins are left, the first choice is followed; for the last BRANCH_BINS, all choices are searched, the
-    best first, for up to BRANCHES steps. The bound met, the plan is optimal; otherwise the best known.
+    reach the incumbent. While many bins are left, the first choice is followed; for the last BRANCH_BINS, all
+    choices are searched, the best first, for up to BRANCHES steps. A plan above the bound is then completed anew
+    in small groups of its bins (`regrouped`). The bound met, the plan is optimal; otherwise the best known.
     """
     left = {x: n for x, n in counts.items() if n}
+    return regrouped(first_plan(left, capacity), least_bins(left, capacity), capacity)
+
+
+def first_plan(left: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The better of best-fit decreasing and bin completion that branches over its last bins."""
     done: list[tuple[tuple[int, ...], int]] = []
     incumbent = best_fit(left, capacity)
     bound = waste_bound(left, capacity)
@@ -330,6 +356,79 @@ def branch(
     return None if best is None else list(Counter(best).items())
 
 
+def regrouped(
+    plan: list[tuple[tuple[int, ...], int]], bound: int, capacity: int
+) -> list[tuple[tuple[int, ...], int]]:
+    """The plan with groups of its bins completed anew, until it has `bound` bins or after GROUPS groups.
+
+    Half of a group are bins with much free room, half any bins. It is replaced if bin completion needs fewer
+    bins for it, or as many with the free room more in one place; so room gathers until a bin is saved. What
+    is found for a group is done for as many like it as there are. The choice is drawn with a fixed seed.
+    """
+    draw = random.Random(capacity)
+    bins = Counter(dict(plan))
+    total = n_bins(plan)
+    tried = 0
+
+    def room(bin_: tuple[int, ...]) -> int:
+        return capacity - sum(bin_)
+
+    while total > bound and tried < GROUPS:
+        kinds = [b for b in sorted(bins) if len(b) > 1 or room(b)]
+        if len(kinds) < 2:
+            break
+        loose = sorted(kinds, key=lambda b: -(draw.random() ** (1 / (room(b) + 0.5))))
+        draw.shuffle(kinds)
+        at = 0
+        while at < max(len(loose) // 4, 1) and total > bound and tried < GROUPS:
+            half = draw.randint(1, GROUP_BINS // 2)
+            group = {b for b in (*loose[at : at + half], *kinds[at : at + half]) if bins[b]}
+            at += half
+            tried += 1
+            if len(group) < 2:
+                continue
+            pieces_ = dict(Counter(x for b in group for x in b))
+            new = completed(pieces_, capacity, len(group), draw.random() < 0.5)
+            if new is None:
+                continue
+            gathered = sum(room(b) ** 2 for b in new) >= sum(room(b) ** 2 for b in group)
+            if len(new) == len(group) and (not gathered or set(new) == group):
+                continue
+            many = min(bins[b] for b in group)
+            for b in group:
+                bins[b] -= many
+                if not bins[b]:
+                    del bins[b]
+            for b in new:
+                bins[b] += many
+            total -= many * (len(group) - len(new))
+    return sorted(bins.items(), reverse=True)
+
+
+def completed(
+    counts: dict[int, int], capacity: int, limit: int, long_first: bool
+) -> list[tuple[int, ...]] | None:
+    """At most `limit` bins for these lengths by bin completion, the first that GROUP_STEPS steps find."""
+    steps = 0
+
+    def search(left: dict[int, int], used: list[tuple[int, ...]]) -> list[tuple[int, ...]] | None:
+        nonlocal steps
+        steps += 1
+        if not left:
+            return used
+        if len(used) + waste_bound(left, capacity) > limit:
+            return None
+        x = max(left)
+        rest = without(left, (x,), 1)
+        for filling in completions(rest, capacity - x, FILLINGS // 2, 1, long_first):
+            found = search(without(rest, filling, 1), [*used, (x, *filling)])
+            if found is not None or steps > GROUP_STEPS:
+                return found
+        return None
+
+    return search(counts, [])
+
+
 def slots(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int, int]]:
     """(length, first rank, end rank, first sequence, sequences, offset): by their ranks from the first
     on, pieces of that length go round the sequences, each round one place further in them."""
