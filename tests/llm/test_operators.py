@@ -1,7 +1,9 @@
 """Each operator against brute force, on small tables with nulls, ties, repeats and clashing columns."""
 
 import hashlib
+import itertools
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -256,6 +258,95 @@ def test_decoding_never_returns_to_the_article():
     assert pages.decode(tree, np.array([-9.0, 5.0, -9.0, 0.1])) == [False, True, False, False]
 
 
+def all_text(page):
+    """The text of a page of which everything is taken."""
+    tree = pages.parse(page)
+    return pages.block_text(tree, [True] * len(tree.tag))
+
+
+def test_formulas_drawings_and_objects_keep_their_text():
+    assert all_text("<p>one <math>x=2</math> two</p>") == "one x=2 two"
+    assert all_text("<p>one <math><mi>x</mi><mo>=</mo><mn>2</mn></math> two") == "one x=2 two"
+    assert all_text("<p>a <object data=f>shown instead</object> b</p>") == "a shown instead b"
+    assert all_text("<p>one</p><svg><path d=1><p>two</p></article>") == "one\ntwo"
+    assert all_text("<p>one</p><math><mi>x<p>two</p>") == "one\nx\ntwo"
+    assert all_text("<p>one</p><select><option>x<p>two</p>").split("\n")[-1] == "two"
+    assert all_text("<p>one</p><object><p>two</p>") == "one\ntwo"
+    assert all_text("<p>one</p><select><option>x</option></select><p>two</p>") == "one\ntwo"
+    assert all_text("<p>one</p><script>x = '<p>two</p>'") == "one"
+    assert all_text("a < b <3 <a 'open <b>c</b>") == "a < b <3 <a 'open c"
+
+
+@pytest.mark.parametrize("part", ["<a '", "<a \"'", "<a", "<!", "<object>", "<svg>", "<select>", "<b></x>", "<span></b>"])
+def test_broken_pages_are_parsed_in_time_that_follows_their_length(part):
+    begin = time.process_time()
+    for tail in ("", '">'):
+        pages.parse("<b><div>" + part * ((1 << 20) // len(part)) + tail)
+    assert time.process_time() - begin < 30
+
+
+def test_decoding_against_all_labels_of_small_trees():
+    rng = random.Random(31)
+    further = {0: (0, 1), 1: (1, 2), 2: (2,)}
+    for _ in range(80):
+        n = rng.randint(2, 8)
+        tree = pages.Tree([""] * n, [-1, *(rng.randrange(i) for i in range(1, n))], [0] * n, [None] * n,
+                          [rng.choice([0, 0, 3, 50]) for _ in range(n)], [0] * n, [])
+        logits = np.array([rng.gauss(0, 2) for _ in range(n)])
+        weight = 1 + np.log1p(np.array(tree.own, float))
+        score = np.stack([-np.logaddexp(0, logits), -np.logaddexp(0, -logits)]) * weight
+
+        def value(labels):
+            return sum(score[int(x), i] for i, x in enumerate(labels) if i)
+
+        best = max(
+            value([s == 1 for s in states])
+            for states in itertools.product((0, 1, 2), repeat=n)
+            if states[0] == 0 and all(states[i] in further[states[tree.parent[i]]] for i in range(1, n))
+        )
+        assert value(pages.decode(tree, logits)) == pytest.approx(best)
+
+
+def test_boosted_trees_against_plain_boosting(monkeypatch):
+    monkeypatch.setattr(pages, "TREES", 5)
+    monkeypatch.setattr(pages, "DEPTH", 2)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 3))
+    y = (x[:, 0] + x[:, 1] ** 2 + rng.normal(size=60) > 0.5).astype(float)
+    weight = rng.choice([1.0, 6.0], 60)
+    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, pages.BINS + 1)[1:-1])) for c in x.T]
+    logit = np.full(60, np.log(y.mean() / (1 - y.mean())))
+    for _ in range(5):
+        p = 1 / (1 + np.exp(-logit))
+        g, h = weight * (y - p), weight * p * (1 - p)
+
+        def part(rows):
+            return g[rows].sum() ** 2 / (h[rows].sum() + pages.SHRINK)
+
+        def grow(rows, depth):
+            if depth == 2:
+                logit[rows] += pages.RATE * g[rows].sum() / (h[rows].sum() + pages.SHRINK)
+                return
+            gain, f, c = max(
+                (part(rows[x[rows, f] <= c]) + part(rows[x[rows, f] > c]) - part(rows), f, c)
+                for f in range(3) for c in cuts[f]
+            )
+            low = x[rows, f] <= c if gain > pages.LEAST_GAIN else np.ones(len(rows), bool)
+            grow(rows[low], depth + 1)
+            grow(rows[~low], depth + 1)
+
+        grow(np.arange(60), 0)
+    assert pages.boost(x, y, weight).logits(x) == pytest.approx(logit)
+
+
+def test_pages_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "page_id bigint, html string, text int")
+    model = pages.train(none)
+    assert pages.extract(none, model).count() == 0
+    some = spark.createDataFrame([(1, None), (2, "")], "page_id bigint, html string")
+    assert {(r["text"], r["n_chars"]) for r in pages.extract(some, model).collect()} == {("", 0)}
+
+
 # ---------------------------------------------------------------- chat
 
 

@@ -38,11 +38,19 @@ LEAST_GAIN, SHRINK = 1e-6, 1.0
 # ---------------------------------------------------------------- fixed values of the language
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object head title textarea select".split())
+#: Their content is no text of the page: of the first up to the page's end if nothing closes them, of the
+#: others only if something does.
+RAW = frozenset("script style title textarea".split())
+UNSHOWN = frozenset("head noscript template iframe select".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr "
+    "object svg g defs use path rect circle ellipse line polyline polygon text tspan textpath desc symbol "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup mover munder munderover mfenced mstyle "
+    "mspace mpadded mphantom mtable mtr mtd semantics annotation".split()
 )
+#: A block ends these, however many of their elements are open.
+FOREIGN = frozenset(["svg", "math"])
 #: A start tag of these ends an open element of the other kind, up to the nearest container.
 CLOSED_BY = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -77,11 +85,11 @@ WORD_GROUP: list[tuple[str, int]] = sorted(
 )
 ROLE_GROUP = {role: list(WORDS).index(g) for role, g in ROLES.items()}
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S
-)
+NAME_END = re.compile(r"[\s/>]")
+SPECIAL = re.compile(r"""[>"']""")
 ATTRIBUTE = re.compile(r"""(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW | UNSHOWN}
 
 # ---------------------------------------------------------------- tree
 
@@ -118,58 +126,135 @@ def word_bits(value: str, seen: dict[str, int]) -> int:
 _seen: dict[str, int] = {}
 
 
+class Next:
+    """Where a pattern is next found, for places that mostly rise: what was looked through isn't again."""
+
+    def __init__(self, pattern: re.Pattern, page: str) -> None:
+        self.pattern, self.page = pattern, page
+        self.low, self.found = 0, -1
+
+    def at(self, place: int) -> int:
+        """The first place from there on; the page's length if there is none."""
+        if not self.low <= place <= self.found:
+            match = self.pattern.search(self.page, place)
+            self.low, self.found = place, match.start() if match else len(self.page)
+        return self.found
+
+
+class Tags:
+    """Ends of a page's tags, in time that follows the page's length also if quotes stay open.
+
+    A quote hides what is in it. A tag whose quote or bracket stays open is no tag. A quote from which no
+    end was reached is remembered, so no later tag goes the same way again."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.names, self.specials = Next(NAME_END, page), Next(SPECIAL, page)
+        self.last = {c: page.rfind(c) for c in ">'\""}
+        self.dead: set[int] = set()
+
+    def end(self, place: int) -> int:
+        """The place of the bracket that ends the tag whose attributes begin there, or -1."""
+        seen = []
+        at = self.specials.at(place) if place <= self.last[">"] else len(self.page)
+        while at <= self.last[">"]:
+            quote = self.page[at]
+            if quote == ">":
+                return at
+            if at in self.dead or at == self.last[quote]:
+                break
+            seen.append(at)
+            at = self.page.find(quote, at + 1) + 1
+            if at > self.last[">"]:
+                break
+            at = SPECIAL.search(self.page, at).start()
+        self.dead.update(seen)
+        return -1
+
+
 def parse(page: str) -> Tree:
     tree = Tree([""], [-1], [0], [None], [0], [0], [])
     open_, at, end = [0], 0, len(page)
-    in_link = 0
+    places: dict[str, list[int]] = {}  # of each tag, where its open elements are in open_
+    barriers = [0]
+    tags, unclosed = Tags(page), set()
+
+    def close(k: int) -> bool:
+        """Ends the open elements from the k-th on; whether one of them is a block."""
+        block = False
+        while len(open_) > k:
+            tag = tree.tag[open_.pop()]
+            places[tag].pop()
+            if tag in BARRIER:
+                barriers.pop()
+            block |= tag not in INLINE
+        return block
+
+    def add_text(text: str) -> None:
+        here = open_[-1]
+        text = html.unescape(text) if "&" in text else text
+        size = len(text) - text.count(" ") if text.isspace() else len(text)
+        if text.strip():
+            tree.own[here] += size
+            tree.links[here] += size if places.get("a") else 0
+        tree.parts.append((here, text))
+
     while at < end:
-        match = TOKEN.match(page, at)
-        at = match.end()
-        name = match[2]
-        if name is None:
-            text = match[0]
-            if text[0] != "<" or len(text) == 1:
-                here = open_[-1]
-                text = html.unescape(text) if "&" in text else text
-                size = len(text) - text.count(" ") if text.isspace() else len(text)
-                if text.strip():
-                    tree.own[here] += size
-                    tree.links[here] += size if in_link else 0
-                tree.parts.append((here, text))
+        if page[at] != "<":
+            start, at = at, page.find("<", at)
+            at = at if at >= 0 else end
+            add_text(page[start:at])
             continue
-        name = name.lower()
-        if match[1]:
-            for k in range(len(open_) - 1, 0, -1):
-                if tree.tag[open_[k]] == name:
-                    in_link -= sum(tree.tag[i] == "a" for i in open_[k:])
-                    if any(tree.tag[i] not in INLINE for i in open_[k:]):
-                        tree.parts.append((tree.parent[open_[k]], None))
-                    del open_[k:]
-                    break
-                if tree.tag[open_[k]] in BARRIER and name in INLINE:
-                    break
+        if page.startswith("<!--", at):
+            stop = page.find("-->", at + 4)
+            at = stop + 3 if stop >= 0 else end
             continue
-        if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            if name not in ("head", "noscript", "template", "object"):
-                if not match[3].endswith("/"):
-                    at = close.end() if close else end
-                continue
-            at = close.end() if close else at
+        if page.startswith(("<!", "<?"), at) and at < tags.last[">"]:
+            at = page.find(">", at) + 1
+            continue
+        ending = page.startswith("</", at)
+        begin = at + 1 + ending
+        stop = -1
+        if begin < end and page[begin].isascii() and page[begin].isalpha():
+            name_end = tags.names.at(begin)
+            stop = tags.end(name_end)
+        if stop < 0:
+            add_text("<")
+            at += 1
             continue
-        if name in ("html",):
+        name, attributes = page[begin:name_end].lower(), page[name_end:stop]
+        at = stop + 1
+        if ending:
+            if places.get(name):
+                k = places[name][-1]
+                if name not in INLINE or barriers[-1] < k:
+                    above = tree.parent[open_[k]]
+                    if close(k):
+                        tree.parts.append((above, None))
             continue
-        # What the start tag ends: an open paragraph if it is a block, its own kind if an item.
-        ends = CLOSED_BY.get(name, frozenset())
+        if name in CLOSE:
+            closing = CLOSE[name].search(page, at) if name not in unclosed else None
+            if closing:
+                if name in UNSHOWN or not attributes.endswith("/"):
+                    at = closing.end()
+            else:
+                unclosed.add(name)
+                if name in RAW and not attributes.endswith("/"):
+                    at = end
+            if closing or name in RAW or name == "head":
+                continue
+        if name == "html":
+            continue
+        # What the start tag ends: an open paragraph or formula if it is a block, its own kind if an item.
         block = name not in INLINE
-        for k in range(len(open_) - 1, 0, -1):
-            tag = tree.tag[open_[k]]
-            if tag in ends or block and tag == "p":
-                in_link -= sum(tree.tag[i] == "a" for i in open_[k:])
-                del open_[k:]
-                break
-            if tag in BARRIER:
-                break
+        ends = CLOSED_BY.get(name, frozenset()) | (frozenset(["p"]) if block else frozenset())
+        if block and name in GROUP_OF:
+            out = min((places[tag][0] for tag in FOREIGN if places.get(tag)), default=0)
+            if out > barriers[-1]:
+                close(out)
+        k = max((places[tag][-1] for tag in ends if places.get(tag)), default=0)
+        if k > barriers[-1]:
+            close(k)
         parent = open_[-1]
         if name == "br":
             tree.parts.append((parent, " "))
@@ -178,25 +263,26 @@ def parse(page: str) -> Tree:
             tree.parts.append((parent, None))
         here = len(tree.tag)
         bits, mark = 0, None
-        if match[3]:
-            for a in ATTRIBUTE.finditer(match[3]):
-                value = a[2] or a[3] or a[4] or ""
-                kind = a[1].lower()
-                if kind == "data-main":
-                    mark = int(value == "1")
-                else:
-                    bits |= word_bits(value, _seen)
-                    if kind == "role" and value.lower() in ROLE_GROUP:
-                        bits |= 1 << ROLE_GROUP[value.lower()]
+        for a in ATTRIBUTE.finditer(attributes):
+            value = a[2] or a[3] or a[4] or ""
+            kind = a[1].lower()
+            if kind == "data-main":
+                mark = int(value == "1")
+            else:
+                bits |= word_bits(value, _seen)
+                if kind == "role" and value.lower() in ROLE_GROUP:
+                    bits |= 1 << ROLE_GROUP[value.lower()]
         tree.tag.append(name)
         tree.parent.append(parent)
         tree.words.append(bits)
         tree.mark.append(mark)
         tree.own.append(0)
         tree.links.append(0)
-        if name not in VOID and not match[3].endswith("/"):
+        if name not in VOID and not attributes.endswith("/"):
+            places.setdefault(name, []).append(len(open_))
+            if name in BARRIER:
+                barriers.append(len(open_))
             open_.append(here)
-            in_link += name == "a"
     return tree
 
 
