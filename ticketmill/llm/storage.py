@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -34,6 +35,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that have ended, which it does once the driver collects them.
+
+    Called after kept(), when what was shuffled is written and nothing reads the files again; by itself the
+    driver may not collect for half an hour. Spark keeps all files that some frame still needs.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def remove_kept(spark: SparkSession) -> None:
     """Delete every table that kept() wrote in this process; frames that read them end."""
     jvm = spark.sparkContext._jvm
