@@ -580,6 +580,57 @@ def test_links_go_to_first_and_last_places_in_earlier_documents():
         assert got == wanted
 
 
+def test_matches_that_may_grow_to_a_span_stay():
+    """The bits around two seeds never tell less than growth over the words themselves; most chance matches go."""
+    rng = random.Random(20)
+    near, side = passages.AROUND, 20
+
+    def some(n):
+        return [rng.getrandbits(64) for _ in range(n)]
+
+    def edited(words, share):
+        out = []
+        for w in words:
+            kind = rng.random()
+            out += [w] if kind > share else [] if kind < share / 4 else some(1) if kind < share * 3 / 4 else [w, *some(1)]
+        return (out + some(side))[:side]
+
+    def bits(before, after):
+        n = rng.randint(0, side)  # the text ends there
+        words = np.array([*some(3), *before[::-1], 1, 2, 3, 4, *after[:n], *some(2)], np.uint64)
+        owner = np.repeat([0, 1, 2], [3, side + 4 + n, 2])
+        return passages.around(words, owner, np.array([3 + side]))[0], after[:n]
+
+    rows, able = [], []
+    for _ in range(3000):
+        share = rng.choice([0, 0.1, 0.2, 0.3, 0.5, 1])
+        before, after = some(side), some(side)
+        others = edited(before, share), edited(after, share)
+        (a, right), (b, other_right) = bits(before, after), bits(*others)
+        rows.append((a, b))
+        grown = [passages.grown(x[:near], y[:near], passages.EDIT_COST)[0]
+                 for x, y in ((before, others[0]), (right, other_right))]
+        able.append(sum(grown) >= passages.SPAN_WORDS - passages.SEED_WORDS)
+    a, b = np.array(rows).T
+    got = passages.may_span(a, b)
+    assert got[np.array(able)].all()
+    assert passages.may_span(np.zeros(1, np.int64), np.zeros(1, np.int64)).all()  # long seeds
+    chance = passages.may_span(a, np.roll(a, 1))
+    assert chance.mean() < 0.15
+
+
+def test_links_of_seeds_in_unlike_words_go():
+    same, other = 0o1234567012345670, 0o7654321076543217
+    rows = [(5, 1, 10, same), (5, 2, 20, other), (5, 3, 30, same), (6, 4, 1, 0), (6, 5, 1, 0)]
+    for size in (1, 2, 5):
+        batches = [
+            pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows[i : i + size])], ["hash", "doc", "at", "around"])
+            for i in range(0, len(rows), size)
+        ]
+        got = sorted(tuple(r.values()) for b in passages.linked(iter(batches)) for r in b.to_pylist())
+        assert got == [(3, 30, 1, 10), (5, 1, 4, 1)]
+
+
 @pytest.mark.parametrize("times", [1, 8])
 def test_passages_of_phrases_that_other_documents_have(spark, times):
     """Every run of five words of a passage stands also in some unrelated documents before and between."""
