@@ -29,10 +29,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
     It cuts the lineage: a lost executor costs its running tasks, nothing that is written.
     """
+    return kept_at(df, name)[0]
+
+
+def kept_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """What kept() gives, and the folder, for remove()."""
     path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def free_shuffles(spark: SparkSession) -> None:
@@ -45,9 +50,14 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a table of kept_at() that no frame reads any more, what was made of it being written."""
+    _written.remove(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remove_kept(spark: SparkSession) -> None:
     """Delete every table that kept() wrote in this process; frames that read them end."""
-    jvm = spark.sparkContext._jvm
     while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, _written[-1])
