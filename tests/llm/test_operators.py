@@ -652,6 +652,74 @@ def test_passages_of_phrases_that_other_documents_have(spark, times):
     assert {i: w for i, w in found.items() if w} == {last + i: set(range(20, 80)) for i in range(10)}
 
 
+def further_than_others(rows):
+    """All links that linked() may not leave out, by comparing each row with all before it."""
+    wanted = set()
+    for h, doc, at, *bits in rows:
+        earlier = [r for r in rows if r[0] == h and r[1] < doc]
+        copy = next((r for r in earlier if r[3:] == tuple(bits)), None)
+        reached = []
+        for r in [copy] if copy else earlier:
+            before, after = (int(x[0]) for x in passages.reaches(*((np.array([a]), np.array([b])) for a, b in zip(bits, r[3:]))))
+            if (before + after >= 8 or bits[1] >= passages.LONG) and not any(x >= before and y >= after for x, y in reached):
+                wanted.add((doc, at, r[1], r[2]))
+                reached.append((before, after))
+    return wanted
+
+
+def test_no_earlier_place_of_a_seed_is_left_out_that_reaches_further(monkeypatch):
+    rng = random.Random(24)
+    rows = []
+    for h in range(12):
+        kinds = [[rng.randint(0, 7) for _ in range(16)] for _ in range(6)]
+        for _ in range(60):
+            words = list(rng.choice(kinds))
+            for _ in range(rng.choice([0, 1, 2, 4])):
+                words[rng.randrange(16)] = rng.randint(0, 7)
+            near = sum(w << 3 * i for i, w in enumerate(words))
+            rows.append((h, rng.randint(0, 50), 10 * h + rng.randint(0, 9), near, near ^ (passages.LONG if h % 3 == 0 else 0)))
+    rows = sorted({r[:3]: r for r in rows}.values())
+    wanted = further_than_others(rows)
+    for size, pairs in ((1, 1 << 17), (50, 7), (1000, 100), (1000, 1 << 17)):
+        monkeypatch.setattr(passages, "PAIRS", pairs)
+        batches = [
+            pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows[i : i + size])],
+                            ["hash", "doc", "at", "around", "further"])
+            for i in range(0, len(rows), size)
+        ]
+        got = [tuple(r.values()) for b in passages.linked(iter(batches)) for r in b.to_pylist()]
+        assert len(got) == len(set(got)) and wanted <= set(got)
+        assert len(got) < len(rows) * 12  # but not with all
+
+
+def test_a_place_between_the_first_and_the_last_is_found():
+    """Of twelve documents with a seed, the sixth has the words around it that the last has."""
+    rng = random.Random(25)
+    bits = [rng.getrandbits(48) for _ in range(11)]
+    rows = [(5, doc, 10, b, b) for doc, b in enumerate([*bits, bits[5]])]
+    batch = pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], ["hash", "doc", "at", "around", "further"])
+    got = [tuple(r.values()) for b in passages.linked(iter([batch])) for r in b.to_pylist()]
+    assert (11, 10, 5, 10) in got
+
+
+def test_edited_passages_of_phrases_that_other_documents_have(spark):
+    """Every run of seven words between the edits of a passage stands also in unrelated documents before and between."""
+    rng = random.Random(26)
+    shared = [words_of(rng, 63) for _ in range(6)]
+
+    def scattered():
+        runs = [p[i : i + 7] for p in shared for i in range(0, 63, 8)]
+        rng.shuffle(runs)
+        return [sum((r + words_of(rng, 9) for r in runs[k::6]), []) for k in range(6)]
+
+    before, between = (sum((scattered() for _ in range(6)), []) for _ in range(2))
+    originals = [words_of(rng, 20) + p + words_of(rng, 20) for p in shared]
+    copies = [words_of(rng, 20) + [w if i % 8 != 7 else "zz" for i, w in enumerate(p)] + words_of(rng, 20) for p in shared]
+    found = found_in(spark, before + originals + between + copies)
+    last = len(before) + len(originals) + len(between)
+    assert {i: w for i, w in found.items() if w} == {last + i: set(range(20, 83)) for i in range(6)}
+
+
 def test_growth_equals_brute_force():
     rng = random.Random(12)
     for _ in range(300):

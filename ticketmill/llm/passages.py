@@ -1,9 +1,10 @@
 """Substring dedup: passages that documents share, word by word or nearly so.
 
-Seeds are runs of four words, and of twelve, those with the smallest hash in each stretch of text. Every
-seed is linked with its first occurrence and its last few in earlier documents, never with all: a passage
-of n documents gives some n matches of each seed, times a constant. A seed brings a few bits of each word around
-it, and matches around which too little can be alike go before they are sent on. The matches of two documents are chained in order with gap costs through a
+Seeds are runs of four words, and of twelve, those with the smallest hash in each stretch of text. A seed brings a
+few bits of each word around it. Every seed is compared with all its occurrences in earlier documents, but linked only
+with its first and its last few, and with each one whose words around are alike further than those of any document
+before that one: a passage of n documents gives some n matches of each seed, times a constant. Matches around which
+too little can be alike go before they are sent on. The matches of two documents are chained in order with gap costs through a
 Fenwick tree; chains, of one match too, are aligned word by word, cut where they are not alike enough, and grown at both ends; what is alike enough is a shared
 span. Spans of one document that touch form a passage, whichever documents they are shared with.
 """
@@ -37,12 +38,17 @@ WINDOW = 4
 #: Longer seeds, taken from every run of so many places, lead to the right one of many documents that have
 #: frequent short runs.
 LONG_WORDS, LONG_WINDOW = 12, 12
-#: Last occurrences in earlier documents that an occurrence is linked with, besides the first of all.
+#: Last occurrences in earlier documents that an occurrence is linked with, besides the first of all and those that
+#: furthest() finds.
 PREVIOUS = 3
 #: Rounds in which seeds are linked, by their hash, so that the disk holds the seeds of one round only.
 SEED_ROUNDS = 2
 #: Words on each side of a seed of which it carries bits, the bits, and the edits that growth may make there.
 AROUND, AROUND_BITS, AROUND_EDITS = 8, 3, 2
+#: Marks long seeds, in the second number of bits around a seed.
+LONG = 1 << 62
+#: Earlier places that a seed is compared with in the first step, four times as many in the next; pairs at a time.
+FIRST_STEP, PAIRS = 16, 1 << 17
 #: Rounds in which chains are aligned, by a hash of their texts.
 ALIGN_ROUNDS = 4
 SIMILARITY = 0.8
@@ -129,13 +135,14 @@ def seeds(words: np.ndarray, owner: np.ndarray, n: int, width: int = SEED_WORDS,
     return hashes[place[taken]], taken
 
 
-def around(words: np.ndarray, owner: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """AROUND_BITS of each of the AROUND words before and after the seeds at `first`, the nearest lowest; those
-    before in the upper half. Where the text ends, 0."""
-    code = (words >> np.uint64(64 - AROUND_BITS)).astype(np.int64)
+def around(words: np.ndarray, owner: np.ndarray, first: np.ndarray, width: int = SEED_WORDS,
+           skip: int = 0) -> np.ndarray:
+    """AROUND_BITS, after the highest `skip`, of each of the AROUND words before and after the seeds at `first`, the
+    nearest lowest; those before in the upper half. Where the text ends, 0."""
+    code = (words << np.uint64(skip) >> np.uint64(64 - AROUND_BITS)).astype(np.int64)
     out = np.zeros(len(first), np.int64)
     for k in range(AROUND):
-        for place, half in ((first - 1 - k, 1), (first + SEED_WORDS + k, 0)):
+        for place, half in ((first - 1 - k, 1), (first + width + k, 0)):
             inside = np.clip(place, 0, len(words) - 1)
             there = (inside == place) & (owner[inside] == owner[first])
             out |= np.where(there, code[inside], 0) << (AROUND_BITS * (k + half * AROUND))
@@ -154,18 +161,21 @@ for _place in reversed(range(AROUND)):
     _RUN[:, _place] = np.where(np.arange(1 << AROUND) >> _place & 1, _RUN[:, _place + 1], _place)
 
 
-def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def reach(a: np.ndarray, b: np.ndarray, *further: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Words of `a`, from 0 to AROUND, that grown() may add at the cost of EDIT_COST, by the bits of the words on
-    one side of two seeds each. Equal words have equal bits, so within AROUND words it is never too few. Words
-    beyond them count as equal."""
+    one side of two seeds each, and by `further` bits of the same words. Equal words have equal bits, so within AROUND
+    words it is never too few. Words beyond them count as equal."""
     group, half = AROUND_BITS * AROUND, AROUND_BITS * AROUND // 2
-    a, b = a.astype(np.int32), b.astype(np.int32)
+    bits = [(x.astype(np.int32), y.astype(np.int32)) for x, y in ((a, b), *further)]
     run = _RUN.ravel()
 
     def mask(shift: int) -> np.ndarray:
         """A bit for each i for which word i of a may be word i - shift of b."""
-        other = b << AROUND_BITS * shift if shift > 0 else b >> AROUND_BITS * -shift
-        differ = (a ^ other) & ((1 << group) - 1)
+        differ = 0
+        for x, y in bits:
+            other = y << AROUND_BITS * shift if shift > 0 else y >> AROUND_BITS * -shift
+            differ = differ | (x ^ other)
+        differ &= (1 << group) - 1
         equal = _EQUAL.take(differ & ((1 << half) - 1)) | _EQUAL.take(differ >> half) << AROUND // 2
         return (equal | ((1 << AROUND) - (1 << AROUND + min(shift, 0)))) * (AROUND + 1)
 
@@ -184,19 +194,28 @@ def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return best
 
 
-def may_span(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether a match of two seeds with these words around them may by itself grow to SPAN_WORDS."""
+def reaches(*bits: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """reach() before and after two seeds each, by one or more numbers that around() gives of both."""
     side = AROUND_BITS * AROUND
     low = (1 << side) - 1
-    return reach(a >> side, b >> side) + reach(a & low, b & low) >= SPAN_WORDS - SEED_WORDS
+    sides = []
+    for shift in (side, 0):
+        first, *further = [(a >> shift & low, b >> shift & low) for a, b in bits]
+        sides.append(reach(*first, *further))
+    return tuple(sides)
+
+
+def may_span(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether a match of two seeds with these words around them may by itself grow to SPAN_WORDS."""
+    return sum(reaches((a, b))) >= SPAN_WORDS - SEED_WORDS
 
 
-SEEDS = "array<struct<hash: bigint, at: bigint, around: bigint>>"
+SEEDS = "array<struct<hash: bigint, at: bigint, around: bigint, further: bigint>>"
 
 
 def seeds_of(text: Column, key: Column, turn: int) -> Column:
     """Seeds of a text in one of SEED_ROUNDS; `at` is the text's key in the upper half and the word's number in the
-    lower. Long seeds have nothing `around`, so all their matches agree there."""
+    lower. `further` has more bits of the words `around`, and LONG for long seeds."""
 
     @F.arrow_udf(SEEDS)
     def find(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -209,15 +228,21 @@ def seeds_of(text: Column, key: Column, turn: int) -> Column:
                 words, _, _, owner = word_hashes(part)
                 short, long = seeds(words, owner, n), seeds(words, owner, n, LONG_WORDS, LONG_WINDOW)
                 hashes, first = map(np.concatenate, zip(short, long))
-                near = np.concatenate([around(words, owner, short[1]), np.zeros(len(long[1]), np.int64)])
+                near, far = (
+                    np.concatenate([around(words, owner, short[1], SEED_WORDS, skip),
+                                    around(words, owner, long[1], LONG_WORDS, skip)])
+                    for skip in (0, AROUND_BITS)
+                )
+                far[len(short[1]) :] |= LONG
                 order = np.argsort(first, kind="stable")
                 order = order[hashes[order] % np.uint64(SEED_ROUNDS) == turn]
-                hashes, first, near = hashes[order], first[order], near[order]
+                hashes, first, near, far = hashes[order], first[order], near[order], far[order]
                 begin = np.searchsorted(owner, np.arange(n))
                 of = owner[first]
                 where = (own[of] << 32) | (first - begin[of])
                 rows = pa.StructArray.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(where), pa.array(near)], ["hash", "at", "around"]
+                    [pa.array(hashes.view(np.int64)), *map(pa.array, (where, near, far))],
+                    ["hash", "at", "around", "further"],
                 )
                 edges = np.searchsorted(of, np.arange(n + 1)).astype(np.int32)
                 parts.append(pa.ListArray.from_arrays(pa.array(edges), rows))
@@ -229,24 +254,75 @@ def seeds_of(text: Column, key: Column, turn: int) -> Column:
 LINKS = "doc bigint, at bigint, ref bigint, ref_at bigint"
 
 
+def able(near: np.ndarray, far: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which matches of seeds i and j may by themselves grow to SPAN_WORDS, as long seeds have."""
+    good = may_span(near[i], near[j]) | (far[i] >= LONG)
+    some = np.flatnonzero(good & (far[i] < LONG))
+    grown = reaches((near[i[some]], near[j[some]]), (far[i[some]], far[j[some]]))
+    good[some] = sum(grown) >= SPAN_WORDS - SEED_WORDS
+    return good
+
+
+def furthest(near: np.ndarray, far: np.ndarray, row: np.ndarray, places: np.ndarray, start: np.ndarray,
+             stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (of, to) of each row with those of its earlier places[start:stop], all of which it is compared with,
+    that may span and reach further, before or after the seed, than each place before them.
+
+    What a place left out has in common with the row within AROUND words of the seed, one before it has too.
+    Where a place is alike on all words around, no later one reaches further, and the row is done."""
+    best = np.full((len(row), AROUND + 1), -1, np.int8)  # words after, of places with so many words before or more
+    of, to = [row[:0]], [row[:0]]
+    active, lower, step = np.flatnonzero(start < stop), 0, FIRST_STEP
+    while len(active):
+        count = np.minimum(stop[active] - start[active] - lower, step)
+        # A row with a number of places, or many rows: never more pairs at a time than both allow.
+        edges = np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1
+        for part, n in zip(np.split(active, edges), np.split(count, edges)):
+            for skipped in range(0, int(n.max()), PAIRS):
+                now = np.clip(n - skipped, 0, PAIRS)
+                k = np.repeat(part, now)
+                begin = start[part] + lower + skipped
+                j = places[np.repeat(begin - np.cumsum(now) + now, now) + np.arange(len(k))]
+                i = row[k]
+                before, after = reaches((near[i], near[j]), (far[i], far[j]))
+                good = (before + after >= SPAN_WORDS - SEED_WORDS) | (far[i] >= LONG)
+                good = np.flatnonzero(good & (after > best[k, before]))
+                # The first place of each reach, then, in order, those that no place before reaches as far as.
+                cell = (k[good].astype(np.int64) * (AROUND + 1) + before[good]) * (AROUND + 1) + after[good]
+                good = np.sort(good[np.unique(cell, return_index=True)[1]])
+                turn = np.arange(len(good)) - np.searchsorted(k[good], k[good])
+                for t in range(int(turn.max(initial=-1)) + 1):
+                    at = good[turn == t]
+                    at = at[after[at] > best[k[at], before[at]]]
+                    level = np.arange(AROUND + 1) <= before[at, None]
+                    best[k[at]] = np.where(level, np.maximum(best[k[at]], after[at, None]), best[k[at]])
+                    of.append(i[at])
+                    to.append(j[at])
+        lower, step = lower + step, 4 * step
+        active = active[(best[active, AROUND] < AROUND) & (start[active] + lower < stop[active])]
+    return np.concatenate(of), np.concatenate(to)
+
+
 def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each occurrence of a seed with the first of all and the PREVIOUS last ones in earlier documents, but for
-    matches that can't grow to SPAN_WORDS within the words `around` both, if rows have them.
+    matches that can't grow to SPAN_WORDS within the words `around` both, if rows have them; then also with those that
+    furthest() finds among all in earlier documents, or with the first one that has the same words around.
 
-    Such a match lies where words differ. Inside a longer passage the matches on both sides of it are there,
-    and what is between them is aligned word by word, so it isn't needed.
+    A match that can't grow lies where words differ. Inside a longer passage the matches on both sides of it are
+    there, and what is between them is aligned word by word, so it isn't needed.
 
-    Rows are in the order of (hash, doc, at). Of earlier batches, what is kept is the first occurrence of the
-    hash at hand and the last ones before and in the document at hand, whatever their number."""
-    carried = np.zeros((0, 4), np.int64)
+    Rows are in the order of (hash, doc, at). Of earlier batches, what is kept is, of the hash at hand, the first
+    occurrence with each words around, and the last ones before and in the document at hand."""
+    carried = np.zeros((0, 5), np.int64)
     for batch in batches:
         if not len(batch):
             continue
-        known = "around" in batch.schema.names
-        columns = [batch.column(c).to_numpy() for c in ("hash", "doc", "at")]
-        columns.append(batch.column("around").to_numpy() if known else np.zeros(len(batch), np.int64))
-        rows = np.concatenate([carried, np.stack(columns, axis=1)])
-        hashes, docs, at, near = rows.T
+        names = batch.schema.names
+        known = "around" in names
+        rows = np.stack([batch.column(c).to_numpy() if c in names else np.zeros(len(batch), np.int64)
+                         for c in ("hash", "doc", "at", "around", "further")], axis=1)
+        rows = np.concatenate([carried, rows])
+        hashes, docs, at, near, far = np.ascontiguousarray(rows.T)
         index = np.arange(len(rows))
         new = np.ones(len(rows), bool)
         new[1:] = hashes[1:] != hashes[:-1]
@@ -259,15 +335,32 @@ def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good = [(i[own[i] > j], j[own[i] > j]) if not k else (i[j > first[i]], j[j > first[i]])
                 for k, (i, j) in enumerate(to)]
         i, j = (np.concatenate(c) for c in zip(*good))
-        if known and len(i):
-            able = may_span(near[i], near[j])
-            i, j = i[able], j[able]
-        if len(i):
-            yield pa.record_batch([pa.array(c) for c in (docs[i], at[i], docs[j], at[j])],
-                                  ["doc", "at", "ref", "ref_at"])
         last = len(rows) - 1
         stay = {first[last], *range(max(first[last], own[last] - PREVIOUS), own[last]),
                 *range(max(own[last], last - PREVIOUS + 1), last + 1), own[last]}
+        if known:
+            if len(i):
+                grows = able(near, far, i, j)
+                i, j = i[grows], j[grows]
+            more = here[own[here] - first[here] > PREVIOUS + 1]  # others have all links by now
+            named = np.zeros(len(rows), bool)
+            named[first[more]] = named[first[last]] = True
+            some = np.flatnonzero(named[first])
+            order = some[np.lexsort((far[some], near[some], first[some]))]
+            differ = np.ones(len(order), bool)
+            differ[1:] = (np.diff(first[order]) != 0) | (np.diff(near[order]) != 0) | (np.diff(far[order]) != 0)
+            lead = index.copy()
+            lead[order] = order[np.maximum.accumulate(np.where(differ, np.arange(len(order)), 0))]
+            places = some[lead[some] == some]
+            copies = more[lead[more] < own[more]]
+            rest = more[lead[more] >= own[more]]
+            of, ref = furthest(near, far, rest, places, *np.searchsorted(places, [first[rest], own[rest]]))
+            links = np.unique(np.concatenate([i, of, copies]) * len(rows) + np.concatenate([j, ref, lead[copies]]))
+            i, j = links // len(rows), links % len(rows)
+            stay.update(places[places >= first[last]].tolist())
+        if len(i):
+            yield pa.record_batch([pa.array(c) for c in (docs[i], at[i], docs[j], at[j])],
+                                  ["doc", "at", "ref", "ref_at"])
         carried = rows[sorted(stay)]
 
 
