@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketmill.functions.labels import range_label
-from ticketmill.operators.ranges import range_lookup_join
+from ticketmill.operators.ranges import DAY, LENGTHS, SECOND, ends_of, last_of_cells, range_lookup_join, spans
 from ticketmill.settings import SEMESTERS, UNKNOWN
 
 RANGES = "label string, start timestamp_ntz, `end` timestamp_ntz, position int"
@@ -77,3 +77,37 @@ def test_no_ranges_and_no_rows(spark):
     assert [r["label"] for r in range_lookup_join(rows, none, "ts", "label", "none").collect()] == ["none"]
     some = spark.createDataFrame(drawn(4, 5)[0], RANGES)
     assert range_lookup_join(rows.filter("false"), some, "ts", "label").collect() == []
+
+
+def test_spans_and_ends_make_up_a_range_once(spark):
+    """Each within one cell of the next greater length, so that equal ones are few, however many ranges there are."""
+    rng = random.Random(5)
+    bounds = []
+    for i in range(300):
+        unit = rng.choice([1, SECOND, 60 * SECOND, 3600 * SECOND, DAY])
+        lo = rng.randint(-(10**4), 10**4) * rng.choice([1, unit])
+        bounds.append((i, lo, lo + rng.randint(1, 10**4) * unit))
+    rows = spark.createDataFrame(bounds, "rank int, lo bigint, hi bigint")
+    found = rows.select("*", *(spans(level).alias(f"l{level}") for level in range(len(LENGTHS)))).collect()
+    ends = {}
+    for r in ends_of(rows).collect():
+        assert r["lo"] // SECOND == (r["hi"] - 1) // SECOND == r["cell"]
+        ends.setdefault(r["rank"], []).append((r["lo"], r["hi"]))
+    for r in found:
+        parts = ends.get(r["rank"], [])
+        for level, length in enumerate(LENGTHS):
+            for first, past in r[f"l{level}"]:
+                parts.append((first * length, past * length))
+                wide = LENGTHS[level - 1] if level else None
+                assert first < past and (not wide or first * length // wide == (past * length - 1) // wide)
+        parts.sort()
+        assert parts[0][0] == r["lo"] and parts[-1][1] == r["hi"]
+        assert all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+
+
+def test_equal_ranges_are_taken_apart_once(spark):
+    rows = spark.range(5000).selectExpr(f"id % 5 * {SECOND} AS lo", f"70 * {SECOND} AS hi", "id AS rank")
+    cells = last_of_cells(rows, LENGTHS.index(SECOND))  # the first minute of those from 0 on is whole
+    assert sorted(map(tuple, cells.collect())) == [(c, 4995 + min(c, 4)) for c in range(1, 70)]
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.rindex("Aggregate [first")  # the aggregate is below it

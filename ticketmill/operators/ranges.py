@@ -1,8 +1,8 @@
 """Labels from a table of ranges, for any number of ranges, overlapping in any way.
 
 A range is cut into cells of fixed lengths, from thousands of days down to a second, each as large as fits, so a
-range has few cells however long it is. A cell that several ranges hold whole belongs to the last of them, which an
-aggregate finds. Each row then looks up the one cell of each length that it falls in, by equality, and the last
+range has few cells however long it is. Ranges that have the same cells of a length in a row are one there, before cells
+are counted out. A cell that several ranges hold whole belongs to the last of them, which an aggregate finds. Each row then looks up the one cell of each length that it falls in, by equality, and the last
 range of what it finds wins: no range is compared with a row, and no row is multiplied. Only what is left of
 ranges at their ends, less than a second, is kept as bounds, and compared within that second.
 """
@@ -31,26 +31,52 @@ def _number(value: Column) -> Column:
     return value.cast("bigint")
 
 
-def whole_cells(ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cells, ends) of ranges (lo, hi, rank), hi excluded: cells (length, cell, rank) that lie in a range as a
-    whole, and ends (cell, lo, hi, rank) of less than a second, by the second that they lie in."""
-    cells = None
-    for length in LENGTHS:
-        first = _number(_down(F.col("lo") + (length - 1), length))
-        past = _number(_down(F.col("hi"), length))
-        cut = ranges.withColumns({"first": first, "past": past})
-        inside = cut.filter("first < past").select(
-            F.lit(length).alias("length"), F.explode(F.sequence("first", F.col("past") - 1)).alias("cell"), "rank"
-        )
-        cells = inside if cells is None else cells.unionByName(inside)
-        before = F.struct("lo", (F.col("first") * length).alias("hi"))
-        after = F.struct((F.col("past") * length).alias("lo"), "hi")
-        whole = F.array(F.struct("lo", "hi"))
-        parts = F.when(F.col("first") < F.col("past"), F.array(before, after)).otherwise(whole)
-        ranges = cut.select("rank", F.explode(parts).alias("part")).select("rank", "part.lo", "part.hi").filter("lo < hi")
-    seconds = F.sequence(_number(_down(F.col("lo"), SECOND)), _number(_down(F.col("hi") - 1, SECOND)))
-    ends = ranges.select(F.explode(seconds).alias("cell"), "lo", "hi", "rank")
-    return cells, ends
+def _up(value: Column, length: int) -> Column:
+    return _down(value + (length - 1), length)
+
+
+def _parts(first: Column, enter: Column, leave: Column, past: Column, names: tuple[str, str]) -> Column:
+    """[first, enter) and [leave, past), or [first, past) if leave is before enter; those that hold anything."""
+    def part(x: Column, y: Column) -> Column:
+        return F.struct(x.alias(names[0]), y.alias(names[1]))
+
+    parts = F.when(enter <= leave, F.array(part(first, enter), part(leave, past))).otherwise(F.array(part(first, past)))
+    return F.filter(parts, lambda x: x[names[0]] < x[names[1]])
+
+
+def spans(level: int) -> Column:
+    """array<struct<first, past>>: the cells of a length that lie in [lo, hi) as a whole, and not in one of the next
+    greater length that does too. Each span lies within one cell of that length."""
+    length = LENGTHS[level]
+    first, past = (_number(x) for x in (_up(F.col("lo"), length), _down(F.col("hi"), length)))
+    if not level:
+        return _parts(first, past, past, past, ("first", "past"))
+    wide = LENGTHS[level - 1]
+    enter, leave = (_number(x) * (wide // length) for x in (_up(F.col("lo"), wide), _down(F.col("hi"), wide)))
+    return _parts(first, enter, leave, past, ("first", "past"))
+
+
+def last_of_cells(ranges: DataFrame, level: int) -> DataFrame:
+    """(cell, rank): of each cell of a length that spans() of ranges (lo, hi, rank) hold, the highest rank.
+
+    Equal spans are one before they are taken apart, so a cell of the next length has so many of them at most, however
+    many ranges there are; and all of them are in one task, so what they are taken apart into isn't shuffled."""
+    rows = ranges.select(F.inline(spans(level)), "rank")
+    once = rows.groupBy("first", "past").agg(F.max("rank").alias("rank"))
+    ratio = LENGTHS[level - 1] // LENGTHS[level] if level else 1
+    within = _number(_down(F.col("first"), ratio)) if level else F.lit(None).cast("bigint")
+    once = once.withColumn("within", within)
+    cells = (once.repartition("within") if level else once).select(
+        "within", F.explode(F.sequence("first", F.col("past") - 1)).alias("cell"), "rank"
+    )
+    return cells.groupBy("within", "cell").agg(F.max("rank").alias("rank")).drop("within")
+
+
+def ends_of(ranges: DataFrame) -> DataFrame:
+    """(cell, lo, hi, rank): what is left of ranges (lo, hi, rank) beside whole seconds, by the second it lies in."""
+    enter, leave = (_number(x) * SECOND for x in (_up(F.col("lo"), SECOND), _down(F.col("hi"), SECOND)))
+    rows = ranges.select(F.inline(_parts(F.col("lo"), enter, leave, F.col("hi"), ("lo", "hi"))), "rank")
+    return rows.select(_number(_down(F.col("lo"), SECOND)).alias("cell"), "lo", "hi", "rank")
 
 
 def range_lookup_join(
@@ -79,20 +105,20 @@ def range_lookup_join(
     hi = micros(F.col(end)) + (F.lit(DAY) if whole_last_day else F.lit(1))
     rank = F.struct(F.col(order).alias("order"), F.col(name).alias("name"))
     bounded = ranges.filter(F.col(order).isNotNull() & ordered).select(micros(F.col(start)).alias("lo"), hi.alias("hi"), rank.alias("rank"))
-    cells, ends = whole_cells(bounded)
-    needed = {r["length"] for r in cells.select("length").distinct().collect()}
+    held = [F.max(F.size(spans(level)) > 0).alias(f"l{level}") for level in range(len(LENGTHS))]
+    needed = bounded.agg(*held).first()
     at = _fresh("_at", df)
     found = df.withColumn(at, micros(F.col(timestamp)))
     ranks = []
-    for length in LENGTHS:
-        if length not in needed:
+    for level, length in enumerate(LENGTHS):
+        if not needed[level]:
             continue
         cell, best = _fresh(f"_cell{length}", df), _fresh(f"_rank{length}", df)
-        last = cells.filter(F.col("length") == length).groupBy(F.col("cell").alias(cell)).agg(F.max("rank").alias(best))
+        last = last_of_cells(bounded, level).toDF(cell, best)
         found = found.withColumn(cell, _number(_down(F.col(at), length))).join(last, cell, "left")
         ranks.append(F.col(best))
     cell, rest = _fresh("_cell", df), _fresh("_ends", df)
-    held = ends.groupBy(F.col("cell").alias(cell)).agg(F.collect_set(F.struct("rank", "lo", "hi")).alias(rest))
+    held = ends_of(bounded).groupBy(F.col("cell").alias(cell)).agg(F.collect_set(F.struct("rank", "lo", "hi")).alias(rest))
     found = found.withColumn(cell, _number(_down(F.col(at), SECOND))).join(held, cell, "left")
     inside = F.filter(rest, lambda x: (x["lo"] <= F.col(at)) & (F.col(at) < x["hi"]))
     ranks.append(F.array_max(inside)["rank"])
