@@ -26,6 +26,7 @@ from ticketmill.llm import (
     queries,
     rules,
     simhash,
+    storage,
     tokens,
     toxicity,
 )
@@ -720,6 +721,18 @@ def test_edited_passages_of_phrases_that_other_documents_have(spark):
     assert {i: w for i, w in found.items() if w} == {last + i: set(range(20, 83)) for i in range(6)}
 
 
+def test_shuffle_files_are_freed_at_once(spark):
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    table = storage.kept(spark.range(1000).repartition("id"), "freed")
+    storage.free_shuffles(spark)
+    for _ in range(50):
+        if tracker.shuffleStatuses().size() <= before:
+            break
+        time.sleep(0.1)
+    assert tracker.shuffleStatuses().size() <= before and table.count() == 1000
+
+
 def test_growth_equals_brute_force():
     rng = random.Random(12)
     for _ in range(300):

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Seconds after which the JVM knows of frames that Python has let go.
+RELEASED = 2
+
 _written: list[str] = []
 
 
@@ -44,9 +48,13 @@ def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of jobs that have ended, which it does once the driver collects them.
 
     Called after kept(), when what was shuffled is written and nothing reads the files again; by itself the
-    driver may not collect for half an hour. Spark keeps all files that some frame still needs.
+    driver may not collect for half an hour. Spark keeps all files that some frame still needs. Frames that Python
+    has let go are released in the JVM by a thread of py4j that looks once a second, so it is waited for; and the
+    scheduler holds what the last job read until another one runs.
     """
     gc.collect()
+    time.sleep(RELEASED)
+    spark.range(1).collect()
     spark.sparkContext._jvm.System.gc()
 
 
