@@ -140,3 +140,23 @@ def test_links_of_a_group_connect_all_similar_sets(chunks):
     assert set(links) <= set(real) and len(links) < len(real)
     found, wanted = components(links), components(real)
     assert len(set(zip(found, wanted))) == len(set(found)) == len(set(wanted))
+
+
+def test_only_rows_of_several_chunks_are_dealt_out(spark):
+    rows = spark.range(60).select(F.col("id").alias("s"), F.when(F.col("id") < 40, 1).otherwise(3).alias("chunks"))
+    dealt = [tuple(r) for r in jaccard.dealt_out(rows).select("s", "own", "i", "j").collect()]
+    assert sorted(r for r in dealt if r[0] < 40) == [(s, 0, 0, 0) for s in range(40)]
+    many = [r for r in dealt if r[0] >= 40]
+    assert all(own in (i, j) and i <= j for _, own, i, j in many)
+    own = {s: c for s, c, _, _ in many}
+    met = {(x, y) for x, _, *g in many for y, _, *h in many if g == h}
+    assert len(many) == 60 and set(own.values()) == {0, 1, 2} and len(met) == 400
+
+
+def test_tables_of_tokens_go_once_entries_are_written(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr("ticketmill.llm.storage._written", written)
+    docs = spark.createDataFrame(list(enumerate(texts(4)[:12])), "doc_id bigint, text string")
+    jaccard.jaccard_join(docs, 4, 85).collect()
+    names = {path.split("/llm-")[1].rsplit("-", 1)[0] for path in written}
+    assert {"rows", "set-names", "entries"} <= names and not {"token-sets", "sets"} & names

@@ -14,7 +14,8 @@ Entries carry a size band, so only sets of like sizes meet, and how many tokens
 here on; candidates that can't reach the overlap are left out. Candidates are verified on whole sets, in
 two steps. Each set goes to the group of the one it shares most entries with, and so do near copies of one
 text; a group's sets meet in one task, or in chunks, and only links that connect something leave it. Then, within
-an entry, sets of different groups are paired and verified one by one.
+an entry, sets of different groups are paired and verified one by one; entries that one group has alone are passed over.
+Tables and shuffle files go as soon as what is made of them is written, so the disk holds a few steps only.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from ticketmill.llm.arrays import expanded, mixed, slices
 from ticketmill.llm.graph import components
 from ticketmill.llm.simhash import shingle_hashes
-from ticketmill.llm.storage import kept
+from ticketmill.llm.storage import free_shuffles, kept, kept_at, remove
 
 #: Tokens below this hash come first in the order, by their counts: a quarter.
 COUNTED = 1 << 62
@@ -45,7 +46,7 @@ GROUP = 8_192
 #: Tokens of the sets that one task compares with each other; a larger group is dealt out in chunks.
 GROUP_TOKENS = 1 << 21
 #: Bits of a filter that is sent to all tasks.
-FILTER_BITS = 1 << 23
+FILTER_BITS = 1 << 26
 #: Text bytes that are hashed at a time.
 SLICE = 1 << 20
 #: Bits of one bitmap of Spark's bitmap functions.
@@ -206,8 +207,9 @@ def _across(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.R
         own = table["own"].to_numpy()
         new = np.append(True, (entry[1:] != entry[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
         at = np.append(np.flatnonzero(new), len(s))
+        several = np.minimum.reduceat(label, at[:-1]) < np.maximum.reduceat(label, at[:-1])
         found, held = [], 0
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        for a, b in zip(at[:-1][several].tolist(), at[1:][several].tolist()):
             for x in range(a + 1, b):
                 y = np.arange(a, x)
                 ok = label[y] != label[x]
@@ -319,19 +321,25 @@ def _grouped(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.
         yield links(rows)
 
 
-def linked_in_groups(sets: DataFrame, similarity: int) -> DataFrame:
-    """(u, v) that connect all similar sets (s, root, tokens) of one root. A root of more than GROUP_TOKENS tokens is
-    dealt out in chunks, each of which meets each other one in a group (i, j)."""
-    total = sets.groupBy("root").agg(F.sum(F.size("tokens")).alias("t")).filter(F.col("t") > GROUP_TOKENS)
-    chunks = F.coalesce(F.ceil(F.col("t") / GROUP_TOKENS), F.lit(1)).cast("int")
-    dealt = (
-        sets.join(total, "root", "left")
-        .withColumn("chunks", chunks)
+def dealt_out(rows: DataFrame) -> DataFrame:
+    """rows (s, chunks, ...) with `own`, the chunk of each, and i and j, the two chunks that meet: in as many places as
+    there are chunks. Where there is one chunk, a row stays one."""
+    alone = rows.filter("chunks = 1").select("*", *(F.lit(0).alias(c) for c in ("own", "i", "j")))
+    many = (
+        rows.filter("chunks > 1")
         .withColumn("own", F.pmod(F.xxhash64("s"), "chunks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "s", "tokens")
+        .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+        .drop("other")
     )
+    return alone.unionByName(many).drop("chunks")
+
+
+def linked_in_groups(sets: DataFrame, similarity: int) -> DataFrame:
+    """(u, v) that connect all similar sets (s, root, chunks, tokens) of one root, each chunk of which meets each other
+    one in a group (i, j)."""
     keys = ["root", "i", "j"]
+    dealt = dealt_out(sets.filter("root IS NOT NULL")).select(*keys, "own", "s", "tokens")
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "s")
     return dealt.mapInArrow(lambda x: _grouped(x, similarity), "u bigint, v bigint")
 
@@ -372,10 +380,8 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return rows.mapInArrow(lambda x: _similar(x, similarity), "u bigint, v bigint")
 
 
-def linked_sets(sets: DataFrame, docs: DataFrame, width: int, similarity: int, text: str, id: str) -> DataFrame:
-    """(s, m) of every set that has a link: m is the lowest set of its component.
-
-    sets: key, s, n, head and one, the hash of an id under which docs have the set; docs: the texts."""
+def indexed(sets: DataFrame, similarity: int) -> DataFrame:
+    """(entry, s, n, reach) of all sets (s, n, head)."""
     # A set of this size or less has no partner but itself, which it meets under its key.
     heads = sets.filter(F.floor(F.col("n") * 100 / similarity) > F.col("n")).withColumn(
         "q", F.size(F.filter("head", lambda x: (x >= 0) & (x < COUNTED)))
@@ -384,48 +390,58 @@ def linked_sets(sets: DataFrame, docs: DataFrame, width: int, similarity: int, t
         heads.select(F.explode("head").alias("token")).groupBy("token").agg(F.count("*").alias("w")).filter("w > 1"),
         "token-counts",
     )
+    free_shuffles(sets.sparkSession)
     tokens = heads.select("s", "n", "q", F.posexplode("head").alias("idx", "token"))
     shared = tokens.filter(possible(counts.select("token"), "token")).join(counts, "token")
     by_set = shared.groupBy("s", "n", "q").agg(F.collect_list(F.struct("token", "w", "idx")).alias("shared"))
     schema = "entry bigint, s bigint, n bigint, reach bigint"
-    index = kept(by_set.mapInArrow(lambda x: _index(x, similarity), schema), "entries")
+    return kept(by_set.mapInArrow(lambda x: _index(x, similarity), schema), "entries")
+
+
+def linked_sets(sets: DataFrame, index: DataFrame, docs: DataFrame, width: int, similarity: int, text: str,
+                id: str) -> DataFrame:
+    """(s, m) of every set that has a link: m is the lowest set of its component.
 
+    sets: key, s, n and one, the hash of an id under which docs have the set; index: their entries; docs: the texts."""
+    spark = docs.sparkSession
     centre = F.min(F.struct("s", "n", "reach")).alias("c")
     centres = index.groupBy("entry").agg(F.count("*").alias("rows"), centre).filter("rows > 1")
     met = kept(index.join(centres, "entry"), "met-entries")
+    free_shuffles(spark)
     close = F.least("reach", "c.reach") >= needed(F.col("n"), F.col("c.n"), similarity)
     shares = met.filter((F.col("s") != F.col("c.s")) & close).groupBy(F.col("s").alias("b"), F.col("c.s").alias("a"))
     best = F.max_by("a", F.struct("times", -F.col("a"))).alias("a")
     first = kept(shares.agg(F.count("*").alias("times")).groupBy("b").agg(best).select("a", "b"), "first-candidates")
+    roots = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    roots = kept(roots.select(F.col("u").alias("s"), F.col("m").alias("root")), "roots")
 
-    named = sets.join(met.select("s").distinct(), "s").select("s", "key", "one")
-    named = kept(named, "candidate-sets")
-    seen = F.xxhash64(id)
-    some = docs.select(seen.alias("one"), F.col(text).alias("text"))
+    # A root of more than GROUP_TOKENS tokens is dealt out in chunks.
+    named = sets.join(met.select("s").distinct(), "s").join(roots, "s", "left")
+    total = named.filter("root IS NOT NULL").groupBy("root").agg(F.sum("n").alias("t")).filter(F.col("t") > GROUP_TOKENS)
+    chunks = F.coalesce(F.ceil(F.col("t") / GROUP_TOKENS), F.lit(1)).cast("int").alias("chunks")
+    named = kept(named.join(total, "root", "left").select("key", "s", "one", "root", chunks), "candidate-sets")
+    some = docs.select(F.xxhash64(id).alias("one"), F.col(text).alias("text"))
     some = some.filter(possible(named.select("one"), "one")).select(whole_set(F.col("text"), width).alias("x"))
-    some = some.select("x.key", "x.tokens").join(named.select("key", "s"), "key")
-    whole = kept(some.groupBy("s").agg(F.first("tokens").alias("tokens")), "candidate-tokens")
+    # Of equal sets one, before it meets its name: both by the key, so sets are shuffled once.
+    some = some.select("x.key", "x.tokens").groupBy("key").agg(F.first("tokens").alias("tokens"))
+    whole = kept(some.join(named.drop("one"), "key").drop("key"), "candidate-tokens")
+    free_shuffles(spark)
 
-    roots = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    roots = kept(roots.select(F.col("u").alias("s"), F.col("m").alias("root")), "roots")
-    links = kept(linked_in_groups(whole.join(roots, "s"), similarity), "group-links")
+    links = kept(linked_in_groups(whole, similarity), "group-links")
+    free_shuffles(spark)
     # Sets of one root are done with.
-    labelled = met.drop("c").join(roots, "s", "left").withColumn("label", F.coalesce("root", "s")).drop("root")
-    labelled = kept(labelled, "labelled-entries")
-    mixed_up = labelled.groupBy("entry").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    chunks = F.ceil(F.col("rows") / GROUP).cast("int")
-    dealt = (
-        labelled.join(mixed_up, "entry")
-        .withColumn("chunks", chunks)
-        .withColumn("own", F.pmod(F.xxhash64("s"), "chunks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("entry", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                "own", "s", "n", "reach", "label")
+    labelled = met.drop("c").join(roots, "s", "left").select(
+        "entry", "s", "n", "reach", F.coalesce("root", "s").alias("label"),
+        F.ceil(F.col("rows") / GROUP).cast("int").alias("chunks"),
     )
-    dealt = dealt.repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j", "s")
+    keys = ["entry", "i", "j"]
+    dealt = dealt_out(labelled).repartition(*keys).sortWithinPartitions(*keys, "s")
     across = dealt.mapInArrow(lambda x: _across(x, similarity), "a bigint, b bigint").distinct()
     across = kept(across, "other-candidates")
-    return components(kept(links.union(similar(across, whole, similarity)), "links")).withColumnRenamed("u", "s")
+    free_shuffles(spark)
+    links = kept(links.union(similar(across, whole.select("s", "tokens"), similarity)), "links")
+    free_shuffles(spark)
+    return components(links).withColumnRenamed("u", "s")
 
 
 def jaccard_join(
@@ -448,19 +464,25 @@ def jaccard_join(
     """
     rest = [c for c in docs.columns if c not in (text, "n_shingles", "component_id")]
     rows = docs.select(F.struct(*rest).alias("row"), token_set(F.col(text), width, similarity).alias("set"))
-    rows = kept(
-        rows.select("row", F.col(f"row.`{id}`").alias("id"), "set.key", F.col("set.n").alias("n"), "set.head"), "token-sets"
-    )
+    rows = rows.select("row", F.col(f"row.`{id}`").alias("id"), "set.key", F.col("set.n").alias("n"), "set.head")
+    rows, all_heads = kept_at(rows, "token-sets")
     sets = rows.filter("n > 0").groupBy("key").agg(
         F.first("n").alias("n"), F.first("head").alias("head"), F.min("id").alias("id"),
         F.min(F.xxhash64("id")).alias("one"),
     )
-    sets = kept(sets.withColumn("s", F.monotonically_increasing_id()), "sets")
-    linked = linked_sets(sets, docs, width, similarity, text, id)
+    sets, heads = kept_at(sets.withColumn("s", F.monotonically_increasing_id()), "sets")
+    rows = kept(rows.drop("head"), "rows")
+    remove(docs.sparkSession, all_heads)
+    free_shuffles(docs.sparkSession)
+    index = indexed(sets, similarity)
+    sets = kept(sets.drop("head"), "set-names")
+    remove(docs.sparkSession, heads)  # the entries are written
+    free_shuffles(docs.sparkSession)
+    linked = linked_sets(sets, index, docs, width, similarity, text, id)
     named = kept(sets.select("key", "id", "s").join(linked, "s", "left").withColumn("m", F.coalesce("m", "s")), "set-labels")
     first = named.groupBy("m").agg(F.min("id").alias("component_id"))
     table = kept(named.join(first, "m").select("key", "component_id"), "set-components")
-    joined = rows.drop("head").join(table, "key", "left")
+    joined = rows.join(table, "key", "left")
     return joined.select(
         "row.*",
         F.col("n").alias("n_shingles"),
