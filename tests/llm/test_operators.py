@@ -751,6 +751,54 @@ def best_chain(x, y):
     return score
 
 
+def test_growth_between_unlike_and_equal_words_takes_no_steps():
+    class Words(list):
+        """Words that are compared one by one only while growth takes steps."""
+
+        steps = 0
+
+        def __getitem__(self, place):
+            Words.steps += isinstance(place, int)
+            return super().__getitem__(place)
+
+    unlike = passages.grown(Words(range(60)), Words(range(100, 160)), passages.EDIT_COST)
+    late = passages.grown(Words(range(60)), Words([*range(100, 110), *range(10, 60)]), passages.EDIT_COST)
+    equal = passages.grown(Words(range(60)), Words(range(64)), passages.EDIT_COST)
+    assert (unlike, late, equal, Words.steps) == ((0, 0, 0), (0, 0, 0), (60, 60, 0), 0)
+
+
+def test_bits_around_seeds_are_made_once_for_each(monkeypatch):
+    rng = random.Random(4)
+    texts = pa.array([" ".join(rng.choices("abcdefgh", k=rng.choice([0, 3, 4, 30, 90]))) for _ in range(40)])
+    words, _, _, owner = passages.word_hashes(texts)
+    made, plain_bits, real = [], [], passages.around
+
+    def plain_around(words, owner, first, width, skip):
+        """Word by word."""
+        out = []
+        for f, w in zip(first.tolist(), width.tolist()):
+            bits = 0
+            for k in range(passages.AROUND):
+                for place, half in ((f - 1 - k, 1), (f + w + k, 0)):
+                    if 0 <= place < len(words) and owner[place] == owner[f]:
+                        code = int(words[place]) << skip >> 64 - passages.AROUND_BITS & 7
+                        bits |= code << passages.AROUND_BITS * (k + half * passages.AROUND)
+            out.append(bits)
+        return out
+
+    def around(*args):
+        made.append(len(args[2]))
+        plain_bits.append((real(*args).tolist(), plain_around(*args)))
+        return real(*args)
+
+    monkeypatch.setattr(passages, "around", around)
+    monkeypatch.setattr(passages.F, "arrow_udf", lambda kind: lambda find: lambda text, key: find(iter([(text, key)])))
+    keys = pa.array(range(len(texts)), pa.int32())
+    found = [len(c.flatten()) for turn in range(passages.SEED_ROUNDS) for c in passages.seeds_of(texts, keys, turn)]
+    assert sum(made) == 2 * sum(found) and sum(found) > 100
+    assert all(a == b for a, b in plain_bits)
+
+
 def test_chains_hold_every_match_once_and_start_with_the_best():
     rng = random.Random(6)
     for _ in range(100):

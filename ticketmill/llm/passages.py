@@ -135,18 +135,23 @@ def seeds(words: np.ndarray, owner: np.ndarray, n: int, width: int = SEED_WORDS,
     return hashes[place[taken]], taken
 
 
-def around(words: np.ndarray, owner: np.ndarray, first: np.ndarray, width: int = SEED_WORDS,
+def around(words: np.ndarray, owner: np.ndarray, first: np.ndarray, width: int | np.ndarray = SEED_WORDS,
            skip: int = 0) -> np.ndarray:
     """AROUND_BITS, after the highest `skip`, of each of the AROUND words before and after the seeds at `first`, the
     nearest lowest; those before in the upper half. Where the text ends, 0."""
     code = (words << np.uint64(skip) >> np.uint64(64 - AROUND_BITS)).astype(np.int64)
-    out = np.zeros(len(first), np.int64)
-    for k in range(AROUND):
-        for place, half in ((first - 1 - k, 1), (first + width + k, 0)):
-            inside = np.clip(place, 0, len(words) - 1)
-            there = (inside == place) & (owner[inside] == owner[first])
-            out |= np.where(there, code[inside], 0) << (AROUND_BITS * (k + half * AROUND))
-    return out
+    # AROUND zeros stand before each text and after the last one.
+    lead = (owner + 1) * AROUND
+    after = np.zeros(len(words) + AROUND + int(lead.max(initial=0)), np.int64)
+    after[np.arange(len(words)) + lead] = code
+    before, done = after.copy(), 1
+    while done < AROUND:
+        step = min(done, AROUND - done)
+        after[:-step] |= after[step:] << AROUND_BITS * step
+        before[step:] |= before[:-step] << AROUND_BITS * step
+        done += step
+    place = first + lead[first]
+    return before[place - 1] << AROUND_BITS * AROUND | after[place + width]
 
 
 #: Of each number with a group of AROUND_BITS for each of AROUND / 2 words: a bit for each group that is 0.
@@ -228,15 +233,12 @@ def seeds_of(text: Column, key: Column, turn: int) -> Column:
                 words, _, _, owner = word_hashes(part)
                 short, long = seeds(words, owner, n), seeds(words, owner, n, LONG_WORDS, LONG_WINDOW)
                 hashes, first = map(np.concatenate, zip(short, long))
-                near, far = (
-                    np.concatenate([around(words, owner, short[1], SEED_WORDS, skip),
-                                    around(words, owner, long[1], LONG_WORDS, skip)])
-                    for skip in (0, AROUND_BITS)
-                )
-                far[len(short[1]) :] |= LONG
-                order = np.argsort(first, kind="stable")
-                order = order[hashes[order] % np.uint64(SEED_ROUNDS) == turn]
-                hashes, first, near, far = hashes[order], first[order], near[order], far[order]
+                mine = np.flatnonzero(hashes % np.uint64(SEED_ROUNDS) == turn)
+                order = mine[np.argsort(first[mine], kind="stable")]
+                hashes, first, is_long = hashes[order], first[order], order >= len(short[1])
+                width = np.where(is_long, LONG_WORDS, SEED_WORDS)
+                near, far = (around(words, owner, first, width, skip) for skip in (0, AROUND_BITS))
+                far[is_long] |= LONG
                 begin = np.searchsorted(owner, np.arange(n))
                 of = owner[first]
                 where = (own[of] << 32) | (first - begin[of])
@@ -517,11 +519,20 @@ def grown(a: list[int], b: list[int], cost: float) -> tuple[int, int, int]:
     """(words of a, words of b, edits) next to a chain that belong to it: up to the last equal words for
     which words less edits * cost is highest.
 
-    For each number of edits, the furthest place on each diagonal is found from those of one edit less.
+    For each number of edits, the furthest place on each diagonal is found from those of one edit less. Where the
+    first words of both have none in common, growth ends: each edit then adds a word at most, and costs more. Equal
+    stretches grow whole.
     """
     best, end = 0.0, (0, 0, 0)
     edits, furthest = 0, {0: 0}
     n, m, drop = len(a), len(b), max(GROWTH_DROP, 2 * cost)
+    if cost > 1:
+        few = int((drop - 1) / (cost - 1)) + 2
+        if set(a[:few]).isdisjoint(b[:few]):
+            return end
+        whole = min(n, m)
+        if a[:whole] == b[:whole]:
+            return whole, whole, 0
     while furthest:
         reached = {}
         loss = edits * cost
@@ -621,18 +632,19 @@ SPAN = "array<struct<first: int, last: int, ref_first: int, ref_last: int, edits
 def _align(similarity: float):
     @F.arrow_udf(SPAN)
     def align(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        fields = ("first", "last", "ref_first", "ref_last", "edits")
-        kind = pa.list_(pa.struct([(f, pa.int32()) for f in fields]))
+        fields = ["first", "last", "ref_first", "ref_last", "edits"]
         for a, b, xs, ys, low, ref_low in columns:
-            out = []
-            for words, others, x, y, lo, ref_lo in zip(
-                a, b, xs, ys, low.to_pylist(), ref_low.to_pylist()
-            ):
-                x, y = x.values.to_numpy() - lo, y.values.to_numpy() - ref_lo
-                got = aligned(words.values.to_numpy(), others.values.to_numpy(), x, y, similarity)
-                out.append([
-                    dict(zip(fields, (g[0] + lo, g[1] + lo, g[2] + ref_lo, g[3] + ref_lo, g[4]))) for g in got])
-            yield pa.array(out, kind)
+            found, edges = [], [0]
+            parts = ((c.offsets.to_numpy().tolist(), c.values.to_numpy()) for c in (a, b, xs, ys))
+            (a_at, words), (b_at, others), (x_at, x), (y_at, y) = parts
+            for k, (lo, ref_lo) in enumerate(zip(low.to_pylist(), ref_low.to_pylist())):
+                got = aligned(words[a_at[k] : a_at[k + 1]], others[b_at[k] : b_at[k + 1]],
+                              x[x_at[k] : x_at[k + 1]] - lo, y[y_at[k] : y_at[k + 1]] - ref_lo, similarity)
+                found += [(g[0] + lo, g[1] + lo, g[2] + ref_lo, g[3] + ref_lo, g[4]) for g in got]
+                edges.append(len(found))
+            columns = zip(*found) if found else [[]] * len(fields)
+            rows = pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in columns], fields)
+            yield pa.ListArray.from_arrays(pa.array(edges, pa.int32()), rows)
 
     return align
 
