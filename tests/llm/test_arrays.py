@@ -1,10 +1,13 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm import plain
-from ticketmill.llm import arrays
+from ticketmill.llm import arrays, simhash, toxicity
 
 
 @settings(deadline=None)
@@ -43,3 +46,19 @@ def test_strings_of_one_pattern_and_its_complement_have_other_hashes():
         starts = np.array([0, 4096])
         one, other = arrays.range_hashes(both, starts, starts + n)
         assert one != other
+
+
+@pytest.mark.parametrize("work", ["fingerprints", "probabilities"])
+def test_intermediates_of_texts_stay_small(work):
+    column = pa.array([f"word{k} and others here " * 250 for k in range(1_000)])  # 5.6 MB
+    chain = toxicity.Chain(np.arange(512, dtype=np.uint64), [np.zeros(513 + k) for k in range(3)])
+    tracemalloc.start()
+    try:
+        for part in arrays.slices(column):
+            if work == "fingerprints":
+                simhash.fingerprints(part, 4)
+            else:
+                chain.probabilities(chain.present(part))
+            assert tracemalloc.get_traced_memory()[1] < 48 << 20
+    finally:
+        tracemalloc.stop()

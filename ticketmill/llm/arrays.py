@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Text bytes that are worked on at a time. One longer text is worked on alone, whole.
-SLICE_BYTES = 4 << 20
+#: Text bytes that are worked on at a time. One longer text is worked on alone, whole. Intermediates have 8 bytes a
+#: byte or more, and freed ones stay with the worker.
+SLICE_BYTES = 512 << 10
 #: Bytes whose hashes are computed at a time, which bounds the 8-byte intermediates.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 256 << 10
 
 #: ASCII white space: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = np.zeros(256, bool)

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm.arrays import (
     LOWER,
-    SLICE_BYTES,
     mixed,
     owners,
     range_hashes,
@@ -123,7 +122,7 @@ def presence(terms: np.ndarray, hashes: np.ndarray, owner: np.ndarray, n: int) -
 def distinct_terms(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(term, text) of each term that a text has, once; a slice of the texts at a time."""
     at = 0
-    for part in slices(column, SLICE_BYTES // 4):
+    for part in slices(column):
         hashes, owner = term_hashes(part)
         both = mixed(hashes + (owner.astype(np.uint64) << np.uint64(32)))
         _, one = np.unique(both, return_index=True)
@@ -166,11 +165,11 @@ def informative(n_terms: int, where: np.ndarray, texts: np.ndarray, toxic: np.nd
 
 
 def columns_of(chosen: np.ndarray, n_terms: int, where: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
-    """(texts, chosen) 0 or 1."""
+    """(texts, chosen) 0 or 1, in a byte each."""
     column = np.full(n_terms, -1)
     column[chosen] = np.arange(len(chosen))
     hit = column[where] >= 0
-    out = np.zeros((n, len(chosen)))
+    out = np.zeros((n, len(chosen)), np.uint8)
     out[texts[hit], column[where[hit]]] = 1
     return out
 
