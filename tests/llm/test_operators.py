@@ -693,6 +693,54 @@ def test_no_earlier_place_of_a_seed_is_left_out_that_reaches_further(monkeypatch
         assert len(got) < len(rows) * 12  # but not with all
 
 
+def test_places_that_can_be_linked_are_looked_up(monkeypatch):
+    """Seeds with equal words on no side, on one side, and in edited copies, short and long: all links that comparing
+    each place with all earlier ones gives, from a fraction of the pairs."""
+    rng = random.Random(27)
+    rows = []
+    for h in range(8):
+        copied = [rng.getrandbits(6) for _ in range(16)]
+        for doc in range(700):
+            words = [rng.getrandbits(6) for _ in range(16)]
+            if h % 4 == 1:
+                words[8:] = copied[8:]
+            if h % 4 == 2:
+                words[:8] = copied[:8]
+            if h % 4 == 3:
+                words = list(copied)
+                for _ in range(rng.randrange(8)):
+                    at = rng.randrange(16)
+                    change = rng.choice([[], [rng.getrandbits(6)], [words[at], rng.getrandbits(6)]])
+                    words = (words[:at] + change + words[at + 1 :] + [rng.getrandbits(6)])[:16]
+            near, far = (sum((w >> k & 7) << 3 * i for i, w in enumerate(words)) for k in (0, 3))
+            rows.append((h, doc, 10, near, far | (passages.LONG if h > 3 else 0)))
+    counted, plain_reaches = [], passages.reaches
+
+    def counting(*bits):
+        counted.append(len(bits[0][0]))
+        return plain_reaches(*bits)
+
+    def links(size):
+        batches = [
+            pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows[i : i + size])],
+                            ["hash", "doc", "at", "around", "further"])
+            for i in range(0, len(rows), size)
+        ]
+        counted.clear()
+        return sorted(tuple(r.values()) for b in passages.linked(iter(batches)) for r in b.to_pylist())
+
+    monkeypatch.setattr(passages, "reaches", counting)
+    found = links(1000)
+    assert sum(counted) < 8 * 700 * 700 / 2 / 2
+    monkeypatch.setattr(passages, "LOOKED_UP", 1 << 40)
+    assert found == links(1000)
+    assert sum(counted) > 8 * 700 * 700 / 2 / 2
+    monkeypatch.setattr(passages, "LOOKED_UP", 0)
+    for size, pairs in ((1000, 1 << 17), (300, 50)):
+        monkeypatch.setattr(passages, "PAIRS", pairs)
+        assert found == links(size)
+
+
 def test_a_place_between_the_first_and_the_last_is_found():
     """Of twelve documents with a seed, the sixth has the words around it that the last has."""
     rng = random.Random(25)

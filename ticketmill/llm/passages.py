@@ -49,6 +49,8 @@ AROUND, AROUND_BITS, AROUND_EDITS = 8, 3, 2
 LONG = 1 << 62
 #: Earlier places that a seed is compared with in the first step, four times as many in the next; pairs at a time.
 FIRST_STEP, PAIRS = 16, 1 << 17
+#: Earlier places of a row from which on those that may be linked with it are looked up.
+LOOKED_UP = 80
 #: Rounds in which chains are aligned, by a hash of their texts.
 ALIGN_ROUNDS = 4
 SIMILARITY = 0.8
@@ -265,42 +267,120 @@ def able(near: np.ndarray, far: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.
     return good
 
 
+#: Words (the first, its shift from the other side's, how many) one of which two sides share between which reach()
+#: adds `level` words or more, by that level. Of n edits, each is in or before one of the pairs 0, 2, ... 2n, so one pair
+#: has none in it, and as many before it as there are pairs; by EDIT_COST, a side with two edits has six words, and one
+#: with an edit three: the first word, or the two after it.
+_PAIRS = [(2 * n, shift, 2) for n in range(AROUND_EDITS + 1) for shift in range(-n, n + 1)]
+_SHARED = {
+    1: [(0, 0, 1), *((1, shift, 2) for shift in (-1, 0, 1)), *_PAIRS[1:]],
+    (SPAN_WORDS - SEED_WORDS) // 2: _PAIRS,
+}
+
+
+class Near:
+    """Places by the bits of words around them, to find those that may reach far enough from a row."""
+
+    def __init__(self, near: np.ndarray, far: np.ndarray, places: np.ndarray):
+        self.near, self.far, self.places = near, far, places
+        self.tables: dict[tuple[int, int, int], np.ndarray] = {}
+
+    def codes(self, of: np.ndarray, side: int, word: int, words: int) -> np.ndarray:
+        """The bits of some words as the upper part of a number. Side 0 is after the seed, 1 before."""
+        shift, group = (side * AROUND + word) * AROUND_BITS, words * AROUND_BITS
+        mask = (1 << group) - 1
+        code = (self.near[of] >> shift & mask) << group | (self.far[of] >> shift & mask)
+        return code * (len(self.places) + 1)
+
+    def ranges(self, row: np.ndarray, start: np.ndarray, stop: np.ndarray, sides: tuple[int, ...],
+               level: int) -> list[tuple[np.ndarray, ...]]:
+        """(table, first, end) for some words each: the places[start:stop] that share them with each row. Together they
+        are all places with so many words as `level` on one of the sides."""
+        out = []
+        for side in sides:
+            codes: dict[tuple[int, int], np.ndarray] = {}
+            for word, shift, words in _SHARED[level]:
+                key = side, word - shift, words
+                if key not in self.tables:
+                    self.tables[key] = np.sort(self.codes(self.places, *key) + np.arange(len(self.places)))
+                if (word, words) not in codes:
+                    codes[word, words] = self.codes(row, side, word, words)
+                ends = (np.searchsorted(self.tables[key], codes[word, words] + end) for end in (start, stop))
+                out.append((self.tables[key], *ends))
+        return out
+
+    def found(self, ranges: list[tuple[np.ndarray, ...]], part: slice) -> tuple[np.ndarray, np.ndarray]:
+        """(number in the part, number of the place) of each row's places, once, in order."""
+        n = len(self.places) + 1
+        pairs = []
+        for table, first, end in ranges:
+            first, count = first[part], end[part] - first[part]
+            pairs.append(np.repeat(np.arange(len(first)) * n, count) + table[expanded(first, count)] % n)
+        pairs = np.sort(np.concatenate(pairs))
+        return np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]], n)
+
+
 def furthest(near: np.ndarray, far: np.ndarray, row: np.ndarray, places: np.ndarray, start: np.ndarray,
              stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links (of, to) of each row with those of its earlier places[start:stop], all of which it is compared with,
     that may span and reach further, before or after the seed, than each place before them.
 
     What a place left out has in common with the row within AROUND words of the seed, one before it has too.
-    Where a place is alike on all words around, no later one reaches further, and the row is done."""
+    Where a place is alike on all words around, no later one reaches further, and the row is done. Of many places, a
+    row is compared with those that share words at about the same place with it, on the side where it asks for more
+    words than places before have, or, if it has none yet and its seed is short, on one side: others can't be linked."""
     best = np.full((len(row), AROUND + 1), -1, np.int8)  # words after, of places with so many words before or more
     of, to = [row[:0]], [row[:0]]
+    index = Near(near, far, places)
+
+    def compare(k: np.ndarray, j: np.ndarray) -> None:
+        """Of the rows numbered k, in order, with the places j, in order."""
+        i = row[k]
+        before, after = reaches((near[i], near[j]), (far[i], far[j]))
+        good = (before + after >= SPAN_WORDS - SEED_WORDS) | (far[i] >= LONG)
+        good = np.flatnonzero(good & (after > best[k, before]))
+        # The first place of each reach, then, in order, those that no place before reaches as far as.
+        cell = (k[good].astype(np.int64) * (AROUND + 1) + before[good]) * (AROUND + 1) + after[good]
+        good = np.sort(good[np.unique(cell, return_index=True)[1]])
+        turn = np.arange(len(good)) - np.searchsorted(k[good], k[good])
+        for t in range(int(turn.max(initial=-1)) + 1):
+            at = good[turn == t]
+            at = at[after[at] > best[k[at], before[at]]]
+            level = np.arange(AROUND + 1) <= before[at, None]
+            best[k[at]] = np.where(level, np.maximum(best[k[at]], after[at, None]), best[k[at]])
+            of.append(i[at])
+            to.append(j[at])
+
     active, lower, step = np.flatnonzero(start < stop), 0, FIRST_STEP
     while len(active):
         count = np.minimum(stop[active] - start[active] - lower, step)
+        least = (best[active, AROUND] + 1, (best[active] == AROUND).sum(axis=1))  # words that a place must reach
+        high = max(_SHARED)
+        side = np.where(least[1] > least[0], 1, 0)
+        words = np.maximum(*least)
+        kind = np.where(words >= high, high, np.minimum(words, 1)) * 2 + side
+        kind[(words == 0) & (far[row[active]] < LONG)] = 1  # on any side
+        if lower < LOOKED_UP:
+            kind[:] = 0
+        for chosen in np.unique(kind[kind > 0]).tolist():
+            some = active[kind == chosen]
+            begin = start[some] + lower
+            sides, level = ((0, 1), high) if chosen == 1 else ((chosen % 2,), chosen // 2)
+            ranges = index.ranges(row[some], begin, np.minimum(begin + step, stop[some]), sides, level)
+            total = np.cumsum(sum(end - first for _, first, end in ranges))
+            edges = np.flatnonzero(np.diff(total // PAIRS)) + 1
+            for low, end in zip([0, *edges.tolist()], [*edges.tolist(), len(some)]):
+                number, place = index.found(ranges, slice(low, end))
+                compare(some[low:end][number], places[place])
+        rest, count = active[kind == 0], count[kind == 0]
         # A row with a number of places, or many rows: never more pairs at a time than both allow.
         edges = np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1
-        for part, n in zip(np.split(active, edges), np.split(count, edges)):
-            for skipped in range(0, int(n.max()), PAIRS):
+        for part, n in zip(np.split(rest, edges), np.split(count, edges)):
+            for skipped in range(0, int(n.max(initial=0)), PAIRS):
                 now = np.clip(n - skipped, 0, PAIRS)
-                k = np.repeat(part, now)
                 begin = start[part] + lower + skipped
-                j = places[np.repeat(begin - np.cumsum(now) + now, now) + np.arange(len(k))]
-                i = row[k]
-                before, after = reaches((near[i], near[j]), (far[i], far[j]))
-                good = (before + after >= SPAN_WORDS - SEED_WORDS) | (far[i] >= LONG)
-                good = np.flatnonzero(good & (after > best[k, before]))
-                # The first place of each reach, then, in order, those that no place before reaches as far as.
-                cell = (k[good].astype(np.int64) * (AROUND + 1) + before[good]) * (AROUND + 1) + after[good]
-                good = np.sort(good[np.unique(cell, return_index=True)[1]])
-                turn = np.arange(len(good)) - np.searchsorted(k[good], k[good])
-                for t in range(int(turn.max(initial=-1)) + 1):
-                    at = good[turn == t]
-                    at = at[after[at] > best[k[at], before[at]]]
-                    level = np.arange(AROUND + 1) <= before[at, None]
-                    best[k[at]] = np.where(level, np.maximum(best[k[at]], after[at, None]), best[k[at]])
-                    of.append(i[at])
-                    to.append(j[at])
-        lower, step = lower + step, 4 * step
+                compare(np.repeat(part, now), places[expanded(begin, now)])
+        lower, step = lower + step, min(4 * step, max(PAIRS, FIRST_STEP))
         active = active[(best[active, AROUND] < AROUND) & (start[active] + lower < stop[active])]
     return np.concatenate(of), np.concatenate(to)
 
