@@ -1038,3 +1038,56 @@ def test_columns_that_clash_with_what_operators_use_inside_stay(spark):
 def test_queries_have_all_operators():
     numbers = {int(name[2:].split("_")[0]) for name in queries.QUERIES}
     assert numbers == set(range(1, 14))
+
+
+def test_seeds_and_links_shuffled_together_are_those_of_single_rows():
+    rng = random.Random(33)
+    base = [" ".join(rng.choices("abcdefghijkl", k=60)) for _ in range(6)]
+    texts = pa.array([" ".join(rng.sample(base, 2)) if k % 3 else " ".join(rng.choices("mnopqrst", k=50)) for k in range(60)])
+    docs, keys = pa.array([k // 2 * 7 - 40 + (1 << 40) * (k % 5 == 0) for k in range(60)], pa.int64()), pa.array(range(60), pa.int32())
+    single = [
+        (int(h), docs[start + k].as_py(), int(at), int(near), int(far))
+        for turn in range(passages.SEED_ROUNDS)
+        for start, n in ((0, 25), (25, 35))
+        for _, of, *rows in passages._seed_rows(texts.slice(start, n), keys.slice(start, n), turn)
+        for k, h, at, near, far in zip(of.tolist(), *rows)
+    ]
+    names = ["hash", "doc", "at", "around", "further"]
+    rows = pa.record_batch([pa.array(c, pa.int64()) for c in zip(*sorted(single))], names)
+    wanted = sorted(tuple(r.values()) for b in passages.linked(iter([rows])) for r in b.to_pylist())
+    batch = pa.record_batch([docs, keys, texts], ["doc", "key", "text"])
+    got = []
+    for turn in range(passages.SEED_ROUNDS):
+        packed = pa.Table.from_batches(passages.packed_seeds(iter([batch.slice(0, 25), batch.slice(25)]), turn, 5))
+        assert packed.num_rows <= 10  # five buckets of each batch, however many seeds
+        packed = packed.sort_by("bucket").to_batches(max_chunksize=3)
+        links = pa.Table.from_batches(passages.packed_links(iter(packed), 4)).sort_by("bucket").to_batches()
+        for columns in passages._unpacked(iter(links), 8):
+            got += zip(*(passages._whole(*columns[k : k + 2]).tolist() for k in (0, 2, 4, 6)))
+    assert sorted(got) == wanted and len(wanted) > 100
+
+
+def test_chains_aligned_at_once_are_as_aligned_one_by_one(monkeypatch):
+    rng = random.Random(34)
+    columns, wanted = [[] for _ in range(6)], []
+    for k in range(400):
+        a = [rng.randint(0, rng.choice([3, 40, 4000])) for _ in range(rng.randint(4, 190))]
+        b = [w if rng.random() > rng.choice([0, 0, 0.1, 0.3]) else rng.randint(0, 4000) for w in a]
+        b = b if k % 5 else [*b[: len(b) // 2], 7, *b[len(b) // 2 :]]
+        first, last = rng.choice([0, 0, 30]), rng.choice([0, 0, 30])
+        a, b = [rng.randint(0, 30) for _ in range(first)] + a, [rng.randint(0, 30) for _ in range(first)] + b + [1] * last
+        xs = sorted(rng.sample(range(first, len(a) - 3), min(rng.choice([1, 1, 3, 9]), len(a) - first - 3)))
+        ys = [x + (not k % 5 and x > len(a) // 2 and x + 5 <= len(b)) for x in xs]
+        low, ref_low = rng.randint(0, 9), rng.randint(0, 9)
+        got = passages.aligned(np.array(a), np.array(b), np.array(xs), np.array(ys), 0.8)
+        wanted.append([(g[0] + low, g[1] + low, g[2] + ref_low, g[3] + ref_low, g[4]) for g in got])
+        for column, value in zip(columns, (a, b, [x + low for x in xs], [y + ref_low for y in ys], low, ref_low)):
+            column.append(value)
+    lists = [pa.array(c, pa.list_(pa.int32())) for c in columns[:4]]
+    alone, plain = [], passages.aligned
+    monkeypatch.setattr(passages, "aligned", lambda *args: alone.append(1) or plain(*args))
+    found, edges = passages.aligned_all(*lists, *map(np.array, columns[4:]), 0.8)
+    found = [tuple(f) for f in found.tolist()]
+    assert [found[i:j] for i, j in zip(edges, edges[1:])] == wanted and len(alone) < 250
+    sliced, edges = passages.aligned_all(*(c.slice(100) for c in lists), *(np.array(c[100:]) for c in columns[4:]), 0.8)
+    assert [tuple(f) for f in sliced.tolist()] == [f for w in wanted[100:] for f in w]

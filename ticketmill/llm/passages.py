@@ -16,7 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.llm.arrays import (
@@ -52,7 +52,7 @@ FIRST_STEP, PAIRS = 16, 1 << 17
 #: Earlier places of a row from which on those that may be linked with it are looked up.
 LOOKED_UP = 80
 #: Rounds in which chains are aligned, by a hash of their texts.
-ALIGN_ROUNDS = 4
+ALIGN_ROUNDS = 2
 SIMILARITY = 0.8
 MIN_WORDS = 50
 #: Words of a span, once aligned and grown, that can be part of a passage: shorter ones meet by chance.
@@ -61,6 +61,8 @@ SPAN_WORDS = 12
 PERIOD, ROUNDS = 16, 32
 #: Cost of a word between matches, on either side; a match gains its own words.
 GAP_COST = 0.1
+#: A match at the same distance that begins fewer words after the last one always follows it in the chain.
+NEXT_WORDS = int(SEED_WORDS + SEED_WORDS / (2 * GAP_COST))
 #: Words around a chain that alignment may grow into. A passage may have edits in most of its seeds.
 PAD = 64
 #: Words that an edit costs a growing chain, and the loss at which it stops growing.
@@ -97,11 +99,18 @@ def rounds(total: np.ndarray, whole: np.ndarray, owner: np.ndarray) -> np.ndarra
     valid = np.zeros(len(total), bool)
     valid[whole] = True
     back = np.zeros(len(total), np.int64)
+    some_bits = total.astype(np.uint32)
     for period in range(min(PERIOD, len(total) - 1), 0, -1):
-        same = np.flatnonzero(total[period:] == total[:-period])  # few, in most texts
+        same = some_bits[period:] == some_bits[:-period]
+        if not same.any():
+            continue
+        same = np.flatnonzero(same)  # few, in most texts
+        same = same[total[same + period] == total[same]]
         same = same[valid[same + period] & valid[same] & (owner[same + period] == owner[same])]
         back[same + period] = period
     some = np.flatnonzero(back)
+    if not len(some):
+        return np.zeros(len(whole), np.uint64)
     count = np.zeros(len(total), np.int64)
     count[some] = 1
     before = np.arange(len(total)) - back
@@ -109,7 +118,8 @@ def rounds(total: np.ndarray, whole: np.ndarray, owner: np.ndarray) -> np.ndarra
         further = count[before[some]]
         count[some] += further
         before[some] = before[before[some]]
-    return (count[whole] % ROUNDS).astype(np.uint64)
+    count[some] %= ROUNDS
+    return count[whole].astype(np.uint64)
 
 
 def seeds(words: np.ndarray, owner: np.ndarray, n: int, width: int = SEED_WORDS,
@@ -121,9 +131,15 @@ def seeds(words: np.ndarray, owner: np.ndarray, n: int, width: int = SEED_WORDS,
     place = np.arange(len(words)) + owner * window
     size = len(words) + (n + 1) * window
     none = np.uint64(2**64 - 1)
-    total = np.zeros(max(0, len(words) - width + 1), np.uint64)
-    for i in range(width):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + words[i : i + len(total)]
+    # Words times powers of a number, the first word the highest; from the totals of shorter runs where that is exact.
+    base, step = 0x9E3779B97F4A7C15, 4 if width % 4 == 0 else 1
+    n_runs = max(0, len(words) - width + 1)
+    quarter = np.zeros(max(0, len(words) - step + 1), np.uint64)
+    for i in range(step):
+        quarter = quarter * np.uint64(base) + words[i : i + len(quarter)]
+    total = quarter[:n_runs]
+    for i in range(step, width, step):
+        total = total * np.uint64(pow(base, step, 1 << 64)) + quarter[i : i + n_runs]
     whole = np.flatnonzero(
         np.arange(len(total)) + width <= (begin + count)[owner[: len(total)]]
     )
@@ -221,33 +237,14 @@ SEEDS = "array<struct<hash: bigint, at: bigint, around: bigint, further: bigint>
 
 
 def seeds_of(text: Column, key: Column, turn: int) -> Column:
-    """Seeds of a text in one of SEED_ROUNDS; `at` is the text's key in the upper half and the word's number in the
-    lower. `further` has more bits of the words `around`, and LONG for long seeds."""
+    """Seeds of a text in one of SEED_ROUNDS, as _seed_rows() has them."""
 
     @F.arrow_udf(SEEDS)
     def find(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, keys in columns:
-            at, parts = 0, []
-            for part in slices(texts) if len(texts) else [texts]:
-                n = len(part)
-                own = keys.slice(at, n).to_numpy().astype(np.int64)
-                at += n
-                words, _, _, owner = word_hashes(part)
-                short, long = seeds(words, owner, n), seeds(words, owner, n, LONG_WORDS, LONG_WINDOW)
-                hashes, first = map(np.concatenate, zip(short, long))
-                mine = np.flatnonzero(hashes % np.uint64(SEED_ROUNDS) == turn)
-                order = mine[np.argsort(first[mine], kind="stable")]
-                hashes, first, is_long = hashes[order], first[order], order >= len(short[1])
-                width = np.where(is_long, LONG_WORDS, SEED_WORDS)
-                near, far = (around(words, owner, first, width, skip) for skip in (0, AROUND_BITS))
-                far[is_long] |= LONG
-                begin = np.searchsorted(owner, np.arange(n))
-                of = owner[first]
-                where = (own[of] << 32) | (first - begin[of])
-                rows = pa.StructArray.from_arrays(
-                    [pa.array(hashes.view(np.int64)), *map(pa.array, (where, near, far))],
-                    ["hash", "at", "around", "further"],
-                )
+            parts = []
+            for n, of, *rows in _seed_rows(texts, keys, turn):
+                rows = pa.StructArray.from_arrays(list(map(pa.array, rows)), ["hash", "at", "around", "further"])
                 edges = np.searchsorted(of, np.arange(n + 1)).astype(np.int32)
                 parts.append(pa.ListArray.from_arrays(pa.array(edges), rows))
             yield pa.concat_arrays(parts)
@@ -255,13 +252,156 @@ def seeds_of(text: Column, key: Column, turn: int) -> Column:
     return find(text, key)
 
 
-LINKS = "doc bigint, at bigint, ref bigint, ref_at bigint"
+def _seed_rows(texts: pa.Array, keys: pa.Array, turn: int) -> Iterator[tuple]:
+    """(texts, text of each seed, hash, at, around, further) of some texts at a time, seeds in order; `at` is the text's
+    key in the upper half and the word's number in the lower. `further` has more bits of the words `around`, and LONG for
+    long seeds."""
+    at = 0
+    for part in slices(texts) if len(texts) else [texts]:
+        n = len(part)
+        own = keys.slice(at, n).to_numpy().astype(np.int64)
+        at += n
+        words, _, _, owner = word_hashes(part)
+        short, long = seeds(words, owner, n), seeds(words, owner, n, LONG_WORDS, LONG_WINDOW)
+        hashes, first = map(np.concatenate, zip(short, long))
+        mine = np.flatnonzero(hashes % np.uint64(SEED_ROUNDS) == turn)
+        order = mine[np.argsort(first[mine], kind="stable")]
+        hashes, first, is_long = hashes[order], first[order], order >= len(short[1])
+        width = np.where(is_long, LONG_WORDS, SEED_WORDS)
+        near, far = (around(words, owner, first, width, skip) for skip in (0, AROUND_BITS))
+        far[is_long] |= LONG
+        begin = np.searchsorted(owner, np.arange(n))
+        of = owner[first]
+        yield n, of, hashes.view(np.int64), (own[of] << 32) | (first - begin[of]), near, far
+
+
+#: Rows that are shuffled together: numbers of 32 bits, column by column, of the rows that fall to one bucket.
+PACKED = "bucket int, rows binary"
+#: Buckets for each shuffle partition. A task works on one bucket after the other.
+BUCKETS = 4
+#: Rows that a task packs, or hands on, at a time.
+PACK_ROWS, HAND_ROWS = 1 << 18, 1 << 15
+
+
+def buckets(spark: SparkSession) -> int:
+    return BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _halves(*columns: np.ndarray) -> list[np.ndarray]:
+    """The lower and the upper 32 bits of each column."""
+    return [half.astype(np.uint32) for c in columns for half in (c & 0xFFFFFFFF, c >> 32)]
+
+
+def _whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return (low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)).view(np.int64)
+
+
+def _packed(bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """PACKED rows, one for each bucket; rows keep their order in it."""
+    order = np.argsort(bucket.astype(np.min_scalar_type(int(bucket.max(initial=0)))), kind="stable")
+    bucket, rows = bucket[order], np.stack([c[order] for c in columns])
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+    parts = [rows[:, a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(bucket)])]
+    return pa.record_batch([pa.array(bucket[starts], pa.int32()), pa.array(parts, pa.binary())], ["bucket", "rows"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    """The columns of one bucket after the other, of PACKED rows in the order of buckets."""
+    parts: list[np.ndarray] = []
+    at = None
+    for batch in batches:
+        for bucket, rows in zip(batch.column("bucket").to_pylist(), batch.column("rows")):
+            if bucket != at and parts:
+                yield np.concatenate(parts, axis=1)
+                parts = []
+            at = bucket
+            parts.append(np.frombuffer(rows.as_buffer(), np.uint32).reshape(width, -1))
+    if parts:
+        yield np.concatenate(parts, axis=1)
+
+
+def _handed(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    n = len(next(iter(columns.values())))
+    for at in range(0, n, HAND_ROWS):
+        yield pa.record_batch([pa.array(c[at : at + HAND_ROWS]) for c in columns.values()], list(columns))
+
+
+def packed_seeds(batches: Iterator[pa.RecordBatch], turn: int, n: int) -> Iterator[pa.RecordBatch]:
+    """The seeds of (doc, key, text), in n buckets by their hash."""
+
+    def pack(rows: list[list[np.ndarray]]) -> pa.RecordBatch:
+        hashes, docs, at, near, far = (np.concatenate(c) for c in zip(*rows))
+        bucket = (hashes.view(np.uint64) // np.uint64(SEED_ROUNDS) % np.uint64(n)).astype(np.int32)
+        # 48 bits of each number around a seed, and LONG above the word's number.
+        (near_low, near_high, far_low, far_high) = _halves(near, far & ~LONG)
+        rest = [at | (far >= LONG).astype(np.int64) << 31]
+        return _packed(bucket, [*_halves(hashes, docs, *rest), near_low, far_low, near_high | far_high << 16])
+
+    rows: list[list[np.ndarray]] = []
+    for batch in batches:
+        docs, done = batch.column("doc").to_numpy(), 0
+        for count, of, hashes, at, near, far in _seed_rows(batch.column("text"), batch.column("key"), turn):
+            rows.append([hashes, docs[done : done + count][of], at, near, far])
+            done += count
+            if sum(len(r[0]) for r in rows) >= PACK_ROWS:
+                yield pack(rows)
+                rows = []
+    if rows:
+        yield pack(rows)
+
+
+def packed_links(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """What linked() makes of packed_seeds(), in n buckets by the document. Seeds of one document only have no links."""
+
+    def ordered() -> Iterator[pa.RecordBatch]:
+        for rows in _unpacked(batches, 9):
+            hashes = _whole(rows[0], rows[1])
+            order = np.argsort(hashes)
+            same = hashes[order[1:]] == hashes[order[:-1]]
+            rows = rows[:, order[np.append(same, False) | np.append(False, same)]]
+            hashes, docs, at = (_whole(*rows[k : k + 2]) for k in (0, 2, 4))
+            order = np.lexsort((at & ~(1 << 31), docs, hashes))
+            hashes, docs, at = hashes[order], docs[order], at[order]
+            edges = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+            count = np.diff(np.append(edges, len(hashes)))
+            several = np.repeat(docs[edges] != docs[edges + count - 1], count)
+            near_low, far_low, high = rows[6:, order[several]]
+            hashes, docs, at = hashes[several], docs[several], at[several]
+            near, far = _whole(near_low, high & 0xFFFF), _whole(far_low, high >> 16)
+            far |= (at >> 31 & 1) * LONG
+            yield from _handed({"hash": hashes, "doc": docs, "at": at & ~(1 << 31), "around": near, "further": far})
+
+    def pack(links: list[list[np.ndarray]]) -> pa.RecordBatch:
+        links = [np.concatenate(c) for c in zip(*links)]
+        order = np.lexsort((links[2], links[0]))
+        links = [c[order] for c in links]
+        bucket = (mixed(links[0].view(np.uint64)) % np.uint64(n)).astype(np.int32)
+        return _packed(bucket, _halves(*links))
+
+    links: list[list[np.ndarray]] = []
+    for batch in linked(ordered()):
+        links.append([c.to_numpy() for c in batch.columns])
+        if sum(len(c[0]) for c in links) >= PACK_ROWS:
+            yield pack(links)
+            links = []
+    if links:
+        yield pack(links)
+
+
+def packed_chains(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """The chains of packed_links()."""
+    for rows in _unpacked(batches, 8):
+        doc, at, ref, ref_at = (_whole(*rows[k : k + 2]) for k in (0, 2, 4, 6))
+        order = np.lexsort((ref_at & 0xFFFFFFFF, at & 0xFFFFFFFF, ref_at >> 32, ref, at >> 32, doc))
+        columns = dict(zip(("doc", "at", "ref", "ref_at"), (c[order] for c in (doc, at, ref, ref_at))))
+        yield from _chained(_handed(columns), min_words)
 
 
 def able(near: np.ndarray, far: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Which matches of seeds i and j may by themselves grow to SPAN_WORDS, as long seeds have."""
-    good = may_span(near[i], near[j]) | (far[i] >= LONG)
-    some = np.flatnonzero(good & (far[i] < LONG))
+    good = (far[i] >= LONG) | ((near[i] == near[j]) & (far[i] == far[j]))
+    some = np.flatnonzero(~good)
+    some = some[may_span(near[i[some]], near[j[some]])]
     grown = reaches((near[i[some]], near[j[some]]), (far[i[some]], far[j[some]]))
     good[some] = sum(grown) >= SPAN_WORDS - SEED_WORDS
     return good
@@ -446,31 +586,6 @@ def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = rows[sorted(stay)]
 
 
-class Fenwick:
-    """The highest value put at places up to a given one, and who put it."""
-
-    def __init__(self, n: int):
-        self.best = [-1e18] * (n + 1)
-        self.who = [-1] * (n + 1)
-
-    def put(self, place: int, value: float, who: int) -> None:
-        place += 1
-        best, holder = self.best, self.who
-        while place < len(best):
-            if best[place] < value:
-                best[place], holder[place] = value, who
-            place += place & -place
-
-    def highest(self, end: int) -> tuple[float, int]:
-        """Over places before `end`."""
-        best, who = -1e18, -1
-        while end > 0:
-            if self.best[end] > best:
-                best, who = self.best[end], self.who[end]
-            end -= end & -end
-        return best, who
-
-
 def chains(x: list[int], y: list[int]) -> list[list[int]]:
     """Numbers of the matches of each chain; x[i] and y[i] rise along a chain. x ascends.
 
@@ -492,28 +607,40 @@ def chains(x: list[int], y: list[int]) -> list[list[int]]:
                 score[i], before[i] = SEED_WORDS + gain, i - 1
     else:
         order = sorted(set(y))
-        place = {v: i for i, v in enumerate(order)}
-        tree = Fenwick(len(order))
+        place = {v: i for i, v in enumerate(order, 1)}
+        # A Fenwick tree: the highest value put at places up to a given one, and who put it.
+        size = len(order) + 1
+        best, who = [-1e18] * size, [-1] * size
         waiting = 0
-        for i in range(len(x)):
-            while x[waiting] < x[i]:  # equal x can't follow each other
-                tree.put(place[y[waiting]], score[waiting] + GAP_COST * (x[waiting] + y[waiting]), waiting)
+        for i, (u, v) in enumerate(zip(x, y)):
+            while x[waiting] < u:  # equal x can't follow each other
+                value = score[waiting] + GAP_COST * (x[waiting] + y[waiting])
+                at = place[y[waiting]]
+                while at < size:
+                    if best[at] < value:
+                        best[at], who[at] = value, waiting
+                    at += at & -at
                 waiting += 1
-            value, j = tree.highest(place[y[i]])
-            gain = value - GAP_COST * (x[i] + y[i]) + GAP_COST * 2 * SEED_WORDS
+            value, j, at = -1e18, -1, place[v] - 1
+            while at > 0:
+                if best[at] > value:
+                    value, j = best[at], who[at]
+                at -= at & -at
+            gain = value - GAP_COST * (u + v) + GAP_COST * 2 * SEED_WORDS
             if j >= 0 and gain > 0:
                 score[i], before[i] = SEED_WORDS + gain, j
     used = [False] * len(x)
     found = []
-    for i in sorted(range(len(x)), key=lambda i: (-score[i], i)):
+    for i in sorted(range(len(x)), key=score.__getitem__, reverse=True):  # of equal scores, the first
+        if used[i]:
+            continue
         chain = []
         while i >= 0 and not used[i]:
             used[i] = True
             chain.append(i)
             i = before[i]
         chain.reverse()
-        if chain:
-            found.append(chain)
+        found.append(chain)
     return found
 
 
@@ -539,15 +666,23 @@ def _chained(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
         other = ref_at >> 32
         edges = np.flatnonzero((ref[1:] != ref[:-1]) | (other[1:] != other[:-1])) + 1
         of, key, low = int(doc[0]), int(at[0] >> 32), (1 << 32) - 1
-        places, ref_places = (at & low).tolist(), (ref_at & low).tolist()
+        places, ref_places = at & low, ref_at & low
+        # Where the next match always adds more than the words between cost, all are one chain.
+        step, shift = np.diff(places, prepend=places[0]), places - ref_places
+        starts = np.append(0, edges)
+        step[starts] = 0
+        together = (np.maximum.reduceat(step, starts) < NEXT_WORDS) & (
+            np.minimum.reduceat(shift, starts) == np.maximum.reduceat(shift, starts)
+        )
         out = []
-        for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(at)]):
+        for start, end, whole in zip(starts.tolist(), [*edges.tolist(), len(at)], together.tolist()):
             x, y = places[start:end], ref_places[start:end]
-            for chain in chains(x, y):
-                xs, ys = [x[k] for k in chain], [y[k] for k in chain]
-                out.append((of, key, max(0, xs[0] - PAD), xs[-1] + SEED_WORDS + PAD,
-                            int(ref[start]), int(other[start]), max(0, ys[0] - PAD),
-                            ys[-1] + SEED_WORDS + PAD, xs, ys))
+            for chain in [slice(None)] if whole else chains(x.tolist(), y.tolist()):
+                xs, ys = x[chain], y[chain]
+                first, last, ref_first, ref_last = int(xs[0]), int(xs[-1]), int(ys[0]), int(ys[-1])
+                out.append((of, key, max(0, first - PAD), last + SEED_WORDS + PAD,
+                            int(ref[start]), int(other[start]), max(0, ref_first - PAD),
+                            ref_last + SEED_WORDS + PAD, xs, ys))
         # Chains that even with their neighbours and all growth are too short can't be in a passage.
         out.sort(key=lambda c: (c[2], c[3]))
         good, group, reach = [], [], -1
@@ -561,6 +696,13 @@ def _chained(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
                 group.append(chain)
         return good
 
+    def batch_of(done: list[tuple]) -> pa.RecordBatch:
+        *plain, xs, ys = zip(*done)
+        edges = pa.array(np.cumsum([0, *map(len, xs)]), pa.int32())
+        lists = (pa.ListArray.from_arrays(edges, pa.array(np.concatenate(c), pa.int32())) for c in (xs, ys))
+        plain = [pa.array(c, f.type) for c, f in zip(plain, schema)]
+        return pa.record_batch([*plain, *lists], names=schema.names)
+
     rows: list[list[np.ndarray]] = []
     done: list[tuple] = []
     for batch in batches:
@@ -575,12 +717,12 @@ def _chained(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
                 rows = []
             rows.append([c[start:end] for c in columns])
         if done:
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema)
+            yield batch_of(done)
             done = []
     if rows:
         done += document(rows)
     if done:
-        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema)
+        yield batch_of(done)
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> int:
@@ -706,6 +848,106 @@ def aligned(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray, simila
     return found
 
 
+def grown_all(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], step: int, cost: float) -> np.ndarray:
+    """What grown() gives for each pair of rows; a row of (values, first, count) is the values from `first` on, in the
+    direction of `step`.
+
+    Most rows grow over equal words only, and end there: with the text, or where the next words of both have none
+    in common that edits could bring together, for the reason that grown() has for its own start."""
+    drop = max(GROWTH_DROP, 2 * cost)
+    few = int((drop - 1) / (cost - 1)) + 2
+    (words, first, n), (others, ref_first, m) = a, b
+    whole = np.minimum(n, m)
+    equal = np.zeros(len(n), np.int64)
+    active = np.flatnonzero(whole)
+    while len(active):
+        at = equal[active] * step
+        same = words[first[active] + at] == others[ref_first[active] + at]
+        active = active[same]
+        equal[active] += 1
+        active = active[equal[active] < whole[active]]
+    out = np.stack([equal, equal, np.zeros_like(equal)], axis=1)
+    rest = np.flatnonzero(equal < whole)
+    meets = np.zeros(len(rest), bool)
+    at, room, ref_room = equal[rest], (n - equal)[rest], (m - equal)[rest]
+    next_words, next_others = (
+        [v.take(f[rest] + (at + k) * step, mode="clip") for k in range(few)]
+        for v, f in ((words, first), (others, ref_first))
+    )
+    for i in range(few):
+        for j in range(few):
+            # It takes as many edits to come to both as to the later one, and the words up to the earlier one must pay.
+            if min(i, j) >= max(i, j) * cost - drop:
+                meets |= (next_words[i] == next_others[j]) & (room > i) & (ref_room > j)
+    for k in rest[meets].tolist():
+        x, y = (
+            v[f : f + c] if step > 0 else v[f - c + 1 : f + 1][::-1]
+            for v, f, c in ((words, first[k], n[k]), (others, ref_first[k], m[k]))
+        )
+        out[k] = grown(x.tolist(), y.tolist(), cost)
+    return out
+
+
+def aligned_all(a: pa.ListArray, b: pa.ListArray, xs: pa.ListArray, ys: pa.ListArray, low: np.ndarray,
+                ref_low: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of what aligned() gives, where those of each chain begin; one more ends the last), places counted from the
+    texts' beginnings. Chains whose matches keep their distance and that are alike as a whole are done at once."""
+    share = 1 - similarity + 1e-12
+    parts = ((c.offsets.to_numpy().astype(np.int64), c.values.to_numpy()) for c in (a, b, xs, ys))
+    (a_at, words), (b_at, others), (x_at, x), (y_at, y) = parts
+    low, ref_low = low.astype(np.int64), ref_low.astype(np.int64)
+    size, ref_size, count = np.diff(a_at), np.diff(b_at), np.diff(x_at)
+    x, y = x[x_at[0] : x_at[-1]].astype(np.int64), y[y_at[0] : y_at[-1]].astype(np.int64)
+    x_at, y_at = x_at - x_at[0], y_at - y_at[0]
+    n = len(low)
+    if not n:
+        return np.zeros((0, 5), np.int64), np.zeros(1, np.int64)
+    chain = np.repeat(np.arange(n), count)
+    x, y = x - low[chain], y - ref_low[chain]
+    low_a, low_b, high_a, high_b = x[x_at[:-1]], y[y_at[:-1]], x[x_at[1:] - 1] + SEED_WORDS, y[y_at[1:] - 1] + SEED_WORDS
+    shift = x - y
+    simple = np.minimum.reduceat(shift, x_at[:-1]) == np.maximum.reduceat(shift, x_at[:-1])
+    simple &= (high_a <= size) & (high_b <= ref_size)
+    # Unlike words between the matches of a chain.
+    length = np.where(simple & (count > 1), high_a - low_a, 0)
+    differ = words[expanded(a_at[:-1] + low_a, length)] != others[expanded(b_at[:-1] + low_b, length)]
+    unlike = np.concatenate([[0], np.cumsum(differ)])
+    begin = np.cumsum(length) - length
+    gap = np.flatnonzero((chain[1:] == chain[:-1]) & simple[chain[1:]])
+    of = chain[gap]
+    here, there = (x[k] - low_a[of] + begin[of] for k in (gap, gap + 1))
+    each = unlike[there] - unlike[np.minimum(here + SEED_WORDS, there)]
+    edits = np.bincount(of, each, minlength=n).astype(np.int64)
+    simple &= edits <= share * (np.maximum(high_a - low_a, high_b - low_b) + 4 * PAD)
+
+    k = np.flatnonzero(simple)
+    low_a, low_b, high_a, high_b = (c[k] for c in (low_a, low_b, high_a, high_b))
+    back = grown_all((words, a_at[k] + low_a - 1, np.minimum(low_a, PAD)),
+                     (others, b_at[k] + low_b - 1, np.minimum(low_b, PAD)), -1, EDIT_COST)
+    on = grown_all((words, a_at[k] + high_a, np.minimum(size[k] - high_a, PAD)),
+                   (others, b_at[k] + high_b, np.minimum(ref_size[k] - high_b, PAD)), 1, EDIT_COST)
+    spans = np.stack([low_a - back[:, 0], high_a + on[:, 0], low_b - back[:, 1], high_b + on[:, 1],
+                      edits[k] + back[:, 2] + on[:, 2]], axis=1)
+    good = spans[:, 4] <= share * np.maximum(spans[:, 1] - spans[:, 0], spans[:, 3] - spans[:, 2])
+    done = np.zeros(n, bool)
+    done[k[good]] = True
+    others_of = {
+        c: aligned(words[a_at[c] : a_at[c + 1]], others[b_at[c] : b_at[c + 1]],
+                   x[x_at[c] : x_at[c + 1]], y[y_at[c] : y_at[c + 1]], similarity)
+        for c in np.flatnonzero(~done).tolist()
+    }
+    found = np.ones(n, np.int64)
+    found[~done] = [len(got) for got in others_of.values()]
+    edges = np.concatenate([[0], np.cumsum(found)])
+    out = np.zeros((edges[-1], 5), np.int64)
+    out[edges[:-1][done]] = spans[good]
+    for c, got in others_of.items():
+        out[edges[c] : edges[c + 1]] = np.array(got, np.int64).reshape(-1, 5)
+    out[:, :2] += np.repeat(low, found)[:, None]
+    out[:, 2:4] += np.repeat(ref_low, found)[:, None]
+    return out, edges
+
+
 SPAN = "array<struct<first: int, last: int, ref_first: int, ref_last: int, edits: int>>"
 
 
@@ -714,16 +956,8 @@ def _align(similarity: float):
     def align(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         fields = ["first", "last", "ref_first", "ref_last", "edits"]
         for a, b, xs, ys, low, ref_low in columns:
-            found, edges = [], [0]
-            parts = ((c.offsets.to_numpy().tolist(), c.values.to_numpy()) for c in (a, b, xs, ys))
-            (a_at, words), (b_at, others), (x_at, x), (y_at, y) = parts
-            for k, (lo, ref_lo) in enumerate(zip(low.to_pylist(), ref_low.to_pylist())):
-                got = aligned(words[a_at[k] : a_at[k + 1]], others[b_at[k] : b_at[k + 1]],
-                              x[x_at[k] : x_at[k + 1]] - lo, y[y_at[k] : y_at[k + 1]] - ref_lo, similarity)
-                found += [(g[0] + lo, g[1] + lo, g[2] + ref_lo, g[3] + ref_lo, g[4]) for g in got]
-                edges.append(len(found))
-            columns = zip(*found) if found else [[]] * len(fields)
-            rows = pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in columns], fields)
+            found, edges = aligned_all(a, b, xs, ys, low.to_numpy(), ref_low.to_numpy(), similarity)
+            rows = pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in found.T], fields)
             yield pa.ListArray.from_arrays(pa.array(edges, pa.int32()), rows)
 
     return align
@@ -773,19 +1007,18 @@ def shared_spans(docs: DataFrame, text: str = "text", id: str = "doc_id",
     """(doc, key, first, last, ref, ref_key, ref_first, ref_last, edits): spans of SPAN_WORDS or more
     words that a text has from an earlier one, the last word not included; see passages()."""
     texts = keyed(docs, text, id)
-    # One shuffle of the seeds. One task has all places of a seed, and goes over them without holding them.
+    # One shuffle of the seeds, many of them in a row. One task has all places of a seed, and holds one bucket of seeds.
     links: list[tuple[DataFrame, str]] = []
+    n = buckets(docs.sparkSession)
     for turn in range(SEED_ROUNDS):
-        rows = texts.select("doc", F.inline(seeds_of(F.col("text"), F.col("key"), turn)))
-        places = rows.repartition("hash").sortWithinPartitions("hash", "doc", "at")
-        links.append(kept_at(places.mapInArrow(linked, LINKS), "links"))
+        rows = texts.mapInArrow(lambda b, turn=turn: packed_seeds(b, turn, n), PACKED)
+        places = rows.repartition("bucket").sortWithinPartitions("bucket")
+        links.append(kept_at(places.mapInArrow(lambda b: packed_links(b, n), PACKED), "links"))
         del rows, places
         free_shuffles(docs.sparkSession)
     matches = reduce(DataFrame.unionAll, (table for table, _ in links))
-    ordered = matches.repartition("doc").withColumn("key", F.shiftright("at", 32)).withColumn(
-        "ref_key", F.shiftright("ref_at", 32)
-    ).sortWithinPartitions("doc", "key", "ref", "ref_key", "at", "ref_at").drop("key", "ref_key")
-    found = kept(ordered.mapInArrow(lambda b: _chained(b, min_words), CHAIN), "chains")
+    ordered = matches.repartition("bucket").sortWithinPartitions("bucket")
+    found = kept(ordered.mapInArrow(lambda b: packed_chains(b, min_words), CHAIN), "chains")
     for _, folder in links:
         remove(docs.sparkSession, folder)  # the chains are written
     del matches, ordered, links
@@ -829,23 +1062,36 @@ def shared_spans(docs: DataFrame, text: str = "text", id: str = "doc_id",
 SPANS = "array<struct<first: int, last: int, ref: bigint>>"
 
 
+def _held(ref: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Which spans of a text lie in one of an earlier document; in the order of documents."""
+    step = max(1, PAIRS // max(1, len(ref)))
+    parts = [slice(at, at + step) for at in range(0, len(ref), step)]
+    return np.concatenate([np.zeros(0, bool), *(
+        ((first <= first[p, None]) & (last >= last[p, None]) & (ref < ref[p, None])).any(axis=1) for p in parts
+    )])
+
+
 def first_hand(spans: Column) -> Column:
     """The spans of each text, ordered, less those that lie in a span of an earlier document."""
 
     @F.arrow_udf(SPANS)
     def reduced(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("ref", pa.int64())]))
         for column in columns:
-            out = []
-            for spans in column.to_pylist():
-                rows = np.array(sorted({(s["ref"], s["first"], s["last"]) for s in spans}), np.int64)
-                ref, first, last = rows.T
-                held = [((first[:i] <= first[i]) & (last[:i] >= last[i]) & (ref[:i] < ref[i])).any() for i in range(len(rows))]
-                out.append([
-                    {"first": b, "last": c, "ref": a}
-                    for a, b, c in sorted(rows[~np.array(held)].tolist(), key=lambda s: (s[1], s[2], s[0]))
-                ])
-            yield pa.array(out, kind)
+            count, fields = np.diff(column.offsets.to_numpy()), column.flatten().flatten()
+            first, last, ref = (c.to_numpy().astype(np.int64) for c in fields)
+            owner = np.repeat(np.arange(len(column)), count)
+            order = np.lexsort((last, first, ref, owner))
+            rows = np.stack([owner, ref, first, last])[:, order]
+            new = np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0))[: len(order)]
+            rows = rows[:, new]
+            edges = np.searchsorted(rows[0], np.arange(len(column) + 1)).tolist()
+            held = np.concatenate([np.zeros(0, bool), *(_held(*rows[1:, a:b]) for a, b in zip(edges, edges[1:]))])
+            owner, ref, first, last = rows[:, ~held]
+            order = np.lexsort((ref, last, first, owner))
+            kinds = zip((first, last, ref), (pa.int32(), pa.int32(), pa.int64()))
+            spans = pa.StructArray.from_arrays([pa.array(c[order], k) for c, k in kinds], ["first", "last", "ref"])
+            edges = np.searchsorted(owner, np.arange(len(column) + 1))
+            yield pa.ListArray.from_arrays(pa.array(edges, pa.int32()), spans)
 
     return reduced(spans)
 
