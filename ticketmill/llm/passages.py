@@ -278,7 +278,7 @@ def _seed_rows(texts: pa.Array, keys: pa.Array, turn: int) -> Iterator[tuple]:
 #: Rows that are shuffled together: numbers of 32 bits, column by column, of the rows that fall to one bucket.
 PACKED = "bucket int, rows binary"
 #: Buckets for each shuffle partition. A task works on one bucket after the other.
-BUCKETS = 4
+BUCKETS = 2
 #: Rows that a task packs, or hands on, at a time.
 PACK_ROWS, HAND_ROWS = 1 << 18, 1 << 15
 
