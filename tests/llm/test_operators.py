@@ -741,6 +741,54 @@ def test_places_that_can_be_linked_are_looked_up(monkeypatch):
         assert found == links(size)
 
 
+def test_few_places_of_a_seed_at_the_end_of_a_common_line_are_compared(monkeypatch):
+    """All words on one side of a seed are the same everywhere, and the first four on the other: of 6,000 places, a row is
+    compared with 200 at most in the mean, and all links are there that comparing each with all earlier ones gives."""
+    counted, plain_reaches = [], passages.reaches
+
+    def counting(*bits):
+        counted.append(len(bits[0][0]))
+        return plain_reaches(*bits)
+
+    def links(side, n, long):
+        rng = random.Random(28)
+        line, rows = [rng.getrandbits(6) for _ in range(12)], []
+        for doc in range(n):
+            words = [[*line[:4], *(rng.getrandbits(6) for _ in range(4))], line[4:]]
+            words = words[side] + words[1 - side]
+            near, far = (sum((w >> k & 7) << 3 * i for i, w in enumerate(words)) for k in (0, 3))
+            rows.append((5, doc, 10, near, far | long))
+        batch = pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], ["hash", "doc", "at", "around", "further"])
+        counted.clear()
+        return [tuple(r.values()) for b in passages.linked(iter([batch])) for r in b.to_pylist()]
+
+    monkeypatch.setattr(passages, "reaches", counting)
+    for side in (0, 1):
+        for long in (0, passages.LONG):
+            links(side, 6000, long)
+            assert sum(counted) < 200 * 6000
+            found = links(side, 1500, long)
+            with monkeypatch.context() as plain:
+                plain.setattr(passages, "LOOKED_UP", 1 << 40)
+                assert found == links(side, 1500, long)
+
+
+def test_words_that_are_looked_up_are_part_of_every_reach():
+    """Whatever reach() finds of few different words, one of the sets of words looked up for it or less is shared."""
+    rng = np.random.default_rng(29)
+    a, b = (rng.integers(0, 2, (4000, passages.AROUND)) for _ in range(2))
+    codes = [(x << 3 * np.arange(passages.AROUND)).sum(axis=1) for x in (a, b)]
+    got = passages.reach(*codes)
+    assert set(got.tolist()) >= {0, 1, 3, 8}
+    for level in range(1, passages.AROUND + 1):
+        for words in range(2, 7):
+            some = np.zeros(len(a), bool)
+            for pairs in passages.shared(level, words):
+                assert 0 < len(pairs) <= words
+                some |= np.all([a[:, i] == b[:, i - shift] for i, shift in pairs], axis=0)
+            assert some[got >= level].all()
+
+
 def test_a_place_between_the_first_and_the_last_is_found():
     """Of twelve documents with a seed, the sixth has the words around it that the last has."""
     rng = random.Random(25)

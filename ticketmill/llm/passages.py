@@ -11,8 +11,10 @@ span. Spans of one document that touch form a passage, whichever documents they
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +51,11 @@ AROUND, AROUND_BITS, AROUND_EDITS = 8, 3, 2
 LONG = 1 << 62
 #: Earlier places that a seed is compared with in the first step, four times as many in the next; pairs at a time.
 FIRST_STEP, PAIRS = 16, 1 << 17
-#: Earlier places of a row from which on those that may be linked with it are looked up.
-LOOKED_UP = 80
+#: Earlier places of a row from which on those that may be linked with it are looked up; the places of a step from which on
+#: that is by one word more; those found from which on it is tried by one more; and what tables for it hold at a time.
+LOOKED_UP, LOOKED_UP_BY, MANY, HELD = 80, (0, 0, 4096, 65536), 128, 1 << 23
+#: What a comparison costs in steps of making a table for that, or in eighths of looking a row up.
+WORTH = 3
 #: Rounds in which chains are aligned, by a hash of their texts.
 ALIGN_ROUNDS = 2
 SIMILARITY = 0.8
@@ -407,15 +412,35 @@ def able(near: np.ndarray, far: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.
     return good
 
 
-#: Words (the first, its shift from the other side's, how many) one of which two sides share between which reach()
-#: adds `level` words or more, by that level. Of n edits, each is in or before one of the pairs 0, 2, ... 2n, so one pair
-#: has none in it, and as many before it as there are pairs; by EDIT_COST, a side with two edits has six words, and one
-#: with an edit three: the first word, or the two after it.
-_PAIRS = [(2 * n, shift, 2) for n in range(AROUND_EDITS + 1) for shift in range(-n, n + 1)]
-_SHARED = {
-    1: [(0, 0, 1), *((1, shift, 2) for shift in (-1, 0, 1)), *_PAIRS[1:]],
-    (SPAN_WORDS - SEED_WORDS) // 2: _PAIRS,
-}
+def _scripts(level: int) -> list[frozenset[tuple[int, int]]]:
+    """Sets of (word, its shift from the other side's), one of which two sides share wholly where reach() adds `level` words
+    or more: the words that AROUND_EDITS edits or fewer leave of so many that pay for them."""
+    found = set()
+
+    def edit(kept: frozenset, at: int, shift: int, left: int, end: int) -> None:
+        rest = [(i, shift) for i in range(at, end)]
+        if not left:  # words beyond AROUND count as equal
+            found.add(kept.union((i, d) for i, d in rest if i - d < AROUND))
+            return
+        for n in range(len(rest) + 1):
+            for step in (-1, 0, 1):
+                edit(kept.union(rest[:n]), at + n + (step >= 0), shift + step, left - 1, end)
+
+    for edits in range(AROUND_EDITS + 1):
+        edit(frozenset(), 0, 0, edits, max(level, int(edits * EDIT_COST)))
+    return sorted((k for k in found if not any(o < k for o in found)), key=sorted)
+
+
+@cache
+def shared(level: int, words: int) -> list[tuple[tuple[int, int], ...]]:
+    """Few sets of up to so many (word, shift), one of which at least is a part of each of _scripts()."""
+    parts = [set(combinations(sorted(k), min(words, len(k)))) for k in _scripts(level)]
+    out = []
+    while parts:
+        count = Counter(c for p in parts for c in p)
+        out.append(max(sorted(count), key=lambda c: (len(c), count[c])))
+        parts = [p for p in parts if out[-1] not in p]
+    return out
 
 
 class Near:
@@ -423,41 +448,56 @@ class Near:
 
     def __init__(self, near: np.ndarray, far: np.ndarray, places: np.ndarray):
         self.near, self.far, self.places = near, far, places
-        self.tables: dict[tuple[int, int, int], np.ndarray] = {}
-
-    def codes(self, of: np.ndarray, side: int, word: int, words: int) -> np.ndarray:
-        """The bits of some words as the upper part of a number. Side 0 is after the seed, 1 before."""
-        shift, group = (side * AROUND + word) * AROUND_BITS, words * AROUND_BITS
-        mask = (1 << group) - 1
-        code = (self.near[of] >> shift & mask) << group | (self.far[of] >> shift & mask)
+        self.at = np.arange(len(places))
+        self.words: dict[tuple[int, int], np.ndarray] = {}
+        self.tables: dict[tuple[int, tuple[int, ...]], np.ndarray] = {}
+
+    def word(self, of: np.ndarray, side: int, word: int) -> np.ndarray:
+        """The bits of a word. Side 0 is after the seed, 1 before."""
+        shift, mask = (side * AROUND + word) * AROUND_BITS, (1 << AROUND_BITS) - 1
+        both = (self.near[of] >> shift & mask) << AROUND_BITS | (self.far[of] >> shift & mask)
+        return both.astype(np.uint8)
+
+    def codes(self, words: list[np.ndarray]) -> np.ndarray:
+        """The bits of some words as the upper part of a number."""
+        code = words[0].astype(np.int64)
+        for word in words[1:]:
+            code = code << 2 * AROUND_BITS | word
         return code * (len(self.places) + 1)
 
-    def ranges(self, row: np.ndarray, start: np.ndarray, stop: np.ndarray, sides: tuple[int, ...],
-               level: int) -> list[tuple[np.ndarray, ...]]:
-        """(table, first, end) for some words each: the places[start:stop] that share them with each row. Together they
-        are all places with so many words as `level` on one of the sides."""
-        out = []
-        for side in sides:
-            codes: dict[tuple[int, int], np.ndarray] = {}
-            for word, shift, words in _SHARED[level]:
-                key = side, word - shift, words
-                if key not in self.tables:
-                    self.tables[key] = np.sort(self.codes(self.places, *key) + np.arange(len(self.places)))
-                if (word, words) not in codes:
-                    codes[word, words] = self.codes(row, side, word, words)
-                ends = (np.searchsorted(self.tables[key], codes[word, words] + end) for end in (start, stop))
-                out.append((self.tables[key], *ends))
-        return out
-
-    def found(self, ranges: list[tuple[np.ndarray, ...]], part: slice) -> tuple[np.ndarray, np.ndarray]:
-        """(number in the part, number of the place) of each row's places, once, in order."""
+    def table(self, side: int, words: tuple[int, ...]) -> np.ndarray:
+        """The places by some words: codes() and the number of the place, in order."""
+        if (side, words) not in self.tables:
+            if len(self.tables) * len(self.places) > HELD:
+                self.tables.clear()
+            for word in words:
+                if (side, word) not in self.words:
+                    self.words[side, word] = self.word(self.places, side, word)
+            self.tables[side, words] = np.sort(self.codes([self.words[side, word] for word in words]) + self.at)
+        return self.tables[side, words]
+
+    def found(self, row: np.ndarray, start: np.ndarray, stop: np.ndarray, levels: tuple[int, int], words: int,
+              most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the row, number of the place), once, in order, of the places[start:stop] that share some words with
+        each row, and the rows that have up to `most`; the others are left out. Together they are all places with so many
+        words as `levels` after the seed, or before it; none are looked up beyond AROUND."""
         n = len(self.places) + 1
-        pairs = []
-        for table, first, end in ranges:
-            first, count = first[part], end[part] - first[part]
-            pairs.append(np.repeat(np.arange(len(first)) * n, count) + table[expanded(first, count)] % n)
+        pairs, total, few = [np.zeros(0, np.int64)], np.zeros(len(row), np.int64), np.arange(len(row))
+        for side, level in enumerate(levels):
+            keys = shared(level, words) if level <= AROUND else []
+            mine = {i: self.word(row, side, i) for i in {i for key in keys for i, _ in key}}
+            for key in keys:
+                table = self.table(side, tuple(i - shift for i, shift in key))
+                code = self.codes([mine[i][few] for i, _ in key])
+                first, end = (np.searchsorted(table, code + edge[few]) for edge in (start, stop))
+                total[few] += end - first
+                good = total[few] <= most
+                few, first, count = few[good], first[good], (end - first)[good]
+                pairs.append(np.repeat(few * n, count) + table[expanded(first, count)] % n)
         pairs = np.sort(np.concatenate(pairs))
-        return np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]], n)
+        number, place = np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]], n)
+        good = total[number] <= most
+        return number[good], place[good], few
 
 
 def furthest(near: np.ndarray, far: np.ndarray, row: np.ndarray, places: np.ndarray, start: np.ndarray,
@@ -467,11 +507,15 @@ def furthest(near: np.ndarray, far: np.ndarray, row: np.ndarray, places: np.ndar
 
     What a place left out has in common with the row within AROUND words of the seed, one before it has too.
     Where a place is alike on all words around, no later one reaches further, and the row is done. Of many places, a
-    row is compared with those that share words at about the same place with it, on the side where it asks for more
-    words than places before have, or, if it has none yet and its seed is short, on one side: others can't be linked."""
+    row is compared with those that share as many words with it, but for edits, as it asks for beyond those of places before:
+    on the side where it asks for more, or else on one side or the other. Others can't be linked. Where too many would be
+    found that way, all are compared."""
     best = np.full((len(row), AROUND + 1), -1, np.int8)  # words after, of places with so many words before or more
     of, to = [row[:0]], [row[:0]]
     index = Near(near, far, places)
+    # Words after that a place with so many words before needs, to span by itself.
+    spans = np.maximum(SPAN_WORDS - SEED_WORDS - np.arange(AROUND + 1), 0)
+    spans = np.where(far[row, None] >= LONG, 0, spans).astype(np.int8)
 
     def compare(k: np.ndarray, j: np.ndarray) -> None:
         """Of the rows numbered k, in order, with the places j, in order."""
@@ -491,28 +535,51 @@ def furthest(near: np.ndarray, far: np.ndarray, row: np.ndarray, places: np.ndar
             of.append(i[at])
             to.append(j[at])
 
+    def asked(k: np.ndarray, one: bool) -> np.ndarray:
+        """Words after, and the same times `base` before, one of which a place must reach, for the rows numbered k: on one
+        side only, or on either. 0 words on one side if a place could do with none."""
+        needs = np.maximum(best[k] + 1, spans[k]).astype(int)  # words after, by those before
+        if one:
+            after, before = needs[:, AROUND], (needs > AROUND).sum(axis=1)
+            return np.where(after >= before, after + (after > 0) * (base - 1) * base, base - 1 + before * base)
+        # Either so many before, or what a place with one word less needs after.
+        before = np.minimum(np.arange(1, AROUND + 1), needs[:, :AROUND]).argmax(axis=1)
+        return needs[np.arange(len(k)), before] + (before + 1) * base
+
+    def look_up(active: np.ndarray, one: bool) -> np.ndarray:
+        """Compares rows with their places in this step that share words; the rows left for which that gains nothing."""
+        kind, left = asked(active, one), [active[:0]]
+        for chosen in np.unique(kind).tolist():
+            some, levels = active[kind == chosen], (chosen % base, chosen // base)
+            words, most = sum(step >= least for least in LOOKED_UP_BY), AROUND - AROUND_EDITS
+            while len(some):
+                begin = start[some] + lower
+                count = np.minimum(step, stop[some] - begin)
+                keys = sum(len(shared(level, words)) for level in levels if 0 < level <= AROUND)
+                if not min(levels) or words > most or keys * (len(places) + 8 * len(some)) > WORTH * count.sum():
+                    left.append(some)
+                    break
+                limit, again = MANY if words < most else MANY * 16, [some[:0]]
+                for at in range(0, len(some), PAIRS * 32 // limit + 1):
+                    part, low, n = (x[at : at + PAIRS * 32 // limit + 1] for x in (some, begin, count))
+                    number, place, few = index.found(row[part], low, low + n, levels, words, limit)
+                    for first in range(0, len(number), PAIRS):
+                        pairs = slice(first, first + PAIRS)
+                        compare(part[number[pairs]], places[place[pairs]])
+                    many = np.ones(len(part), bool)
+                    many[few] = False
+                    left.append(part[many & (n <= limit)])
+                    again.append(part[many & (n > limit)])
+                some, words = np.concatenate(again), words + 1
+        return np.sort(np.concatenate(left))
+
+    base = AROUND + 2  # AROUND + 1 words are never reached
     active, lower, step = np.flatnonzero(start < stop), 0, FIRST_STEP
     while len(active):
-        count = np.minimum(stop[active] - start[active] - lower, step)
-        least = (best[active, AROUND] + 1, (best[active] == AROUND).sum(axis=1))  # words that a place must reach
-        high = max(_SHARED)
-        side = np.where(least[1] > least[0], 1, 0)
-        words = np.maximum(*least)
-        kind = np.where(words >= high, high, np.minimum(words, 1)) * 2 + side
-        kind[(words == 0) & (far[row[active]] < LONG)] = 1  # on any side
-        if lower < LOOKED_UP:
-            kind[:] = 0
-        for chosen in np.unique(kind[kind > 0]).tolist():
-            some = active[kind == chosen]
-            begin = start[some] + lower
-            sides, level = ((0, 1), high) if chosen == 1 else ((chosen % 2,), chosen // 2)
-            ranges = index.ranges(row[some], begin, np.minimum(begin + step, stop[some]), sides, level)
-            total = np.cumsum(sum(end - first for _, first, end in ranges))
-            edges = np.flatnonzero(np.diff(total // PAIRS)) + 1
-            for low, end in zip([0, *edges.tolist()], [*edges.tolist(), len(some)]):
-                number, place = index.found(ranges, slice(low, end))
-                compare(some[low:end][number], places[place])
-        rest, count = active[kind == 0], count[kind == 0]
+        rest = active
+        for one in (True, False) if lower >= LOOKED_UP else ():
+            rest = look_up(rest, one) if len(rest) else rest
+        count = np.minimum(stop[rest] - start[rest] - lower, step)
         # A row with a number of places, or many rows: never more pairs at a time than both allow.
         edges = np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1
         for part, n in zip(np.split(rest, edges), np.split(count, edges)):
